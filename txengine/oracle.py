@@ -101,6 +101,184 @@ FROM tx WHERE tx_fraud = 1 GROUP BY customer_id"""
 }
 
 
+
+
+# --------------------------------------------------------------------------- features
+# The reference's grid formulation, step by step.
+C = "CAST(round({x} * 100) AS BIGINT)"
+GRID_CTES = [
+    """flags AS (
+  SELECT *,
+         CASE WHEN dayofweek(tx_datetime) IN (0, 6) THEN 1 ELSE 0 END AS tx_during_weekend,
+         CASE WHEN hour(tx_datetime) < 6 OR hour(tx_datetime) > 20 THEN 1 ELSE 0 END
+           AS tx_during_night
+  FROM tx)""",
+    """bounds AS (
+  SELECT min(CAST(tx_datetime AS DATE)) AS start_date,
+         date_diff('day', min(CAST(tx_datetime AS DATE)), max(CAST(tx_datetime AS DATE)))
+           AS no_days
+  FROM tx)""",
+    """days AS (
+  SELECT CAST(start_date + CAST(i AS INTEGER) AS DATE) AS tx_date
+  FROM (SELECT start_date, unnest(generate_series(0, no_days - 1)) AS i FROM bounds))""",
+    "customers AS (SELECT DISTINCT customer_id FROM tx)",
+    "terminals AS (SELECT DISTINCT terminal_id FROM tx)",
+    "cust_day AS (SELECT d.tx_date, c.customer_id FROM days d CROSS JOIN customers c)",
+    "term_day AS (SELECT d.tx_date, t.terminal_id FROM days d CROSS JOIN terminals t)",
+    f"""cust_trx_day AS (
+  SELECT g.customer_id, g.tx_date,
+         CAST(sum({C.format(x="coalesce(t.tx_amount, 0)")}) AS BIGINT) AS tot_c,
+         CAST(sum(CASE WHEN coalesce(t.tx_amount, 0) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS no_trx
+  FROM tx t RIGHT JOIN cust_day g
+    ON t.customer_id = g.customer_id AND CAST(t.tx_datetime AS DATE) = g.tx_date
+  GROUP BY g.customer_id, g.tx_date)""",
+    """cust_feat_day AS (
+  SELECT tx_date, customer_id, no_trx, tot_c,
+         lag(no_trx, 1) OVER w AS p_n_1,
+         sum(no_trx) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS p_n_7,
+         sum(no_trx) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS p_n_30,
+         lag(tot_c, 1) OVER w AS p_c_1,
+         sum(tot_c) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS p_c_7,
+         sum(tot_c) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS p_c_30
+  FROM cust_trx_day WINDOW w AS (PARTITION BY customer_id ORDER BY tx_date))""",
+    f"""cust_run AS (
+  SELECT t.*, f.p_n_1, f.p_n_7, f.p_n_30, f.p_c_1, f.p_c_7, f.p_c_30,
+         count(t.customer_id) OVER r AS cur_day_trx,
+         sum({C.format(x="t.tx_amount")}) OVER r AS cur_day_c
+  FROM flags t JOIN cust_feat_day f
+    ON t.customer_id = f.customer_id AND CAST(t.tx_datetime AS DATE) = f.tx_date
+  WINDOW r AS (PARTITION BY t.customer_id, CAST(t.tx_datetime AS DATE) ORDER BY t.tx_datetime
+               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+    """cust_feat AS (
+  SELECT transaction_id, tx_datetime, customer_id, terminal_id, tx_time_seconds, tx_time_days,
+         tx_amount, tx_fraud, tx_fraud_scenario, tx_during_weekend, tx_during_night,
+         (CAST(coalesce(p_c_1, 0) + cur_day_c AS DOUBLE) / 100.0::DOUBLE)
+           / (coalesce(p_n_1, 0) + cur_day_trx) AS cust_avg_amount_1,
+         CAST(coalesce(p_n_1, 0) + cur_day_trx AS BIGINT) AS cust_cnt_tx_1,
+         (CAST(coalesce(p_c_7, 0) + cur_day_c AS DOUBLE) / 100.0::DOUBLE)
+           / (coalesce(p_n_7, 0) + cur_day_trx) AS cust_avg_amount_7,
+         CAST(coalesce(p_n_7, 0) + cur_day_trx AS BIGINT) AS cust_cnt_tx_7,
+         (CAST(coalesce(p_c_30, 0) + cur_day_c AS DOUBLE) / 100.0::DOUBLE)
+           / (coalesce(p_n_30, 0) + cur_day_trx) AS cust_avg_amount_30,
+         CAST(coalesce(p_n_30, 0) + cur_day_trx AS BIGINT) AS cust_cnt_tx_30
+  FROM cust_run)""",
+    """term_trx_day AS (
+  SELECT g.terminal_id, g.tx_date,
+         CAST(sum(coalesce(t.tx_fraud, 0)) AS BIGINT) AS nb_fraud,
+         CAST(sum(CASE WHEN t.tx_fraud IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS no_trx
+  FROM tx t RIGHT JOIN term_day g
+    ON t.terminal_id = g.terminal_id AND CAST(t.tx_datetime AS DATE) = g.tx_date
+  GROUP BY g.terminal_id, g.tx_date)""",
+    """term_feat_day AS (
+  SELECT tx_date, terminal_id, no_trx, nb_fraud,
+    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay,
+    CAST(sum(no_trx) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay,
+    CAST(sum(no_trx) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_1,
+    CAST(sum(no_trx) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_7,
+    CAST(sum(no_trx) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_7_literal,
+    CAST(sum(no_trx) OVER (w ROWS BETWEEN 37 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_30,
+    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_1,
+    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_7,
+    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_7_literal,
+    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 37 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_30
+  FROM term_trx_day WINDOW w AS (PARTITION BY terminal_id ORDER BY tx_date))""",
+]
+
+
+def _term_join(rows: str) -> str:
+    """The reference's terminal step on ``rows``: running count and frauds of today are
+    added to both windows and then subtracted."""
+    return f"""term_run AS (
+  SELECT c.*, f.nb_tx_delay, f.nb_fraud_delay,
+         f.nb_tx_delay_window_1, f.nb_tx_delay_window_7, f.nb_tx_delay_window_30,
+         f.nb_fraud_delay_window_1, f.nb_fraud_delay_window_7, f.nb_fraud_delay_window_30,
+         count(c.terminal_id) OVER r AS cur_trx, sum(c.tx_fraud) OVER r AS cur_fraud
+  FROM {rows} c JOIN term_feat_day f
+    ON c.terminal_id = f.terminal_id AND CAST(c.tx_datetime AS DATE) = f.tx_date
+  WINDOW r AS (PARTITION BY c.terminal_id, CAST(c.tx_datetime AS DATE) ORDER BY c.tx_datetime
+               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+term_feat AS (
+  SELECT *,
+    CAST((nb_tx_delay_window_1 + cur_trx) - (nb_tx_delay + cur_trx) AS BIGINT) AS nb_tx_window_1,
+    CAST(CASE WHEN (nb_fraud_delay_window_1 + cur_fraud) - (nb_fraud_delay + cur_fraud) > 0
+         THEN ((nb_fraud_delay_window_1 + cur_fraud) - (nb_fraud_delay + cur_fraud))
+              / ((nb_tx_delay_window_1 + cur_trx) - (nb_tx_delay + cur_trx))
+         ELSE 0 END AS DOUBLE) AS term_risk_1,
+    CAST((nb_tx_delay_window_7 + cur_trx) - (nb_tx_delay + cur_trx) AS BIGINT) AS nb_tx_window_7,
+    CAST(CASE WHEN (nb_fraud_delay_window_7 + cur_fraud) - (nb_fraud_delay + cur_fraud) > 0
+         THEN ((nb_fraud_delay_window_7 + cur_fraud) - (nb_fraud_delay + cur_fraud))
+              / ((nb_tx_delay_window_7 + cur_trx) - (nb_tx_delay + cur_trx))
+         ELSE 0 END AS DOUBLE) AS term_risk_7,
+    CAST((nb_tx_delay_window_30 + cur_trx) - (nb_tx_delay + cur_trx) AS BIGINT) AS nb_tx_window_30,
+    CAST(CASE WHEN (nb_fraud_delay_window_30 + cur_fraud) - (nb_fraud_delay + cur_fraud) > 0
+         THEN ((nb_fraud_delay_window_30 + cur_fraud) - (nb_fraud_delay + cur_fraud))
+              / ((nb_tx_delay_window_30 + cur_trx) - (nb_tx_delay + cur_trx))
+         ELSE 0 END AS DOUBLE) AS term_risk_30
+  FROM term_run)"""
+
+
+FEATURE_COLS = """transaction_id, tx_datetime, customer_id, terminal_id, tx_time_seconds,
+  tx_time_days, tx_amount, tx_fraud, tx_fraud_scenario, tx_during_weekend, tx_during_night,
+  cust_avg_amount_1, cust_cnt_tx_1, cust_avg_amount_7, cust_cnt_tx_7, cust_avg_amount_30,
+  cust_cnt_tx_30, nb_tx_window_1, term_risk_1, nb_tx_window_7, term_risk_7, nb_tx_window_30,
+  term_risk_30"""
+
+FEATURE_TABLE_CTES = [*GRID_CTES, _term_join("cust_feat"), f"features AS (SELECT {FEATURE_COLS} FROM term_feat)"]
+
+
+def with_grid(body: str, *more: str) -> str:
+    return with_tx(body, *GRID_CTES, *more)
+
+
+FEATURES = {
+    "date_time_features": with_grid("SELECT * FROM flags"),
+    "date_bounds": with_grid("SELECT start_date, CAST(no_days AS BIGINT) AS no_days FROM bounds"),
+    "calendar_days": with_grid("SELECT tx_date FROM days"),
+    "customer_day_grid": with_grid("SELECT tx_date, customer_id FROM cust_day"),
+    "terminal_day_grid": with_grid("SELECT tx_date, terminal_id FROM term_day"),
+    "customer_daily": with_grid(
+        """SELECT customer_id, tx_date, CAST(tot_c AS DOUBLE) / 100.0::DOUBLE AS tot_amount, no_trx
+FROM cust_trx_day"""
+    ),
+    "customer_trailing_daily": with_grid(
+        """SELECT tx_date, customer_id, no_trx, CAST(tot_c AS DOUBLE) / 100.0::DOUBLE AS tot_amount,
+       CAST(p_n_1 AS BIGINT) AS cust_tx_prev_1, CAST(p_n_7 AS BIGINT) AS cust_tx_prev_7,
+       CAST(p_n_30 AS BIGINT) AS cust_tx_prev_30,
+       CAST(p_c_1 AS DOUBLE) / 100.0::DOUBLE AS cust_tot_amt_prev_1,
+       CAST(p_c_7 AS DOUBLE) / 100.0::DOUBLE AS cust_tot_amt_prev_7,
+       CAST(p_c_30 AS DOUBLE) / 100.0::DOUBLE AS cust_tot_amt_prev_30
+FROM cust_feat_day"""
+    ),
+    "customer_running_day": with_tx(
+        f"""SELECT transaction_id, customer_id, tx_datetime,
+       count(customer_id) OVER r AS cur_day_trx,
+       CAST(sum({C.format(x="tx_amount")}) OVER r AS DOUBLE) / 100.0::DOUBLE AS cur_day_amt
+FROM tx WHERE customer_id IS NOT NULL AND tx_datetime IS NOT NULL
+WINDOW r AS (PARTITION BY customer_id, CAST(tx_datetime AS DATE) ORDER BY tx_datetime
+             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    ),
+    "terminal_running_day": with_tx(
+        """SELECT transaction_id, terminal_id, tx_datetime,
+       count(terminal_id) OVER r AS cur_day_trx,
+       CAST(sum(tx_fraud) OVER r AS BIGINT) AS cur_day_fraud
+FROM tx WHERE terminal_id IS NOT NULL AND tx_datetime IS NOT NULL
+WINDOW r AS (PARTITION BY terminal_id, CAST(tx_datetime AS DATE) ORDER BY tx_datetime
+             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    ),
+    "customer_features": with_grid("SELECT * FROM cust_feat"),
+    "terminal_daily": with_grid("SELECT terminal_id, tx_date, nb_fraud, no_trx FROM term_trx_day"),
+    "terminal_trailing_daily": with_grid("SELECT * FROM term_feat_day"),
+    "terminal_features": with_grid(
+        """SELECT transaction_id, terminal_id, tx_datetime, nb_tx_window_1, term_risk_1,
+       nb_tx_window_7, term_risk_7, nb_tx_window_30, term_risk_30
+FROM term_feat""",
+        """in_cal AS (SELECT f.* FROM flags f JOIN days d ON CAST(f.tx_datetime AS DATE) = d.tx_date
+                WHERE f.terminal_id IS NOT NULL)""",
+        _term_join("in_cal"),
+    ),
+    "feature_table": with_tx("SELECT * FROM features", *FEATURE_TABLE_CTES),
+}
+
+
 def all_sql() -> dict[str, str]:
-    out = dict(ANALYSIS)
-    return out
+    return {**ANALYSIS, **FEATURES}

@@ -45,4 +45,20 @@ def registry() -> dict[str, Query]:
     ]:
         q[name] = _on_tx(getattr(analysis, name))
     q["csv_ingest"] = csv_ingest
+    q.update(_features_registry())
+    return q
+
+
+def _features_registry() -> dict[str, Query]:
+    from txengine.plans import calendar, features
+
+    q: dict[str, Query] = {}
+    for name in [
+        "date_bounds", "calendar_days", "customer_day_grid", "customer_daily",
+        "customer_trailing_daily", "customer_running_day", "terminal_day_grid",
+        "terminal_daily", "terminal_trailing_daily", "terminal_running_day",
+    ]:
+        q[name] = _on_tx(getattr(calendar, name))
+    for name in ["date_time_features", "customer_features", "terminal_features", "feature_table"]:
+        q[name] = _on_tx(getattr(features, name))
     return q
