@@ -111,18 +111,14 @@ def _customer_side(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
             "_c0": F.coalesce(cents("tx_amount"), F.lit(0)),
         }
     )
-    per_sec = per_second(
-        rows, key, DAY, _CUST_RUN, [F.sum("_pos").alias("_s_pos"), F.sum("_c0").alias("_s_c0")]
-    )
-    # windows over (customer, day) first; the daily roll-up reuses that partitioning
-    prefix = earlier_seconds(per_sec, key, DAY, _CUST_RUN)
-    daily = prefix.groupBy(key, DAY).agg(
-        F.sum("_s_pos").alias("n_pos"), F.sum("_s_c0").alias("c0")
-    )
+    # Daily totals straight from the rows: map-side partial aggregation leaves one row
+    # per (customer, day) and task; the trailing windows then see one row per day and key.
+    daily = rows.groupBy(key, DAY).agg(F.sum("_pos").alias("n_pos"), F.sum("_c0").alias("c0"))
     frames = {}
     for n in opts.windows:
         frames[f"_prev_n_{n}"] = ("n_pos", -n, -1)
         frames[f"_prev_c_{n}"] = ("c0", -n, -1)
+    prefix = earlier_seconds(per_second(rows, key, DAY, _CUST_RUN), key, DAY, _CUST_RUN)
     history = trailing(daily, key, DAY, frames)
     per_key_sec = prefix.select(key, DAY, SEC, "_p_cur_n", "_p_cur_c").join(
         history, [key, DAY], "inner"
