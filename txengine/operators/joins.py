@@ -12,15 +12,19 @@ from txengine.session import scratch_path
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back.
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` as Parquet under the shared folder, read it back, and return it with
+    its row count (answered from the Parquet footers).
 
     Cuts the lineage (a lost executor re-reads the files instead of recomputing the
-    aggregation) and gives the planner exact file statistics.
+    aggregation) and gives the planner exact file statistics. (``Observation`` would give
+    the count during the write, but in Spark 4.1 it leaves the session unserializable for
+    ML models fitted later in the same session.)
     """
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    return written, written.count()
 
 
 def join_checked(
@@ -39,7 +43,6 @@ def join_checked(
     """
     spark = fact.sparkSession
     limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
-    written = materialize(spark, side, name)
-    n = written.count()
+    written, n = materialize(spark, side, name)
     right = F.broadcast(written) if n <= limit else written
     return fact.join(right, on, how)

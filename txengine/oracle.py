@@ -280,5 +280,95 @@ FROM term_feat""",
 }
 
 
+
+
+# --------------------------------------------------------------------------- split
+# The reference's loop: for test day k, known = train frauds U frauds of the delay days
+# s0+6 .. s0+6+k; test rows of day s0+14+k whose customer is not known; set union.
+def split_ctes(start: str = "2024-01-09") -> list[str]:
+    return [
+        *FEATURE_TABLE_CTES,
+        f"""train AS (SELECT * FROM features
+  WHERE tx_datetime >= CAST('{start} 00:00:00' AS TIMESTAMP)
+    AND tx_datetime <= CAST('{start} 00:00:00' AS TIMESTAMP) + INTERVAL 7 DAY)""",
+        "s AS (SELECT min(tx_time_days) AS s0 FROM train)",
+        "ks AS (SELECT unnest(generate_series(0, 6)) AS k)",
+        """known_k AS (
+  SELECT ks.k, tr.customer_id FROM ks, train tr WHERE tr.tx_fraud = 1
+  UNION
+  SELECT ks.k, f.customer_id FROM ks, features f, s
+  WHERE f.tx_fraud = 1 AND f.tx_time_days BETWEEN s.s0 + 7 + 0 - 1 AND s.s0 + 7 + ks.k - 1)""",
+        """test AS (
+  SELECT DISTINCT t.* FROM features t, s, ks
+  WHERE t.tx_time_days = s.s0 + 7 + 7 + ks.k
+    AND NOT EXISTS (SELECT 1 FROM known_k kk
+                    WHERE kk.k = ks.k AND kk.customer_id = t.customer_id))""",
+    ]
+
+
+SPLIT = {
+    "train_split": with_tx("SELECT * FROM train", *split_ctes()),
+    "test_split": with_tx("SELECT * FROM test", *split_ctes()),
+    "known_fraud_asof": with_tx(
+        """SELECT customer_id, CAST(s0 + 14 + min(k) AS BIGINT) AS known_from
+FROM known_k, s GROUP BY customer_id, s0""",
+        *split_ctes(),
+    ),
+    "split_stats": with_tx(
+        """SELECT 'train' AS split, count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS frauds FROM train
+UNION ALL
+SELECT 'test' AS split, count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS frauds FROM test""",
+        *split_ctes(),
+    ),
+}
+
+
+# --------------------------------------------------------------------------- assessment
+# Fixed-rule scores on the test set stand in for the models (exact oracle).
+ASSESS_CTES = [
+    *split_ctes(),
+    """scored AS (
+  SELECT *, CASE WHEN tx_amount > 150 THEN 1 ELSE 0 END AS prediction_lm,
+            CASE WHEN term_risk_30 > 0 THEN 1 ELSE 0 END AS prediction_rf
+  FROM test)""",
+    """stacked AS (
+  SELECT 'lm' AS model, tx_fraud AS actual, prediction_lm AS predicted FROM scored
+  UNION ALL
+  SELECT 'rf' AS model, tx_fraud AS actual, prediction_rf AS predicted FROM scored)""",
+    """counts AS (
+  SELECT model,
+         count(*) FILTER (WHERE actual = 1 AND predicted = 1) AS tp,
+         count(*) FILTER (WHERE actual = 0 AND predicted = 1) AS fp,
+         count(*) FILTER (WHERE actual = 1 AND predicted = 0) AS fn,
+         count(*) FILTER (WHERE actual = 0 AND predicted = 0) AS tn
+  FROM stacked GROUP BY model)""",
+]
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"coalesce(CAST({num} AS DOUBLE) / CAST(nullif({den}, 0) AS DOUBLE), 0.0)"
+
+
+ASSESS = {
+    "confusion_matrix": with_tx(
+        """SELECT model, actual,
+       count(*) FILTER (WHERE predicted = 0) AS predicted_0,
+       count(*) FILTER (WHERE predicted = 1) AS predicted_1
+FROM stacked GROUP BY model, actual""",
+        *ASSESS_CTES,
+    ),
+    "classification_metrics": with_tx(
+        f"""SELECT model, tp, fp, fn, tn,
+       {_ratio("tp + tn", "tp + fp + fn + tn")} AS accuracy,
+       {_ratio("tp", "tp + fp")} AS precision,
+       {_ratio("tp", "tp + fn")} AS recall,
+       {_ratio("2 * tp", "2 * tp + fp + fn")} AS f1
+FROM counts""",
+        *ASSESS_CTES,
+    ),
+    "actual_fraud_rows": with_tx("SELECT * FROM scored WHERE tx_fraud = 1", *ASSESS_CTES),
+}
+
+
 def all_sql() -> dict[str, str]:
-    return {**ANALYSIS, **FEATURES}
+    return {**ANALYSIS, **FEATURES, **SPLIT, **ASSESS}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txengine.plans import analysis
 from txengine.session import scratch_path
+from txengine.sources.schema import FEATURE_TABLE_COLUMNS
 from txengine.sources.transactions import (
     events_transactions,
     read_transactions_csv,
@@ -46,6 +47,8 @@ def registry() -> dict[str, Query]:
         q[name] = _on_tx(getattr(analysis, name))
     q["csv_ingest"] = csv_ingest
     q.update(_features_registry())
+    q.update(_split_registry())
+    q.update(_models_registry())
     return q
 
 
@@ -62,3 +65,129 @@ def _features_registry() -> dict[str, Query]:
     for name in ["date_time_features", "customer_features", "terminal_features", "feature_table"]:
         q[name] = _on_tx(getattr(features, name))
     return q
+
+
+# First training day of the events fixture (FIXTURES.md §2); the reference uses 2019-05-25.
+FIXTURE_SPLIT_START = "2024-01-09"
+
+
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saved feature table the split and models read, as the reference reads its
+    saved table: written once per application and fixture into the shared folder,
+    partitioned by TX_TIME_DAYS so that per-day filters prune files."""
+    from txengine.plans.features import feature_table
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "feature_table")
+        feature_table(events_transactions(spark, sf_dir)).write.partitionBy(
+            "tx_time_days"
+        ).parquet(path)
+        _WRITTEN[key] = path
+    df = spark.read.parquet(_WRITTEN[key])
+    return df.select(*FEATURE_TABLE_COLUMNS)
+
+
+def _split_registry() -> dict[str, Query]:
+    from txengine.plans import split
+
+    opts = split.SplitOptions(start=FIXTURE_SPLIT_START)
+
+    def make(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(fixture_features(spark, sf_dir), opts)
+
+        run.__name__ = fn.__name__
+        return run
+
+    return {
+        name: make(getattr(split, name))
+        for name in ["train_split", "known_fraud_asof", "test_split", "split_stats"]
+    }
+
+
+# ----------------------------------------------------------------------------- models
+_FITTED: dict[tuple[str, str], tuple] = {}
+
+
+def fixture_split(spark: SparkSession, sf_dir: str):
+    from txengine.plans import split
+
+    opts = split.SplitOptions(start=FIXTURE_SPLIT_START, sort=False)
+    feats = fixture_features(spark, sf_dir)
+    return split.train_split(feats, opts), split.test_split(feats, opts)
+
+
+def fixture_models(spark: SparkSession, sf_dir: str):
+    """Both models fitted once per application and fixture (train once, score many)."""
+    from txengine.plans import models
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        train, _ = fixture_split(spark, sf_dir)
+        _FITTED[key] = models.fit_both(train)
+    return _FITTED[key]
+
+
+def _models_registry() -> dict[str, Query]:
+    from txengine.plans import assessment, models
+    from txengine.plans.registry import ModelRegistry
+
+    def logistic_scores(spark, sf_dir):
+        lm, _ = fixture_models(spark, sf_dir)
+        return models.score_logistic(lm, fixture_split(spark, sf_dir)[1])
+
+    def forest_scores(spark, sf_dir):
+        _, rf = fixture_models(spark, sf_dir)
+        return models.score_forest(rf, fixture_split(spark, sf_dir)[1])
+
+    def scored_table(spark, sf_dir):
+        lm, rf = fixture_models(spark, sf_dir)
+        return models.score_both(lm, rf, fixture_split(spark, sf_dir)[1])
+
+    def _registered(spark, sf_dir):
+        lm, _ = fixture_models(spark, sf_dir)
+        reg = ModelRegistry.create(spark, scratch_path(spark, "registry"))
+        ref = reg.log_model("logistic_fraud_detection", "v1", lm, {"maxIter": 1000})
+        return reg, ref
+
+    def model_registry_list(spark, sf_dir):
+        reg, _ = _registered(spark, sf_dir)
+        return reg.list_models()
+
+    def registry_scores(spark, sf_dir):
+        _, ref = _registered(spark, sf_dir)
+        return ref.predict(fixture_split(spark, sf_dir)[1])
+
+    def predicted_fraud(spark, sf_dir):
+        return assessment.predicted_fraud(registry_scores(spark, sf_dir))
+
+    def model_confusion_matrix(spark, sf_dir):
+        return assessment.confusion_matrix(scored_table(spark, sf_dir))
+
+    def model_classification_metrics(spark, sf_dir):
+        return assessment.classification_metrics(scored_table(spark, sf_dir))
+
+    def rule(fn):
+        def run(spark, sf_dir):
+            return fn(assessment.rule_scored(fixture_split(spark, sf_dir)[1]))
+
+        run.__name__ = fn.__name__
+        return run
+
+    return {
+        "logistic_scores": logistic_scores,
+        "forest_scores": forest_scores,
+        "scored_table": scored_table,
+        "model_registry_list": model_registry_list,
+        "registry_scores": registry_scores,
+        "predicted_fraud": predicted_fraud,
+        "model_confusion_matrix": model_confusion_matrix,
+        "model_classification_metrics": model_classification_metrics,
+        "confusion_matrix": rule(assessment.confusion_matrix),
+        "classification_metrics": rule(assessment.classification_metrics),
+        "actual_fraud_rows": rule(assessment.actual_fraud_rows),
+    }
