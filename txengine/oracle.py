@@ -40,6 +40,11 @@ def with_tx(body: str, *ctes: str) -> str:
     return f"WITH {TX_CTE}{extra}\n{body}"
 
 
+def on_table(sql: str, table: str) -> str:
+    """Re-aim an oracle at a ready 9-column transaction table instead of ``events``."""
+    return sql.replace(TX_CTE, f"\ntx AS (SELECT * FROM {table})", 1)
+
+
 NUMERIC = [
     "transaction_id", "customer_id", "terminal_id", "tx_amount",
     "tx_time_seconds", "tx_time_days", "tx_fraud", "tx_fraud_scenario",
@@ -306,56 +311,64 @@ def split_ctes(start: str = "2024-01-09") -> list[str]:
     ]
 
 
-SPLIT = {
-    "train_split": with_tx("SELECT * FROM train", *split_ctes()),
-    "test_split": with_tx("SELECT * FROM test", *split_ctes()),
-    "known_fraud_asof": with_tx(
-        """SELECT customer_id, CAST(s0 + 14 + min(k) AS BIGINT) AS known_from
+def split_queries(start: str = "2024-01-09") -> dict[str, str]:
+    ctes = split_ctes(start)
+    return {
+        "train_split": with_tx("SELECT * FROM train", *ctes),
+        "test_split": with_tx("SELECT * FROM test", *ctes),
+        "known_fraud_asof": with_tx(
+            """SELECT customer_id, CAST(s0 + 14 + min(k) AS BIGINT) AS known_from
 FROM known_k, s GROUP BY customer_id, s0""",
-        *split_ctes(),
-    ),
-    "split_stats": with_tx(
-        """SELECT 'train' AS split, count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS frauds FROM train
+            *ctes,
+        ),
+        "split_stats": with_tx(
+            """SELECT 'train' AS split, count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS frauds FROM train
 UNION ALL
 SELECT 'test' AS split, count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS frauds FROM test""",
-        *split_ctes(),
-    ),
-}
+            *ctes,
+        ),
+    }
+
+
+SPLIT = split_queries()
 
 
 # --------------------------------------------------------------------------- assessment
 # Fixed-rule scores on the test set stand in for the models (exact oracle).
-ASSESS_CTES = [
-    *split_ctes(),
-    """scored AS (
-  SELECT *, CASE WHEN tx_amount > 150 THEN 1 ELSE 0 END AS prediction_lm,
-            CASE WHEN term_risk_30 > 0 THEN 1 ELSE 0 END AS prediction_rf
-  FROM test)""",
-    """stacked AS (
-  SELECT 'lm' AS model, tx_fraud AS actual, prediction_lm AS predicted FROM scored
-  UNION ALL
-  SELECT 'rf' AS model, tx_fraud AS actual, prediction_rf AS predicted FROM scored)""",
-    """counts AS (
-  SELECT model,
-         count(*) FILTER (WHERE actual = 1 AND predicted = 1) AS tp,
-         count(*) FILTER (WHERE actual = 0 AND predicted = 1) AS fp,
-         count(*) FILTER (WHERE actual = 1 AND predicted = 0) AS fn,
-         count(*) FILTER (WHERE actual = 0 AND predicted = 0) AS tn
-  FROM stacked GROUP BY model)""",
-]
+def assess_ctes(start: str = "2024-01-09") -> list[str]:
+    return [
+        *split_ctes(start),
+        """scored AS (
+      SELECT *, CASE WHEN tx_amount > 150 THEN 1 ELSE 0 END AS prediction_lm,
+                CASE WHEN term_risk_30 > 0 THEN 1 ELSE 0 END AS prediction_rf
+      FROM test)""",
+        """stacked AS (
+      SELECT 'lm' AS model, tx_fraud AS actual, prediction_lm AS predicted FROM scored
+      UNION ALL
+      SELECT 'rf' AS model, tx_fraud AS actual, prediction_rf AS predicted FROM scored)""",
+        """counts AS (
+      SELECT model,
+             count(*) FILTER (WHERE actual = 1 AND predicted = 1) AS tp,
+             count(*) FILTER (WHERE actual = 0 AND predicted = 1) AS fp,
+             count(*) FILTER (WHERE actual = 1 AND predicted = 0) AS fn,
+             count(*) FILTER (WHERE actual = 0 AND predicted = 0) AS tn
+      FROM stacked GROUP BY model)""",
+    ]
 
 
 def _ratio(num: str, den: str) -> str:
     return f"coalesce(CAST({num} AS DOUBLE) / CAST(nullif({den}, 0) AS DOUBLE), 0.0)"
 
 
-ASSESS = {
+def assess_queries(start: str = "2024-01-09") -> dict[str, str]:
+    ctes = assess_ctes(start)
+    return {
     "confusion_matrix": with_tx(
         """SELECT model, actual,
        count(*) FILTER (WHERE predicted = 0) AS predicted_0,
        count(*) FILTER (WHERE predicted = 1) AS predicted_1
 FROM stacked GROUP BY model, actual""",
-        *ASSESS_CTES,
+        *ctes,
     ),
     "classification_metrics": with_tx(
         f"""SELECT model, tp, fp, fn, tn,
@@ -364,11 +377,14 @@ FROM stacked GROUP BY model, actual""",
        {_ratio("tp", "tp + fn")} AS recall,
        {_ratio("2 * tp", "2 * tp + fp + fn")} AS f1
 FROM counts""",
-        *ASSESS_CTES,
+        *ctes,
     ),
-    "actual_fraud_rows": with_tx("SELECT * FROM scored WHERE tx_fraud = 1", *ASSESS_CTES),
+    "actual_fraud_rows": with_tx("SELECT * FROM scored WHERE tx_fraud = 1", *ctes),
 }
 
 
+ASSESS = assess_queries()
+
+
 def all_sql() -> dict[str, str]:
     return {**ANALYSIS, **FEATURES, **SPLIT, **ASSESS}

@@ -162,6 +162,12 @@ def _models_registry() -> dict[str, Query]:
         _, ref = _registered(spark, sf_dir)
         return ref.predict(fixture_split(spark, sf_dir)[1])
 
+    def stream_scores(spark, sf_dir):
+        from txengine.streaming.scoring import score_folder
+
+        _, ref = _registered(spark, sf_dir)
+        return score_folder(spark, ref, fixture_split(spark, sf_dir)[1])
+
     def predicted_fraud(spark, sf_dir):
         return assessment.predicted_fraud(registry_scores(spark, sf_dir))
 
@@ -185,6 +191,7 @@ def _models_registry() -> dict[str, Query]:
         "model_registry_list": model_registry_list,
         "registry_scores": registry_scores,
         "predicted_fraud": predicted_fraud,
+        "stream_scores": stream_scores,
         "model_confusion_matrix": model_confusion_matrix,
         "model_classification_metrics": model_classification_metrics,
         "confusion_matrix": rule(assessment.confusion_matrix),

@@ -201,7 +201,7 @@ def _attach_terminal(fact: DataFrame, rows: DataFrame, first: Column, opts: Feat
 def terminal_features(tx: DataFrame, opts: FeatureOptions = DEFAULT) -> DataFrame:
     rows, first = _base(tx, opts)
     fact = rows.filter(F.col("terminal_id").isNotNull()).select(
-        "transaction_id", "terminal_id", "tx_datetime", DAY
+        "transaction_id", "terminal_id", "tx_datetime", "tx_fraud", DAY
     )
     out = _attach_terminal(fact, rows, first, opts)
     return out.select("transaction_id", "terminal_id", "tx_datetime", *_names(TERMINAL_FEATURES, opts))
