@@ -59,12 +59,22 @@ def test_grid_queries(tx, con, key):
     _same(getattr(calendar, key)(tx), con, oracle.FEATURES[key])
 
 
-@pytest.mark.parametrize("key", ["date_time_features", "customer_features", "feature_table"])
-def test_feature_queries_literal(tx, con, key):
-    fn = features.date_time_features if key == "date_time_features" else (
-        lambda t: getattr(features, key)(t, LITERAL)
-    )
-    _same(fn(tx), con, oracle.FEATURES[key])
+def test_date_time_features(tx, con):
+    _same(features.date_time_features(tx), con, oracle.FEATURES["date_time_features"])
+
+
+@pytest.mark.parametrize("plan", ["direct", "salted", "auto"])
+@pytest.mark.parametrize("key", ["customer_features", "feature_table"])
+def test_feature_queries_literal(tx, con, key, plan):
+    opts = FeatureOptions(literal_current_day_labels=True, customer_plan=plan)
+    _same(getattr(features, key)(tx, opts), con, oracle.FEATURES[key])
+
+
+def test_auto_plan_switches_on_heavy_key(tx, con):
+    """A budget below the heaviest customer's rows selects the salted plan; same result."""
+    opts = FeatureOptions(literal_current_day_labels=True, max_rows_per_key=5)
+    assert features.heaviest_key_rows(tx, "customer_id") > 5
+    _same(features.feature_table(tx, opts), con, oracle.FEATURES["feature_table"])
 
 
 def test_terminal_features_literal(tx, con):

@@ -17,11 +17,23 @@ def test_feature_table_has_no_cross_join(spark):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_running_window_is_salted_by_second(spark):
-    plan = features.feature_table(events_transactions(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+def test_salted_plan_partitions_by_second(spark):
+    opts = features.FeatureOptions(customer_plan="salted")
+    plan = _plan(features.feature_table(events_transactions(spark, SF001), opts))
     # the per-row running window is partitioned by (customer, second), never by customer alone
-    assert "hashpartitioning(customer_id" in plan
-    assert "_sec" in plan
+    assert "hashpartitioning(customer_id#" in plan and "_sec" in plan
+    assert not any(
+        line.strip().startswith("Exchange hashpartitioning(customer_id") and "_sec" not in line
+        and "day_no" not in line
+        for line in plan.splitlines()
+    )
+
+
+def test_direct_plan_shuffles_fact_once_for_customers(spark):
+    opts = features.FeatureOptions(customer_plan="direct")
+    plan = _plan(features.feature_table(events_transactions(spark, SF001), opts))
+    fact_exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning(customer_id" in l]
+    assert len(fact_exchanges) == 1
 
 
 def test_terminal_side_is_broadcast_when_small(spark):

@@ -8,10 +8,13 @@ Per transaction:
     only labels old enough to be known are used.
 
 Spark plan (no dense grid, no cross join):
-  tx ──► flags, day number ──┬─► customer: per-(customer, day, second) totals ──► daily
-                             │      trailing RANGE windows (≤ one row per day and key)
-                             │      + earlier-seconds prefix; fact rows: running window per
-                             │      (customer, second); one equi-join on (customer, second)
+  tx ──► flags, day number ──┬─► customer, measured first (rows of the heaviest customer):
+                             │    direct: one exchange by customer; RANGE frames on the day
+                             │      number, then the running frame per (customer, day)
+                             │    salted (a customer over budget): per-(customer, day,
+                             │      second) totals ──► daily trailing RANGE windows (≤ one
+                             │      row per day and key) + earlier-seconds prefix; fact rows:
+                             │      running window per (customer, second); one equi-join
                              └─► terminal: per-(terminal, day) label counts ──► RANGE
                                     windows [-(n+7), -8] ──► written, size-checked,
                                     broadcast (or shuffle-joined) on (terminal, day)
@@ -31,7 +34,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txengine.functions.columns import cents, day_number, money, night_flag, weekend_flag
@@ -67,6 +70,10 @@ class FeatureOptions:
     terminal_window_7: str = "intended"  # or "literal"
     literal_current_day_labels: bool = False
     max_broadcast_rows: int | None = None
+    # customer plan: "direct" windows over each customer's rows, "salted" per-second
+    # decomposition, "auto" = direct when the heaviest customer is within the budget
+    customer_plan: str = "auto"
+    max_rows_per_key: int = 2_000_000
 
 
 DEFAULT = FeatureOptions()
@@ -101,16 +108,83 @@ def _base(tx: DataFrame, opts: FeatureOptions) -> tuple[DataFrame, Column]:
 _CUST_RUN = [Measure("cur_n", "count", "customer_id"), Measure("cur_c", "sum", "_c")]
 
 
-def _customer_side(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
-    """Rows with a customer, plus CUST_CNT_TX_n and CUST_AVG_AMOUNT_n."""
-    key = "customer_id"
-    rows = add_second(rows.filter(F.col(key).isNotNull()), "tx_datetime").withColumns(
+def _customer_inputs(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("customer_id").isNotNull()).withColumns(
         {
             "_c": cents("tx_amount"),
             "_pos": F.when(F.coalesce(F.col("tx_amount"), F.lit(0.0)) > 0, 1).otherwise(0),
             "_c0": F.coalesce(cents("tx_amount"), F.lit(0)),
         }
     )
+
+
+def heaviest_key_rows(rows: DataFrame, key: str) -> int:
+    """Rows of the most frequent non-NULL key: one narrow aggregation (partial counts per
+    task, one row per key shuffled), one number to the driver."""
+    top = (
+        rows.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.max("n"))
+        .first()[0]
+    )
+    return int(top or 0)
+
+
+def _customer_side(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
+    """Rows with a customer, plus CUST_CNT_TX_n and CUST_AVG_AMOUNT_n.
+
+    Two exact plans. "direct": the fact rows are shuffled once by customer and two window
+    passes run per customer (trailing RANGE frames on the day number, then the running
+    frame per day); one task then holds all rows of one customer. "salted": per-second
+    decomposition (``operators.running``), where no task holds more than one customer's
+    rows of one second or 86,400 aggregated rows. "auto" measures the heaviest customer
+    first and takes "direct" only when it fits ``max_rows_per_key``.
+    """
+    plan = opts.customer_plan
+    if plan == "auto":
+        heavy = heaviest_key_rows(rows, "customer_id")
+        plan = "direct" if heavy <= opts.max_rows_per_key else "salted"
+    if plan == "direct":
+        return _customer_side_direct(rows, opts)
+    return _customer_side_salted(rows, opts)
+
+
+def _customer_features(prev_n: str, prev_c: str, cur_n: str, cur_c: str, opts) -> dict[str, Column]:
+    feats = {}
+    for n in opts.windows:
+        cnt = F.coalesce(F.col(f"{prev_n}{n}"), F.lit(0)) + F.col(cur_n)
+        amt = money(F.coalesce(F.col(f"{prev_c}{n}"), F.lit(0)) + F.col(cur_c))
+        feats[f"cust_cnt_tx_{n}"] = cnt
+        feats[f"cust_avg_amount_{n}"] = amt / cnt
+    return feats
+
+
+def _customer_side_direct(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
+    """One exchange by customer serves both windows: the customer-wide trailing frames
+    first, then the (customer, day) running frame, whose partitioning the first satisfies."""
+    key = "customer_id"
+    rows = _customer_inputs(rows)
+    by_day = Window.partitionBy(key).orderBy(DAY)
+    trailing_cols = {}
+    for n in opts.windows:
+        trailing_cols[f"_prev_n_{n}"] = F.sum("_pos").over(by_day.rangeBetween(-n, -1))
+        trailing_cols[f"_prev_c_{n}"] = F.sum("_c0").over(by_day.rangeBetween(-n, -1))
+    today = (
+        Window.partitionBy(key, DAY)
+        .orderBy("tx_datetime")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    out = rows.withColumns(trailing_cols).withColumns(
+        {"_cur_n": F.count(key).over(today), "_cur_c": F.sum("_c").over(today)}
+    )
+    out = out.withColumns(_customer_features("_prev_n_", "_prev_c_", "_cur_n", "_cur_c", opts))
+    return out.drop("_c", "_pos", "_c0", "_cur_n", "_cur_c", *trailing_cols)
+
+
+def _customer_side_salted(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
+    key = "customer_id"
+    rows = add_second(_customer_inputs(rows), "tx_datetime")
     # Daily totals straight from the rows: map-side partial aggregation leaves one row
     # per (customer, day) and task; the trailing windows then see one row per day and key.
     daily = rows.groupBy(key, DAY).agg(F.sum("_pos").alias("n_pos"), F.sum("_c0").alias("c0"))
@@ -125,12 +199,7 @@ def _customer_side(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
     ).drop(DAY)
     fact = within_second(rows, key, "tx_datetime", _CUST_RUN).join(per_key_sec, [key, SEC], "inner")
     fact = fact.withColumns(combine(_CUST_RUN))
-    feats = {}
-    for n in opts.windows:
-        cnt = F.coalesce(F.col(f"_prev_n_{n}"), F.lit(0)) + F.col("cur_n")
-        amt = money(F.coalesce(F.col(f"_prev_c_{n}"), F.lit(0)) + F.col("cur_c"))
-        feats[f"cust_cnt_tx_{n}"] = cnt
-        feats[f"cust_avg_amount_{n}"] = amt / cnt
+    feats = _customer_features("_prev_n_", "_prev_c_", "cur_n", "cur_c", opts)
     drop = scratch_columns(_CUST_RUN) + ["_c", "_pos", "_c0", "cur_n", "cur_c"] + list(frames)
     return fact.withColumns(feats).drop(*drop)
 
