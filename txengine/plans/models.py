@@ -1,9 +1,10 @@
 """Model training and chained batch scoring (the reference's training step), on Spark ML.
 
 Parameter mapping from the reference's estimators (library defaults documented publicly):
-  logistic regression: L2 penalty with C = 1 on the summed loss, unscaled inputs
+  logistic regression: L2 penalty with C = 1 on the summed loss, unscaled inputs,
+      stopping tolerance 1e-4
       -> ``regParam = 1 / n``, ``elasticNetParam = 0``, ``standardization = False``,
-         ``maxIter = 1000``;
+         ``tol = 1e-4``, ``maxIter = 1000``;
   random forest: 100 trees, Gini, sqrt(features) per split, bootstrap
       -> ``numTrees = 100``, ``impurity = "gini"``, ``featureSubsetStrategy = "sqrt"``;
          the reference grows unbounded trees, Spark caps depth (default here 10, max 30).
@@ -33,6 +34,7 @@ class ModelOptions:
     label: str = LABEL
     handle_invalid: str = "error"  # rows with NULL inputs (first calendar day) raise; "skip" drops
     lr_max_iter: int = 1000
+    lr_tol: float = 1e-4
     lr_standardization: bool = False
     rf_trees: int = 100
     rf_max_depth: int = 10
@@ -62,17 +64,24 @@ def fit_forest(train: DataFrame, opts: ModelOptions = ModelOptions()) -> Pipelin
 
 
 def fit_both(train: DataFrame, opts: ModelOptions = ModelOptions()) -> tuple[PipelineModel, PipelineModel]:
-    """Write the training set once, fit both models on it."""
+    """Write the training set once, keep it in executor memory (spilling to disk) for the
+    iterations of both fits, release it after."""
+    from pyspark import StorageLevel
+
     data, n = _training_frame(train, opts)
-    return fit_logistic_on(data, n, opts), fit_forest_on(data, opts)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fit_logistic_on(data, n, opts), fit_forest_on(data, opts)
+    finally:
+        data.unpersist()
 
 
 def fit_logistic_on(data: DataFrame, n: int, opts: ModelOptions) -> PipelineModel:
     lr = LogisticRegression(
         featuresCol="features_lm", labelCol=opts.label, predictionCol="prediction_lm",
         rawPredictionCol="raw_lm", probabilityCol="probability_lm",
-        maxIter=opts.lr_max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
-        standardization=opts.lr_standardization,
+        maxIter=opts.lr_max_iter, tol=opts.lr_tol, regParam=1.0 / max(n, 1),
+        elasticNetParam=0.0, standardization=opts.lr_standardization,
     )
     return Pipeline(stages=[_assembler(opts, "lm"), lr]).fit(data)
 
