@@ -38,3 +38,25 @@ def test_entry_runs(spark):
     df = e.entry(spark)
     assert len(df.columns) == 23
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def test_column_types_match_oracle(spark):
+    import __spark_entry__ as e
+    from oracle_compare import duck
+
+    con = duck(SF0001)
+    bad = {}
+    for k, sql in e.oracle_sql().items():
+        s = dict(e.queries()[k](spark, SF0001).dtypes)
+        rel = con.sql(sql)
+        d = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+        diff = {c: (t, d.get(c)) for c, t in s.items() if SPARK_TO_DUCK.get(t, t) != d.get(c)}
+        if diff:
+            bad[k] = diff
+    assert not bad

@@ -71,7 +71,7 @@ def _features_registry() -> dict[str, Query]:
 FIXTURE_SPLIT_START = "2024-01-09"
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str], tuple] = {}
 
 
 def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,12 +83,12 @@ def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         path = scratch_path(spark, "feature_table")
-        feature_table(events_transactions(spark, sf_dir)).write.partitionBy(
-            "tx_time_days"
-        ).parquet(path)
-        _WRITTEN[key] = path
-    df = spark.read.parquet(_WRITTEN[key])
-    return df.select(*FEATURE_TABLE_COLUMNS)
+        df = feature_table(events_transactions(spark, sf_dir))
+        df.write.partitionBy("tx_time_days").parquet(path)
+        _WRITTEN[key] = (path, df.schema)
+    path, schema = _WRITTEN[key]
+    # the declared schema keeps the partition column BIGINT (inference would make it INT)
+    return spark.read.schema(schema).parquet(path).select(*FEATURE_TABLE_COLUMNS)
 
 
 def _split_registry() -> dict[str, Query]:
