@@ -41,6 +41,8 @@ def build_session(
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         settings.setdefault("spark.driver.memory", "16g")
+        # local runs keep catalog tables out of the working directory
+        settings.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="txengine-wh-"))
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
