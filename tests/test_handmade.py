@@ -54,6 +54,12 @@ GRID_KEYS = [
 ]
 
 
+@pytest.mark.parametrize("plan", ["direct", "salted"])
+@pytest.mark.parametrize("key", ["customer_running_day", "terminal_running_day"])
+def test_running_day_plans(tx, con, key, plan):
+    _same(getattr(calendar, key)(tx, plan=plan), con, oracle.FEATURES[key])
+
+
 @pytest.mark.parametrize("key", GRID_KEYS)
 def test_grid_queries(tx, con, key):
     _same(getattr(calendar, key)(tx), con, oracle.FEATURES[key])
@@ -73,7 +79,9 @@ def test_feature_queries_literal(tx, con, key, plan):
 def test_auto_plan_switches_on_heavy_key(tx, con):
     """A budget below the heaviest customer's rows selects the salted plan; same result."""
     opts = FeatureOptions(literal_current_day_labels=True, max_rows_per_key=5)
-    assert features.heaviest_key_rows(tx, "customer_id") > 5
+    from txengine.operators.running import heaviest_key_rows
+
+    assert heaviest_key_rows(tx, "customer_id") > 5
     _same(features.feature_table(tx, opts), con, oracle.FEATURES["feature_table"])
 
 

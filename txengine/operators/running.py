@@ -96,11 +96,51 @@ def scratch_columns(measures: list[Measure]) -> list[str]:
     return [SEC] + [f"_{x}_{m.name}" for m in measures for x in "bpw"]
 
 
+DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
+
+
+def heaviest_key_rows(rows: DataFrame, key: str) -> int:
+    """Rows of the most frequent non-NULL key: one narrow aggregation (partial counts per
+    task, one row per key shuffled), one number to the driver."""
+    top = (
+        rows.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.max("n"))
+        .first()[0]
+    )
+    return int(top or 0)
+
+
+def choose_plan(rows: DataFrame, key: str, plan: str, max_rows_per_key: int) -> str:
+    """"auto" -> "direct" when the heaviest key fits the per-task budget, else "salted"."""
+    if plan != "auto":
+        return plan
+    return "direct" if heaviest_key_rows(rows, key) <= max_rows_per_key else "salted"
+
+
 def running_today(
-    rows: DataFrame, key: str, day: str, ts: str, measures: list[Measure]
+    rows: DataFrame,
+    key: str,
+    day: str,
+    ts: str,
+    measures: list[Measure],
+    plan: str = "auto",
+    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Add one column per measure: its total over the rows of the same key and day with a
-    timestamp <= this row's. ``rows`` must not hold NULL keys or timestamps."""
+    timestamp <= this row's. ``rows`` must not hold NULL keys or timestamps.
+
+    ``plan``: "direct" (one window per key and day), "salted" (per-second decomposition
+    above) or "auto" (direct when the heaviest key has at most ``max_rows_per_key`` rows).
+    """
+    if choose_plan(rows, key, plan, max_rows_per_key) == "direct":
+        w = (
+            Window.partitionBy(key, day)
+            .orderBy(ts)
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        return rows.withColumns({m.name: m.agg().over(w) for m in measures})
     rows = add_second(rows, ts)
     prefix = earlier_seconds(per_second(rows, key, day, measures), key, day, measures)
     prefix = prefix.select(key, SEC, *[f"_p_{m.name}" for m in measures])

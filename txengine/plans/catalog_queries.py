@@ -111,6 +111,7 @@ def _split_registry() -> dict[str, Query]:
 
 # ----------------------------------------------------------------------------- models
 _FITTED: dict[tuple[str, str], tuple] = {}
+_REGISTERED: dict[tuple[str, str], tuple] = {}
 
 
 def fixture_split(spark: SparkSession, sf_dir: str):
@@ -149,10 +150,14 @@ def _models_registry() -> dict[str, Query]:
         return models.score_both(lm, rf, fixture_split(spark, sf_dir)[1])
 
     def _registered(spark, sf_dir):
-        lm, _ = fixture_models(spark, sf_dir)
-        reg = ModelRegistry.create(spark, scratch_path(spark, "registry"))
-        ref = reg.log_model("logistic_fraud_detection", "v1", lm, {"maxIter": 1000})
-        return reg, ref
+        """The logistic model logged once per application and fixture."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _REGISTERED:
+            lm, _ = fixture_models(spark, sf_dir)
+            reg = ModelRegistry.create(spark, scratch_path(spark, "registry"))
+            ref = reg.log_model("logistic_fraud_detection", "v1", lm, {"maxIter": 1000})
+            _REGISTERED[key] = (reg, ref)
+        return _REGISTERED[key]
 
     def model_registry_list(spark, sf_dir):
         reg, _ = _registered(spark, sf_dir)

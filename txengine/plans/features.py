@@ -43,6 +43,7 @@ from txengine.operators.running import (
     SEC,
     Measure,
     add_second,
+    choose_plan,
     combine,
     earlier_seconds,
     per_second,
@@ -118,19 +119,6 @@ def _customer_inputs(rows: DataFrame) -> DataFrame:
     )
 
 
-def heaviest_key_rows(rows: DataFrame, key: str) -> int:
-    """Rows of the most frequent non-NULL key: one narrow aggregation (partial counts per
-    task, one row per key shuffled), one number to the driver."""
-    top = (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n"))
-        .first()[0]
-    )
-    return int(top or 0)
-
-
 def _customer_side(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
     """Rows with a customer, plus CUST_CNT_TX_n and CUST_AVG_AMOUNT_n.
 
@@ -141,10 +129,7 @@ def _customer_side(rows: DataFrame, opts: FeatureOptions) -> DataFrame:
     rows of one second or 86,400 aggregated rows. "auto" measures the heaviest customer
     first and takes "direct" only when it fits ``max_rows_per_key``.
     """
-    plan = opts.customer_plan
-    if plan == "auto":
-        heavy = heaviest_key_rows(rows, "customer_id")
-        plan = "direct" if heavy <= opts.max_rows_per_key else "salted"
+    plan = choose_plan(rows, "customer_id", opts.customer_plan, opts.max_rows_per_key)
     if plan == "direct":
         return _customer_side_direct(rows, opts)
     return _customer_side_salted(rows, opts)
@@ -254,7 +239,8 @@ def _attach_terminal(fact: DataFrame, rows: DataFrame, first: Column, opts: Feat
         # D18: the reference's risk is 0 when today's running fraud sum on the terminal (up
         # to this timestamp) is NULL, i.e. every label so far today is NULL.
         out = running_today(
-            out, "terminal_id", DAY, "tx_datetime", [Measure("_cur_fraud", "sum", "tx_fraud")]
+            out, "terminal_id", DAY, "tx_datetime", [Measure("_cur_fraud", "sum", "tx_fraud")],
+            opts.customer_plan, opts.max_rows_per_key,
         )
         out = out.withColumns(
             {
