@@ -47,8 +47,6 @@ def _norm(v):
         return v.isoformat()
     if hasattr(v, "item"):
         return _norm(v.item())
-    if isinstance(v, int):
-        return repr(float(v)) if False else v
     return v
 
 

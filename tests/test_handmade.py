@@ -85,6 +85,10 @@ def test_auto_plan_switches_on_heavy_key(tx, con):
     _same(features.feature_table(tx, opts), con, oracle.FEATURES["feature_table"])
 
 
+def test_feature_table_grid_form(tx, con):
+    _same(calendar.feature_table_grid(tx), con, oracle.FEATURES["feature_table"])
+
+
 def test_terminal_features_literal(tx, con):
     _same(features.terminal_features(tx, LITERAL), con, oracle.FEATURES["terminal_features"])
 

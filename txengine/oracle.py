@@ -282,6 +282,7 @@ FROM term_feat""",
         _term_join("in_cal"),
     ),
     "feature_table": with_tx("SELECT * FROM features", *FEATURE_TABLE_CTES),
+    "feature_table_grid": with_tx("SELECT * FROM features", *FEATURE_TABLE_CTES),
 }
 
 

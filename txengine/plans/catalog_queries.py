@@ -60,6 +60,7 @@ def _features_registry() -> dict[str, Query]:
         "date_bounds", "calendar_days", "customer_day_grid", "customer_daily",
         "customer_trailing_daily", "customer_running_day", "terminal_day_grid",
         "terminal_daily", "terminal_trailing_daily", "terminal_running_day",
+        "feature_table_grid",
     ]:
         q[name] = _on_tx(getattr(calendar, name))
     for name in ["date_time_features", "customer_features", "terminal_features", "feature_table"]:
