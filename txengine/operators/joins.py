@@ -27,6 +27,16 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFram
     return written, written.count()
 
 
+def checked_side(side: DataFrame, max_broadcast_rows: int | None = None, name: str = "side") -> DataFrame:
+    """Materialize a derived per-key table and mark it for broadcast only below a checked
+    size: its row count comes from the Parquet footers. At or below ``max_broadcast_rows``
+    a join with it broadcasts it (no shuffle of the other side); above, the join is a
+    plain shuffle join, which AQE may still split on skewed keys."""
+    limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    written, n = materialize(side.sparkSession, side, name)
+    return F.broadcast(written) if n <= limit else written
+
+
 def join_checked(
     fact: DataFrame,
     side: DataFrame,
@@ -35,14 +45,5 @@ def join_checked(
     max_broadcast_rows: int | None = None,
     name: str = "side",
 ) -> DataFrame:
-    """Join ``fact`` with a derived per-key table, broadcasting it only below a checked size.
-
-    The side is materialized first; its row count then comes from the Parquet footers. At
-    or below ``max_broadcast_rows`` it is broadcast (no shuffle of the fact rows); above,
-    the join is a plain shuffle join, which AQE may still split on skewed keys.
-    """
-    spark = fact.sparkSession
-    limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
-    written, n = materialize(spark, side, name)
-    right = F.broadcast(written) if n <= limit else written
-    return fact.join(right, on, how)
+    """Join ``fact`` with a derived per-key table, broadcasting it only below a checked size."""
+    return fact.join(checked_side(side, max_broadcast_rows, name), on, how)

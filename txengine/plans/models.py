@@ -65,13 +65,20 @@ def fit_forest(train: DataFrame, opts: ModelOptions = ModelOptions()) -> Pipelin
 
 def fit_both(train: DataFrame, opts: ModelOptions = ModelOptions()) -> tuple[PipelineModel, PipelineModel]:
     """Write the training set once, keep it in executor memory (spilling to disk) for the
-    iterations of both fits, release it after."""
+    iterations of both fits, release it after. The two fits are independent Spark jobs
+    and are submitted from two driver threads, so that one fit's many small iteration
+    jobs fill the slots the other leaves idle."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark import StorageLevel
 
     data, n = _training_frame(train, opts)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return fit_logistic_on(data, n, opts), fit_forest_on(data, opts)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            lm = pool.submit(fit_logistic_on, data, n, opts)
+            rf = pool.submit(fit_forest_on, data, opts)
+            return lm.result(), rf.result()
     finally:
         data.unpersist()
 
