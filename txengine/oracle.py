@@ -28,6 +28,31 @@ tx AS (
   FROM events e CROSS JOIN bounds0 b
 )"""
 
+# lineitem + orders -> 9-column transactions (FIXTURES.md §3, the wide-calendar fixture)
+LINEITEM_TX_CTE = """
+bounds0 AS (SELECT min(CAST(l_shipdate AS DATE)) AS d0 FROM lineitem),
+tx AS (
+  SELECT l.l_orderkey * 8 + l.l_linenumber AS transaction_id,
+         l.l_shipdate AS tx_datetime,
+         o.o_custkey AS customer_id,
+         l.l_suppkey AS terminal_id,
+         l.l_extendedprice AS tx_amount,
+         CAST((CAST(l.l_shipdate AS DATE) - b.d0) * 86400 + hour(l.l_shipdate) * 3600
+              + minute(l.l_shipdate) * 60 + second(l.l_shipdate) AS BIGINT) AS tx_time_seconds,
+         CAST(CAST(l.l_shipdate AS DATE) - b.d0 AS BIGINT) AS tx_time_days,
+         CAST(CASE WHEN l.l_returnflag = 'R' AND l.l_discount > 0.095 THEN 1 ELSE 0 END AS BIGINT)
+           AS tx_fraud,
+         CAST(CASE WHEN l.l_returnflag = 'R' AND l.l_discount > 0.095 THEN 1 + l.l_suppkey % 3
+                   ELSE 0 END AS BIGINT) AS tx_fraud_scenario
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey CROSS JOIN bounds0 b
+)"""
+
+
+def on_lineitem(sql: str) -> str:
+    """Re-aim an oracle at the lineitem + orders fixture."""
+    return sql.replace(TX_CTE, LINEITEM_TX_CTE, 1)
+
+
 CENTS = "CAST(round({x} * 100) AS BIGINT)"
 
 
@@ -284,6 +309,7 @@ FROM term_feat""",
     "feature_table": with_tx("SELECT * FROM features", *FEATURE_TABLE_CTES),
     "feature_table_grid": with_tx("SELECT * FROM features", *FEATURE_TABLE_CTES),
 }
+FEATURES["lineitem_feature_table"] = on_lineitem(FEATURES["feature_table"])
 
 
 

@@ -13,6 +13,7 @@ from txengine.session import scratch_path
 from txengine.sources.schema import FEATURE_TABLE_COLUMNS
 from txengine.sources.transactions import (
     events_transactions,
+    lineitem_transactions,
     read_transactions_csv,
     write_transactions_csv,
 )
@@ -65,6 +66,13 @@ def _features_registry() -> dict[str, Query]:
         q[name] = _on_tx(getattr(calendar, name))
     for name in ["date_time_features", "customer_features", "terminal_features", "feature_table"]:
         q[name] = _on_tx(getattr(features, name))
+
+    def lineitem_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The feature table on the wide-calendar fixture (lineitem + orders): 2,498 days,
+        every timestamp at midnight, so all of a day's rows are RANGE peers."""
+        return features.feature_table(lineitem_transactions(spark, sf_dir))
+
+    q["lineitem_feature_table"] = lineitem_feature_table
     return q
 
 
