@@ -26,6 +26,7 @@ def build_session(
     app_name: str = "txengine",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    event_log_dir: str | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the engine's settings.
 
@@ -43,6 +44,10 @@ def build_session(
         settings.setdefault("spark.driver.memory", "16g")
         # local runs keep catalog tables out of the working directory
         settings.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="txengine-wh-"))
+    if event_log_dir:
+        # stage and task times without the UI: read them back with tests/stage_times.py
+        settings["spark.eventLog.enabled"] = "true"
+        settings["spark.eventLog.dir"] = event_log_dir
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
