@@ -39,3 +39,26 @@ def test_copy_into_table_and_dimensions(spark):
     cust = dimension(spark.table(table), "customer_id").collect()
     assert [r[0] for r in cust] == sorted({r[2] for r in handmade.rows()}, key=lambda v: (v is not None, v))
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_reads_whole_second_timestamps(spark):
+    """Rows laid out as the reference's stage file: 9 columns, no header, times without
+    fractions of a second."""
+    import datetime as dt
+    import gzip
+    import os
+
+    path = scratch_path(spark, "csv_ref")
+    local = path.replace("file:", "", 1)
+    os.makedirs(local, exist_ok=True)
+    lines = [
+        "0,2018-04-01 00:00:31,596,3156,57.16,31,0,0,0",
+        "1,2018-04-01 00:02:10,4961,3412,81.51,130,0,0,0",
+        "2,2018-04-01 00:07:56,2,1365,146.0,476,0,1,1",
+    ]
+    with gzip.open(f"{local}/part-0.csv.gz", "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    rows = read_transactions_csv(spark, path).orderBy("transaction_id").collect()
+    assert len(rows) == 3
+    assert rows[0]["tx_datetime"] == dt.datetime(2018, 4, 1, 0, 0, 31)
+    assert rows[2]["tx_amount"] == 146.0 and rows[2]["tx_fraud"] == 1
