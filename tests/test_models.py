@@ -100,7 +100,7 @@ def test_streaming_deployment_resumes_exactly_once(spark, fitted, test_set):
     first = test_set.filter("tx_time_days % 2 = 0")
     second = test_set.filter("tx_time_days % 2 = 1")
     first.write.parquet(f"{source}/batch=1")
-    deploy(spark, ref, source, sink, test_set.schema, ckpt).awaitTermination()
+    ref.deploy(source, sink, test_set.schema, checkpoint_path=ckpt).awaitTermination()
     n1 = spark.read.parquet(sink).count()
     second.write.parquet(f"{source}/batch=2")
     deploy(spark, ref, source, sink, test_set.schema, ckpt).awaitTermination()

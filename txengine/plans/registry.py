@@ -98,6 +98,13 @@ class ModelRef:
     def load(self) -> PipelineModel:
         return PipelineModel.load(self.path)
 
+    def deploy(self, source_path: str, sink_path: str, schema, **options):
+        """Permanent deployment: a streaming job scoring every file that lands in
+        ``source_path`` into ``sink_path`` (see ``txengine.streaming.scoring.deploy``)."""
+        from txengine.streaming.scoring import deploy
+
+        return deploy(self.registry.spark, self, source_path, sink_path, schema, **options)
+
     def predict(self, df: DataFrame) -> DataFrame:
         """Batch scoring with the registered model (deploy + predict, as a Spark job)."""
         from txengine.plans.models import _finish
