@@ -135,7 +135,6 @@ FROM tx WHERE tx_fraud = 1 GROUP BY customer_id"""
 
 # --------------------------------------------------------------------------- features
 # The reference's grid formulation, step by step.
-C = "CAST(round({x} * 100) AS BIGINT)"
 GRID_CTES = [
     """flags AS (
   SELECT *,
@@ -157,7 +156,7 @@ GRID_CTES = [
     "term_day AS (SELECT d.tx_date, t.terminal_id FROM days d CROSS JOIN terminals t)",
     f"""cust_trx_day AS (
   SELECT g.customer_id, g.tx_date,
-         CAST(sum({C.format(x="coalesce(t.tx_amount, 0)")}) AS BIGINT) AS tot_c,
+         CAST(sum({CENTS.format(x="coalesce(t.tx_amount, 0)")}) AS BIGINT) AS tot_c,
          CAST(sum(CASE WHEN coalesce(t.tx_amount, 0) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS no_trx
   FROM tx t RIGHT JOIN cust_day g
     ON t.customer_id = g.customer_id AND CAST(t.tx_datetime AS DATE) = g.tx_date
@@ -174,7 +173,7 @@ GRID_CTES = [
     f"""cust_run AS (
   SELECT t.*, f.p_n_1, f.p_n_7, f.p_n_30, f.p_c_1, f.p_c_7, f.p_c_30,
          count(t.customer_id) OVER r AS cur_day_trx,
-         sum({C.format(x="t.tx_amount")}) OVER r AS cur_day_c
+         sum({CENTS.format(x="t.tx_amount")}) OVER r AS cur_day_c
   FROM flags t JOIN cust_feat_day f
     ON t.customer_id = f.customer_id AND CAST(t.tx_datetime AS DATE) = f.tx_date
   WINDOW r AS (PARTITION BY t.customer_id, CAST(t.tx_datetime AS DATE) ORDER BY t.tx_datetime
@@ -282,7 +281,7 @@ FROM cust_feat_day"""
     "customer_running_day": with_tx(
         f"""SELECT transaction_id, customer_id, tx_datetime,
        count(customer_id) OVER r AS cur_day_trx,
-       CAST(sum({C.format(x="tx_amount")}) OVER r AS DOUBLE) / 100.0::DOUBLE AS cur_day_amt
+       CAST(sum({CENTS.format(x="tx_amount")}) OVER r AS DOUBLE) / 100.0::DOUBLE AS cur_day_amt
 FROM tx WHERE customer_id IS NOT NULL AND tx_datetime IS NOT NULL
 WINDOW r AS (PARTITION BY customer_id, CAST(tx_datetime AS DATE) ORDER BY tx_datetime
              RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
@@ -390,24 +389,24 @@ def _ratio(num: str, den: str) -> str:
 def assess_queries(start: str = "2024-01-09") -> dict[str, str]:
     ctes = assess_ctes(start)
     return {
-    "confusion_matrix": with_tx(
-        """SELECT model, actual,
-       count(*) FILTER (WHERE predicted = 0) AS predicted_0,
-       count(*) FILTER (WHERE predicted = 1) AS predicted_1
-FROM stacked GROUP BY model, actual""",
-        *ctes,
-    ),
-    "classification_metrics": with_tx(
-        f"""SELECT model, tp, fp, fn, tn,
-       {_ratio("tp + tn", "tp + fp + fn + tn")} AS accuracy,
-       {_ratio("tp", "tp + fp")} AS precision,
-       {_ratio("tp", "tp + fn")} AS recall,
-       {_ratio("2 * tp", "2 * tp + fp + fn")} AS f1
-FROM counts""",
-        *ctes,
-    ),
-    "actual_fraud_rows": with_tx("SELECT * FROM scored WHERE tx_fraud = 1", *ctes),
-}
+        "confusion_matrix": with_tx(
+            """SELECT model, actual,
+           count(*) FILTER (WHERE predicted = 0) AS predicted_0,
+           count(*) FILTER (WHERE predicted = 1) AS predicted_1
+    FROM stacked GROUP BY model, actual""",
+            *ctes,
+        ),
+        "classification_metrics": with_tx(
+            f"""SELECT model, tp, fp, fn, tn,
+           {_ratio("tp + tn", "tp + fp + fn + tn")} AS accuracy,
+           {_ratio("tp", "tp + fp")} AS precision,
+           {_ratio("tp", "tp + fn")} AS recall,
+           {_ratio("2 * tp", "2 * tp + fp + fn")} AS f1
+    FROM counts""",
+            *ctes,
+        ),
+        "actual_fraud_rows": with_tx("SELECT * FROM scored WHERE tx_fraud = 1", *ctes),
+    }
 
 
 ASSESS = assess_queries()
