@@ -32,3 +32,14 @@ def test_five_steps(spark):
     assert metrics.count() == 2
     assert frauds.count() == 18
     spark.sql("DROP DATABASE IF EXISTS txengine_e2e CASCADE")
+
+
+def test_command_line_analyse(spark, capsys):
+    from txengine.__main__ import main
+
+    stage = scratch_path(spark, "stage_cli")
+    write_transactions_csv(events_transactions(spark, SF001), stage)
+    main(["setup", "--csv", stage, "--database", "txengine_cli", "--show", "1"])
+    main(["analyse", "--query", "top_spenders", "--database", "txengine_cli", "--show", "1"])
+    assert "5685.67" in capsys.readouterr().out
+    spark.sql("DROP DATABASE IF EXISTS txengine_cli CASCADE")
