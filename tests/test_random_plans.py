@@ -59,3 +59,41 @@ def test_plans_agree_with_oracle(spark, rows):
         df = features.feature_table(tx, opts)
         got = digest(df.columns, [tuple(r) for r in df.collect()])
         assert got == expected, plan
+
+
+split_row = st.tuples(
+    st.integers(0, 30),  # day
+    st.integers(0, 86_399),  # second of the day
+    st.integers(1, 6),  # customer
+    st.integers(10, 12),  # terminal
+    st.sampled_from([5.0, 20.5, 180.0]),  # amount
+    st.sampled_from([0, 0, 0, 1]),  # label
+)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(split_row, min_size=20, max_size=80),
+    st.integers(2, 6),
+    st.integers(1, 5),
+    st.integers(1, 6),
+)
+def test_split_matches_the_loop(spark, rows, train, delay, test):
+    from test_options import _loop_split
+
+    from txengine.plans import split
+
+    data = []
+    for i, (day, sec, cust, term, amount, fraud) in enumerate(rows):
+        ts = DAY0 + dt.timedelta(days=day, seconds=sec)
+        data.append((i, ts, cust, term, amount, day * 86400 + sec, day, fraud, 0))
+    # make sure the training period holds a row, so that s0 exists, and that the calendar
+    # (whose last date is dropped, D3) reaches past it
+    data.append((len(data), DAY0 + dt.timedelta(days=3), 1, 10, 5.0, 3 * 86400, 3, 0, 0))
+    data.append((len(data), DAY0 + dt.timedelta(days=45), 1, 10, 5.0, 45 * 86400, 45, 0, 0))
+    feats = features.feature_table(spark.createDataFrame(data, TX_SCHEMA)).cache()
+    start = (DAY0 + dt.timedelta(days=3)).strftime("%Y-%m-%d")
+    expected = _loop_split(feats.collect(), start, train, delay, test)
+    opts = split.SplitOptions(start=start, train_days=train, delay_days=delay, test_days=test)
+    assert {tuple(r) for r in split.test_split(feats, opts).collect()} == expected
+    feats.unpersist()
