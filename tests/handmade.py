@@ -72,6 +72,9 @@ def rows() -> list[tuple]:
     # the last calendar day (dropped by the features, D3)
     i += 1
     out.append(_row(i, 27, 23, 0, 0, 1, 10, 33.0, 0))
+    # a row without a timestamp (matches no calendar day anywhere)
+    i += 1
+    out.append((i, None, 2, 11, 44.0, None, None, 0, 0))
     return out
 
 
