@@ -94,7 +94,7 @@ FROM tx GROUP BY tx_fraud_scenario ORDER BY avg_amount DESC"""
     ),
     "top_spenders": with_tx(
         f"""SELECT customer_id, total_spend,
-       round(total_spend * 1.0 / (SELECT sum(CAST(round(tx_amount) AS BIGINT)) FROM tx) * 100, 2)
+       round(total_spend * 1.0 / nullif((SELECT sum(CAST(round(tx_amount) AS BIGINT)) FROM tx), 0) * 100, 2)
          AS percentage_contribution
 FROM (SELECT customer_id, {money_sum()} AS total_spend FROM tx GROUP BY customer_id)
 ORDER BY total_spend DESC, customer_id

@@ -62,7 +62,8 @@ def top_spenders(tx: DataFrame, k: int = 10) -> DataFrame:
     The share's denominator sums amounts first rounded to whole units (half away from
     zero), as the reference does; it is an uncorrelated scalar subquery, run once. The
     sort + limit plans as TakeOrderedAndProject: each task keeps its own top k, only
-    k rows per task reach the final merge. Ties on spend are broken by customer id.
+    k rows per task reach the final merge. Ties on spend are broken by customer id. A zero
+    denominator gives a NULL share.
     """
     denominator = tx.select(F.sum(round_half_away("tx_amount"))).scalar()
     spend = tx.groupBy("customer_id").agg(_total().alias("total_spend"))
@@ -70,7 +71,7 @@ def top_spenders(tx: DataFrame, k: int = 10) -> DataFrame:
         spend.select(
             "customer_id",
             "total_spend",
-            F.round(F.col("total_spend") * 1.0 / denominator * 100, 2).alias(
+            F.round(F.try_divide(F.col("total_spend") * 1.0, denominator) * 100, 2).alias(
                 "percentage_contribution"
             ),
         )
