@@ -38,7 +38,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return repr(float(v))
+        return repr(float(v) + 0.0)  # -0.0 and 0.0 are the same value
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, dt.datetime):

@@ -97,3 +97,36 @@ def test_split_matches_the_loop(spark, rows, train, delay, test):
     opts = split.SplitOptions(start=start, train_days=train, delay_days=delay, test_days=test)
     assert {tuple(r) for r in split.test_split(feats, opts).collect()} == expected
     feats.unpersist()
+
+
+tx_row = st.tuples(
+    st.integers(0, 5),  # day
+    st.one_of(st.none(), st.integers(1, 5)),  # customer
+    st.one_of(st.none(), st.integers(10, 12)),  # terminal
+    st.one_of(st.none(), st.sampled_from([0.0, -2.5, 0.49, 0.5, 12.5, 99.99, 151.25])),
+    st.one_of(st.none(), st.integers(0, 1)),  # label
+    st.one_of(st.none(), st.integers(0, 3)),  # scenario
+)
+
+ANALYSIS_KEYS = [
+    "tx_count", "amount_summary", "amount_by_scenario", "avg_by_scenario", "top_spenders",
+    "tx_by_day", "fraud_share", "fraud_by_customer", "distinct_customers", "distinct_terminals",
+]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(tx_row, min_size=1, max_size=30))
+def test_analysis_queries_with_nulls(spark, rows):
+    from txengine.plans import analysis
+
+    data = [
+        (i, DAY0 + dt.timedelta(days=d, hours=i % 24), c, t, a, d * 86400, d, f, s)
+        for i, (d, c, t, a, f, s) in enumerate(rows)
+    ]
+    tx = spark.createDataFrame(data, TX_SCHEMA)
+    con = _duck(data)
+    for key in ANALYSIS_KEYS:
+        df = getattr(analysis, key)(tx)
+        rel = con.sql(oracle.on_table(oracle.ANALYSIS[key], "tx_input"))
+        got = digest(df.columns, [tuple(r) for r in df.collect()])
+        assert got == digest([c.lower() for c in rel.columns], rel.fetchall()), key
