@@ -110,7 +110,8 @@ tx_row = st.tuples(
 
 ANALYSIS_KEYS = [
     "tx_count", "amount_summary", "amount_by_scenario", "avg_by_scenario", "top_spenders",
-    "tx_by_day", "fraud_share", "fraud_by_customer", "distinct_customers", "distinct_terminals",
+    "numeric_describe", "tx_by_day", "fraud_share", "fraud_by_customer", "distinct_customers",
+    "distinct_terminals",
 ]
 
 
