@@ -81,3 +81,10 @@ def test_same_result_with_1_and_64_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out[0] == out[1]
+
+
+def test_golden_split_sf0001(spark):
+    import __spark_entry__ as e
+
+    got = {r["split"]: (r["rows"], r["frauds"]) for r in e.queries()["split_stats"](spark, SF0001).collect()}
+    assert got == {"train": (246, 2), "test": (156, 1)}
