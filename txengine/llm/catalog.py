@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from txengine.llm.quality_votes import OP6_SQL, op6_quality_votes
 from txengine.llm.url_reputation import OP1_SQL, op1_url_reputation
+from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
 
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
+    "op6_quality_votes": op6_quality_votes,
+    "op10_zip_warc": op10_zip_warc,
 }
 
 SQL = {
     "op1_url_reputation": OP1_SQL,
+    "op6_quality_votes": OP6_SQL,
+    "op10_zip_warc": OP10_SQL,
 }
