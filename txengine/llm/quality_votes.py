@@ -1,14 +1,16 @@
 """Quality by weak supervision: rules vote, their accuracies are estimated, and the posterior
 decides.
 
-Each rule looks at counts of one text and votes good (1), bad (-1) or abstains (0). Nobody
-says which rule is right: expectation-maximisation over the votes of all documents estimates
-how often each rule is right on good and on bad texts and the share of good texts, and each
-document gets the posterior probability of being good. No rule can reject a text alone, as
-it would where all must pass.
+Each rule looks at counts of one text and votes good (1) or bad (-1) or abstains (0); a rule
+for a defect abstains where it sees none, since the lack of one defect says little about the
+others. Nobody says which rule is right: expectation-maximisation over the votes of all
+documents estimates the share of good texts and, for each rule, how often it speaks up on
+good and on bad texts -- its accuracy on either. Each document gets the posterior probability
+of being good, which weighs all votes and abstentions together instead of asking that every
+rule be passed.
 
 Only built-in expressions run: the counts come from array functions inside one row, the
-documents meet once, as counts per vote pattern (at most 3^8 rows, whatever the corpus), and
+documents meet once, as counts per vote pattern (at most 3^9 rows, whatever the corpus), and
 every round of the estimation is one aggregate over that table.
 
 Defined results: NULL and empty texts have no words, all counts 0. Repeated rows are judged
@@ -31,44 +33,60 @@ SYMBOLS = "#*$%&|<>"
 #: Words without any letter.
 NO_LETTER_WORD = r"(?<![^\x20\x09-\x0D])[^\p{L}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])"
 
+SENTENCE_END = r"[.!?](?=[\x20\x09-\x0D]|\z)"
+
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_lines", "n_unlettered", "n_stops",
+    "n_lines", "n_unlettered", "n_stops", "n_ends",
 )
 
-#: Rule name -> SQL over the counts, in whole numbers only; every rule abstains in between.
+#: Rule name -> (SQL over the counts in whole numbers, vote where it holds).
 RULES = {
-    "length": "CASE WHEN n_words < 50 THEN -1 WHEN n_words >= 100 THEN 1 ELSE 0 END",
-    "symbols": "CASE WHEN 100 * n_symbols > 4 * word_chars THEN -1"
-    " WHEN 200 * n_symbols <= word_chars AND n_words > 0 THEN 1 ELSE 0 END",
-    "dup_lines": "CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN -1"
-    " WHEN n_dup_lines = 0 AND n_lines > 1 THEN 1 ELSE 0 END",
-    "repeats": "CASE WHEN 100 * n_repeat_words > 30 * n_words THEN -1"
-    " WHEN 100 * n_repeat_words <= 10 * n_words AND n_words >= 20 THEN 1 ELSE 0 END",
-    "word_length": "CASE WHEN word_chars > 12 * n_words OR word_chars < 3 * n_words THEN -1"
-    " WHEN word_chars BETWEEN 4 * n_words AND 8 * n_words AND n_words > 0 THEN 1 ELSE 0 END",
-    "unlettered": "CASE WHEN 100 * n_unlettered > 15 * n_words THEN -1"
-    " WHEN 100 * n_unlettered <= 5 * n_words AND n_words > 0 THEN 1 ELSE 0 END",
-    "line_length": "CASE WHEN n_words < 4 * n_lines THEN -1 WHEN n_words >= 8 * n_lines AND n_words > 0 THEN 1 ELSE 0 END",
-    "stops": "CASE WHEN 100 * n_stops < n_words THEN -1"
-    " WHEN 100 * n_stops >= 4 * n_words AND n_words > 0 THEN 1 ELSE 0 END",
+    "short": ("n_words < 20", -1),
+    "symbols": ("100 * n_symbols > 6 * word_chars", -1),
+    "unlettered": ("100 * n_unlettered > 15 * n_words", -1),
+    "dup_lines": ("n_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines", -1),
+    "repeats": ("100 * n_repeat_words > 25 * n_words", -1),
+    "few_stops": ("n_words >= 20 AND 100 * n_stops < 8 * n_words", -1),
+    "word_length": ("word_chars > 12 * n_words OR word_chars < 2 * n_words", -1),
+    "prose": (
+        "n_words >= 20 AND 100 * n_stops BETWEEN 15 * n_words AND 60 * n_words"
+        " AND 100 * n_unlettered <= 5 * n_words",
+        1,
+    ),
+    "sentences": ("n_words >= 20 AND 100 * n_ends BETWEEN 2 * n_words AND 40 * n_words", 1),
 }
 
+
+def vote_sql(rule: str) -> str:
+    holds, vote = RULES[rule]
+    return f"CASE WHEN {holds} THEN {vote} ELSE 0 END"
+
+
 BASE_FAILED = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
 
 
 @dataclass(frozen=True)
 class VoteOptions:
-    """``rounds`` of the estimation; ``start_good`` and ``start_right``: first values of the
-    share of good texts and of every accuracy; both stay within the given bounds, so that no
-    rule is ever turned round or made infallible; ``threshold`` of the posterior."""
+    """``rounds`` of the estimation; ``threshold`` of the posterior; ``good``: first share of
+    good texts; ``against`` and ``for_``: for rules that vote bad or good, the first chance of
+    speaking up on a (good, bad) text. Estimates stay within the bounds, so that no rule is
+    turned round, made infallible, or decides by never being heard."""
 
     rounds: int = 10
-    start_good: float = 0.8
-    start_right: float = 0.8
-    right_bounds: tuple[float, float] = (0.55, 0.99)
-    good_bounds: tuple[float, float] = (0.05, 0.95)
     threshold: float = 0.5
+    good: float = 0.8
+    good_bounds: tuple[float, float] = (0.05, 0.95)
+    against: tuple[float, float] = (0.02, 0.3)
+    against_bounds: tuple[tuple[float, float], ...] = ((0.001, 0.09), (0.1, 0.95))
+    for_: tuple[float, float] = (0.9, 0.4)
+    for_bounds: tuple[tuple[float, float], ...] = ((0.5, 0.99), (0.05, 0.49))
+
+    def start(self, rule: str, bad: int) -> float:
+        return (self.for_ if RULES[rule][1] > 0 else self.against)[bad]
+
+    def bounds(self, rule: str, bad: int) -> tuple[float, float]:
+        return (self.for_bounds if RULES[rule][1] > 0 else self.against_bounds)[bad]
 
 
 # --------------------------------------------------------------------------- counts
@@ -115,6 +133,7 @@ def with_counts(docs: DataFrame, out: str) -> DataFrame:
             "n_lines": F.size(ls),
             "n_unlettered": F.regexp_count(text, F.lit(NO_LETTER_WORD)),
             "n_stops": n_stops,
+            "n_ends": F.regexp_count(text, F.lit(SENTENCE_END)),
         }.items()),
         _windows(ws).alias("windows"),
     )
@@ -139,7 +158,7 @@ def with_votes(counted: DataFrame, at: str) -> DataFrame:
     """The struct ``at`` widened by one vote per rule (``v_<rule>``)."""
     s = F.col(at)
     # the rules name bare counts; inside the struct they are fields
-    votes = {f"v_{k}": F.expr(_in_struct(sql, at)).cast("int") for k, sql in RULES.items()}
+    votes = {f"v_{k}": F.expr(_in_struct(vote_sql(k), at)).cast("int") for k in RULES}
     return counted.withColumn(
         at, F.struct(*(s[n].alias(n) for n in COUNTS), *(c.alias(k) for k, c in votes.items()))
     )
@@ -154,20 +173,20 @@ def _in_struct(sql: str, at: str) -> str:
 # ----------------------------------------------------------------------- estimation
 @dataclass(frozen=True)
 class Accuracies:
-    """Share of good texts; per rule the chance of voting good on good and bad on bad texts,
-    given that it votes."""
+    """Share of good texts, and per rule the chance that it speaks up on a good and on a bad
+    text."""
 
     good: float
     on_good: dict[str, float]
     on_bad: dict[str, float]
 
     def posterior(self, prefix: str = "") -> Column:
-        odds = f"ln({self.good!r}) - ln({1 - self.good!r})"
+        odds = f"ln({self.good!r}D) - ln({1 - self.good!r}D)"
         for k in RULES:
             g, b = self.on_good[k], self.on_bad[k]
             odds += (
-                f" + CASE {prefix}v_{k} WHEN 1 THEN ln({g!r}) - ln({1 - b!r})"
-                f" WHEN -1 THEN ln({1 - g!r}) - ln({b!r}) ELSE 0D END"
+                f" + CASE WHEN {prefix}v_{k} <> 0 THEN ln({g!r}D) - ln({b!r}D)"
+                f" ELSE ln({1 - g!r}D) - ln({1 - b!r}D) END"
             )
         return 1 / (1 + F.exp(-F.expr(odds)))
 
@@ -179,28 +198,24 @@ def estimate(patterns: DataFrame, opts: VoteOptions = VoteOptions()) -> Accuraci
     def within(x: float, bounds: tuple[float, float]) -> float:
         return min(max(x, bounds[0]), bounds[1])
 
-    now = Accuracies(
-        opts.start_good, dict.fromkeys(RULES, opts.start_right), dict.fromkeys(RULES, opts.start_right)
-    )
+    now = Accuracies(opts.good, *({k: opts.start(k, bad) for k in RULES} for bad in (0, 1)))
     for _ in range(opts.rounds):
-        p = patterns.withColumn("p", now.posterior())
-        sums = [F.sum(F.col("n") * F.col("p")).alias("good"), F.sum("n").alias("all")]
+        good = F.col("n") * F.col("p")
+        sums = [F.sum(good).alias("good"), F.sum("n").alias("all")]
         for k in RULES:
-            v, good, bad = F.col(f"v_{k}"), F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
+            spoke = F.col(f"v_{k}") != 0
             sums += [
-                F.sum(F.when(v == 1, good)).alias(f"gg_{k}"),
-                F.sum(F.when(v != 0, good)).alias(f"g_{k}"),
-                F.sum(F.when(v == -1, bad)).alias(f"bb_{k}"),
-                F.sum(F.when(v != 0, bad)).alias(f"b_{k}"),
+                F.sum(F.when(spoke, good).otherwise(0.0)).alias(f"g_{k}"),
+                F.sum(F.when(spoke, F.col("n") - good).otherwise(0.0)).alias(f"b_{k}"),
             ]
-        s = p.agg(*sums).first()
+        s = patterns.withColumn("p", now.posterior()).agg(*sums).first()
         if not s["all"]:
             return now
-        share = lambda a, b: (s[a] or 0.0) / s[b] if s[b] else opts.start_right
+        n_good, n_bad = s["good"], s["all"] - s["good"]
         now = Accuracies(
-            within(s["good"] / s["all"], opts.good_bounds),
-            {k: within(share(f"gg_{k}", f"g_{k}"), opts.right_bounds) for k in RULES},
-            {k: within(share(f"bb_{k}", f"b_{k}"), opts.right_bounds) for k in RULES},
+            within(n_good / s["all"], opts.good_bounds),
+            {k: within(s[f"g_{k}"] / max(n_good, 1e-9), opts.bounds(k, 0)) for k in RULES},
+            {k: within(s[f"b_{k}"] / max(n_bad, 1e-9), opts.bounds(k, 1)) for k in RULES},
         )
     return now
 
@@ -243,41 +258,37 @@ def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _em_sql(opts: VoteOptions) -> tuple[str, str, str]:
-    """The estimation unrolled as one common table expression a round."""
+    """The estimation unrolled, two common table expressions a round; the last posterior;
+    the name of the last estimates."""
 
-    def odds(params: str) -> str:
-        out = f"ln({params}.good) - ln(1 - {params}.good)"
+    def posterior(e: str) -> str:
+        odds = f"ln({e}.good) - ln(1 - {e}.good)"
         for k in RULES:
-            g, b = f"{params}.g_{k}", f"{params}.b_{k}"
-            out += (
-                f" + CASE v_{k} WHEN 1 THEN ln({g}) - ln(1 - {b})"
-                f" WHEN -1 THEN ln(1 - {g}) - ln({b}) ELSE 0 END"
-            )
-        return f"1 / (1 + exp(-({out})))"
+            g, b = f"{e}.g_{k}", f"{e}.b_{k}"
+            odds += f" + CASE WHEN v_{k} <> 0 THEN ln({g}) - ln({b}) ELSE ln(1 - {g}) - ln(1 - {b}) END"
+        return f"1 / (1 + exp(-({odds})))"
 
     def bound(x: str, bounds: tuple[float, float]) -> str:
         return f"least(greatest({x}, {bounds[0]}), {bounds[1]})"
 
-    start = ", ".join(f"{opts.start_right}::DOUBLE AS g_{k}, {opts.start_right}::DOUBLE AS b_{k}" for k in RULES)
-    ctes = [f"e0 AS (SELECT {opts.start_good}::DOUBLE AS good, {start})"]
+    def rate(k: str, bad: int) -> str:
+        weight = "(n - n * p)" if bad else "n * p"
+        spoke = f"sum(CASE WHEN v_{k} <> 0 THEN {weight} ELSE 0 END)"
+        return bound(f"{spoke} / greatest(sum({weight}), 1e-9)", opts.bounds(k, bad))
+
+    start = ", ".join(f"{opts.start(k, 0)}::DOUBLE AS g_{k}, {opts.start(k, 1)}::DOUBLE AS b_{k}" for k in RULES)
+    ctes = [f"e0 AS (SELECT {opts.good}::DOUBLE AS good, {start})"]
     for t in range(opts.rounds):
-        r = opts.start_right
-        cols = ", ".join(
-            f"CASE WHEN coalesce(sum(CASE WHEN v_{k} <> 0 THEN n * p END), 0) = 0 THEN {r} ELSE "
-            + bound(f"coalesce(sum(CASE WHEN v_{k} = 1 THEN n * p END), 0) / sum(CASE WHEN v_{k} <> 0 THEN n * p END)", opts.right_bounds)
-            + f" END AS g_{k}, CASE WHEN coalesce(sum(CASE WHEN v_{k} <> 0 THEN n * (1 - p) END), 0) = 0 THEN {r} ELSE "
-            + bound(f"coalesce(sum(CASE WHEN v_{k} = -1 THEN n * (1 - p) END), 0) / sum(CASE WHEN v_{k} <> 0 THEN n * (1 - p) END)", opts.right_bounds)
-            + f" END AS b_{k}"
-            for k in RULES
-        )
-        ctes.append(f"x{t} AS MATERIALIZED (SELECT patterns.*, {odds(f'e{t}')} AS p FROM patterns, e{t})")
-        ctes.append(f"e{t + 1} AS MATERIALIZED (SELECT {bound('sum(n * p) / sum(n)', opts.good_bounds)} AS good, {cols} FROM x{t})")
-    return ",\n".join(ctes), odds(f"e{opts.rounds}"), f"e{opts.rounds}"
+        cols = ", ".join(f"{rate(k, 0)} AS g_{k}, {rate(k, 1)} AS b_{k}" for k in RULES)
+        share = bound("sum(n * p) / sum(n)", opts.good_bounds)
+        ctes.append(f"x{t} AS MATERIALIZED (SELECT patterns.*, {posterior(f'e{t}')} AS p FROM patterns, e{t})")
+        ctes.append(f"e{t + 1} AS MATERIALIZED (SELECT {share} AS good, {cols} FROM x{t})")
+    return ",\n".join(ctes), posterior(f"e{opts.rounds}"), f"e{opts.rounds}"
 
 
 def _op6_sql(opts: VoteOptions = VoteOptions()) -> str:
     em, post, last = _em_sql(opts)
-    votes = ", ".join(f"{sql} AS v_{k}" for k, sql in RULES.items())
+    votes = ", ".join(f"{vote_sql(k)} AS v_{k}" for k in RULES)
     names = ", ".join(f"v_{k}" for k in RULES)
     return rf"""
 WITH t AS (
@@ -294,7 +305,8 @@ c AS (
          (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
          len(l)::BIGINT AS n_lines, len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{{L}}')))::BIGINT AS n_unlettered,
-         len(list_filter(w, lambda x: length(x) <= 3))::BIGINT AS n_stops
+         len(list_filter(w, lambda x: length(x) <= 3))::BIGINT AS n_stops,
+         len(list_filter(w, lambda x: regexp_matches(x, '[.!?]$')))::BIGINT AS n_ends
   FROM t LEFT JOIN r USING (doc_id)),
 v AS MATERIALIZED (SELECT *, {votes} FROM c),
 patterns AS MATERIALIZED (SELECT {names}, count(*) AS n FROM v GROUP BY ALL),
