@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from txengine.llm.language_ranks import op2_language_ranks
+from txengine.llm.license_sentences import OP9_SQL, op9_license_sentences
 from txengine.llm.quality_votes import OP6_SQL, op6_quality_votes
 from txengine.llm.url_reputation import OP1_SQL, op1_url_reputation
 from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
 
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
+    "op2_language_ranks": op2_language_ranks,
     "op6_quality_votes": op6_quality_votes,
+    "op9_license_sentences": op9_license_sentences,
     "op10_zip_warc": op10_zip_warc,
 }
 
 SQL = {
     "op1_url_reputation": OP1_SQL,
     "op6_quality_votes": OP6_SQL,
+    "op9_license_sentences": OP9_SQL,
     "op10_zip_warc": OP10_SQL,
 }
