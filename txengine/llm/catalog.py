@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txengine.llm.hashed_ftrl import op7_hashed_ftrl
 from txengine.llm.language_ranks import op2_language_ranks
 from txengine.llm.license_sentences import OP9_SQL, op9_license_sentences
 from txengine.llm.quality_votes import OP6_SQL, op6_quality_votes
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_ranks": op2_language_ranks,
     "op6_quality_votes": op6_quality_votes,
+    "op7_hashed_ftrl": op7_hashed_ftrl,
     "op9_license_sentences": op9_license_sentences,
     "op10_zip_warc": op10_zip_warc,
 }
