@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txengine.llm.edit_pieces import op8_edit_pieces
 from txengine.llm.hashed_ftrl import op7_hashed_ftrl
 from txengine.llm.language_ranks import op2_language_ranks
 from txengine.llm.license_sentences import OP9_SQL, op9_license_sentences
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_language_ranks": op2_language_ranks,
     "op6_quality_votes": op6_quality_votes,
     "op7_hashed_ftrl": op7_hashed_ftrl,
+    "op8_edit_pieces": op8_edit_pieces,
     "op9_license_sentences": op9_license_sentences,
     "op10_zip_warc": op10_zip_warc,
 }
