@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txengine.llm.bin_sketch import op5_bin_sketch
 from txengine.llm.edit_pieces import op8_edit_pieces
 from txengine.llm.hashed_ftrl import op7_hashed_ftrl
 from txengine.llm.language_ranks import op2_language_ranks
@@ -13,6 +14,7 @@ from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_ranks": op2_language_ranks,
+    "op5_bin_sketch": op5_bin_sketch,
     "op6_quality_votes": op6_quality_votes,
     "op7_hashed_ftrl": op7_hashed_ftrl,
     "op8_edit_pieces": op8_edit_pieces,
