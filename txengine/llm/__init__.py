@@ -1 +1,10 @@
-"""Operators for building a training corpus. Nothing outside this folder imports it."""
+"""Operators for building a training corpus. Nothing outside this folder imports it.
+
+Functions that run in tasks travel by value, so that executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

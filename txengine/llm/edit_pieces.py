@@ -163,14 +163,13 @@ def matches(
 ) -> DataFrame:
     """(doc_id, item_id, distance, first_word, last_word), one row per document row and item
     found in it."""
-    spark, rows = docs.sparkSession, docs.select("doc_id", "text")
+    rows = docs.select("doc_id", "text")
     kind = "item_id long, distance int, first_word int, last_word int"
     out = None
     for block in item_blocks(benchmark, opts):
-        sent = spark.sparkContext.broadcast(block)
 
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, opts)
+        def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(block, opts)
             for b in batches:
                 found = [
                     (row, *f) for row, t in enumerate(b.column("text").to_pylist()) for f in matcher.find(t)
@@ -197,12 +196,10 @@ def keep_unseen(
     docs: DataFrame, benchmark: DataFrame, opts: EditOptions = EditOptions()
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    spark = docs.sparkSession
     for block in item_blocks(benchmark, opts):
-        sent = spark.sparkContext.broadcast(block)
 
-        def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, opts)
+        def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(block, opts)
             for b in batches:
                 free = [not matcher.find(t) for t in b.column("text").to_pylist()]
                 yield b.filter(pa.array(free, pa.bool_()))

@@ -211,10 +211,9 @@ def score(docs: DataFrame, model: LinearModel, *carried: Column | str) -> DataFr
     """(carried..., score, predicted) of the column ``text``."""
     rows = docs.select(*carried, F.col("text").alias("__text"))
     own = rows.columns[:-1]
-    sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odds, limit = log_odds(sent.value), sent.value.opts.threshold
+        odds, limit = log_odds(model), model.opts.threshold
         for b in batches:
             s = np.array([_sigmoid(odds(t)[0]) for t in b.column("__text").to_pylist()], dtype=np.float64)
             yield pa.RecordBatch.from_arrays(
@@ -228,10 +227,9 @@ def score(docs: DataFrame, model: LinearModel, *carried: Column | str) -> DataFr
 
 def keep_clean(docs: DataFrame, model: LinearModel) -> DataFrame:
     """The rows of ``docs`` that score under the threshold, with all their columns."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odds, limit = log_odds(sent.value), sent.value.opts.threshold
+        odds, limit = log_odds(model), model.opts.threshold
         for b in batches:
             clean = [_sigmoid(odds(t)[0]) < limit for t in b.column("text").to_pylist()]
             yield b.filter(pa.array(clean, pa.bool_()))
