@@ -16,10 +16,10 @@ further link can change anything. Otherwise some pairs that have not been compar
 be links across components. Let D(x) be the difference of x from the leader. Two sets are
 linked iff 9 |A ^ B| <= |A| + |B|, and |A ^ B| = |D(A)| + |D(B)| - 2 |D(A) & D(B)|, so a link
 needs a number of shared *differences* that can be computed beforehand and is at least 1 when
-one of the two is not linked with the leader. Prefix filtering on the differences (what the
-leader lacks first, for that is rare) then yields the few pairs left. Groups of such
-candidates that are large get a leader of their own and the step repeats; it ends, since each
-group loses its leader.
+one of the two is not linked with the leader. Prefix filtering on the differences from the
+cluster's hub (what the hub lacks first, for that is rare) then yields the few pairs left.
+Groups of such candidates that are still large are treated as keys were, around a far member;
+each round takes that member out, so the rounds end.
 
 Defined results: NULL and empty texts have an empty set and are linked with nothing. A row
 without doc_id belongs to no component (NULL) and is kept. Rows that repeat a doc_id are one
@@ -165,7 +165,7 @@ def full_sets(texts: DataFrame, opts: SketchOptions) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- verification
-def _beside_leader(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame:
+def _dealt_beside(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame:
     """(leader, cell, id, set), dealt so that each cell of at most about ``cell`` members of a
     leader is in one task, after a row (id NULL) with the leader's own set."""
     cells = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / opts.cell).cast("int").alias("cells"))
@@ -214,7 +214,7 @@ def compare(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame
             [pa.array(leaders, pa.int64()), pa.array(ids, pa.int64()), pa.array(linked, pa.bool_())], ["leader", "id", "linked"]
         )
 
-    return _beside_leader(pairs, sets, opts).mapInArrow(run, "leader long, id long, linked boolean")
+    return _dealt_beside(pairs, sets, opts).mapInArrow(run, "leader long, id long, linked boolean")
 
 
 def difference_keys(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame:
@@ -260,7 +260,7 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> D
                 yield batch()
         yield batch()
 
-    return _beside_leader(pairs, sets, opts).mapInArrow(
+    return _dealt_beside(pairs, sets, opts).mapInArrow(
         run, "key long, near boolean, id long, far boolean, d long, e long"
     )
 
@@ -272,32 +272,53 @@ def _in_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _open_groups(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """The groups (key, leader, id) whose members lie in more than one component, with comp
-    and the number of members."""
+    """The groups (key, id, leader) whose members lie in more than one component, with comp, the
+    group's first component ``low`` and its number of members."""
     k = _in_components(groups, comps)
     g = k.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
-    return k.join(g.where("low < high").select("key", "members"), "key")
+    return k.join(g.where("low < high").select("key", "members", "low"), "key")
 
 
-def _difference_groups(keys: DataFrame, comps: DataFrame) -> DataFrame:
+def _hubs(links: DataFrame, comps: DataFrame) -> DataFrame:
+    """(low, hub): for each component the node with most links, as (u, v) names them."""
+    degree = links.groupBy(F.col("u").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    best = F.max(F.struct("n", (-F.col("id")).alias("last")))["last"]
+    return _in_components(degree, comps).groupBy(F.col("comp").alias("low")).agg((-best).alias("hub"))
+
+
+def _beside_leaders(groups: DataFrame, hubs: DataFrame, comps: DataFrame) -> DataFrame:
+    """(leader, id, apart): every member of an open group beside the group's leader if it was
+    given one, else beside the hub of its first component, so that all keys which a cluster
+    of copies shares lead to one hub. ``apart``: they are in different components."""
+    named = groups.select("id", "comp", "low", "leader").distinct().join(hubs, "low", "left")
+    named = named.select(F.coalesce("leader", "hub", "low").alias("leader"), "id", "comp")
+    of_leader = _in_components(named.select(F.col("leader").alias("id")).distinct(), comps)
+    of_leader = of_leader.select(F.col("id").alias("leader"), F.col("comp").alias("home"))
+    named = named.where("leader <> id").join(of_leader, "leader")
+    return named.select("leader", "id", (F.col("comp") != F.col("home")).alias("apart")).distinct()
+
+
+def _difference_groups(keys: DataFrame, comps: DataFrame, opts: SketchOptions) -> DataFrame:
     """The rows of :func:`difference_keys` in groups that may still hold a link between two
-    components, with comp, the number of members and a leader, a member of the youngest
-    component."""
+    components, with comp, ``few`` (whether the group has at most ``small`` pairs to compare
+    for each member) and ``leader``, its first far member."""
     k = _in_components(keys, comps)
     g = k.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-        F.max("far").alias("any_far"), F.min("far").alias("all_far"), F.max("near").alias("near_key"),
-        F.max(F.struct("comp", "id"))["id"].alias("leader"),
+        F.sum(F.col("far").cast("long")).alias("n_far"), F.max("near").alias("near_key"),
+        F.min(F.when(F.col("far"), F.col("id"))).alias("leader"),
     )
-    open_ = g.where("low < high and any_far and (not near_key or not all_far)")
-    return k.join(open_.select("key", "members", "leader"), "key")
+    partners = F.when(F.col("near_key"), F.col("members") - F.col("n_far")).otherwise(F.col("n_far"))
+    g = g.where((F.col("low") < F.col("high")) & (F.col("n_far") > 0) & (partners > 0))
+    few = F.col("n_far") * partners <= opts.small * F.col("members")
+    return k.join(g.select("key", "leader", few.alias("few")), "key")
 
 
 def _small_pairs(groups: DataFrame, opts: SketchOptions) -> DataFrame:
     """(leader, id) of the pairs in small difference groups that the counts allow to link."""
-    few, q = groups.where(F.col("members") <= opts.small), opts.den + opts.num
+    few, q = groups.where("few"), opts.den + opts.num
     x, y = few.where("far").alias("x"), few.alias("y")
     may = (
         "x.comp <> y.comp and ((x.near and not y.far) or (not x.near and y.far and x.id < y.id))"
@@ -344,26 +365,31 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
     sets = written(full_sets(texts.dropDuplicates(["id", "text"]).select("id", "fp", "text"), opts), "sets")
 
     checked = written(compare(pairs, sets, opts), "compared")
-    comps = written(components(_links(checked)), "components")
-    direct = opts.direct  # pairs of a small sketch key cost less than their differences
+    links = written(_links(checked), "found")
+    comps = written(components(links), "components")
+    groups, direct = groups.select("key", "id", F.lit(None).cast("long").alias("leader")), opts.direct
     while True:
         groups = written(_open_groups(groups, comps), "open_groups")
+        # pairs of a small sketch key cost less than their differences
         few = groups.where(F.col("members") <= direct)
         x, y = few.alias("x"), few.alias("y")
         plain = x.join(y, "key").where("x.comp <> y.comp and x.id < y.id")
         plain = plain.select(F.col("x.id").alias("leader"), F.col("y.id").alias("id"))
-        many = groups.where(F.col("members") > direct).select("leader", "id").distinct()
-        keys = difference_keys(many, sets, opts)
-        inner = written(_difference_groups(keys, comps), "difference_groups")
-        large = inner.where(F.col("members") > opts.small).where("id <> leader")
-        todo = plain.unionAll(_small_pairs(inner, opts)).unionAll(large.select("leader", "id"))
+        many = groups.where(F.col("members") > direct)
+        beside = written(_beside_leaders(many, _hubs(links, comps), comps), "beside_leaders")
+        keys = difference_keys(beside.select("leader", "id"), sets, opts)
+        inner = written(_difference_groups(keys, comps, opts), "difference_groups")
+        todo = plain.unionAll(_small_pairs(inner, opts)).unionAll(
+            beside.where("apart").select("leader", "id")
+        )
         todo = written(todo.distinct(), "open_pairs")
         if todo.isEmpty():
             break
         checked = written(compare(todo, sets, opts), "compared")
+        links = written(links.unionAll(_links(checked)), "found")
         known = comps.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
         comps = written(components(known.unionAll(_links(checked))), "components")
-        groups = large.select("key", "leader", "id")
+        groups = inner.where("not few").select("key", "id", "leader")
     by_set = _in_components(reps.select("id", "fp"), comps).select("fp", "comp")
     out = named.select("doc_id", "n_shingles", "fp").join(by_set, "fp", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
