@@ -22,7 +22,6 @@ one by one, so repeated rows and extra columns do not matter.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,83 +32,100 @@ from pyspark.sql import functions as F
 
 from txengine.llm.common import fold, table
 
-LETTERS = re.compile(r"[^\W\d_]+")
+BETWEEN = re.compile(r"[\W\d_]")
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class RankOptions:
     """``size``: n-grams in a profile and in a text's list; ``longest`` n-gram (1 to 3);
-    ``max_languages`` that may be learned; ``held``: distinct words or n-grams that a task
-    holds before it passes its counts on."""
+    ``max_languages`` that may be learned; ``held``: characters that a task holds before it
+    passes its counts on, and of a long text that it reads at a time."""
 
     size: int = 300
     longest: int = 3
     max_languages: int = 2000
-    held: int = 200_000
+    held: int = 2_000_000
 
 
 class Packer:
-    """n-grams of words as packed numbers, remembered for the words seen last."""
+    """n-grams of a text as packed numbers, by array operations over its characters."""
 
     def __init__(self, opts: RankOptions):
-        self.opts, self.known = opts, {}
-
-    def _pack(self, word: str) -> np.ndarray:
-        c = np.array([ord(x) for x in f" {word} "], dtype=np.int64)
-        grams = [c[1:-1] << 42]  # lone padding says nothing
-        if self.opts.longest > 1:
-            grams.append(c[:-1] << 42 | c[1:] << 21)
-        if self.opts.longest > 2:
-            grams.append(c[:-2] << 42 | c[1:-1] << 21 | c[2:])
-        return np.concatenate(grams)
-
-    def __call__(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > self.opts.held:
-            self.known.clear()
-        known, out = self.known, []
-        for w in words:
-            g = known.get(w)
-            if g is None:
-                g = known[w] = self._pack(w)
-            out.append(g)
-        return out
+        self.longest, self.part = opts.longest, opts.held
+        self.letter = np.array([chr(i).isalpha() for i in range(1 << 16)])
 
+    def _is_letter(self, c: np.ndarray) -> np.ndarray:
+        out = self.letter[np.minimum(c, 0xFFFF)]
+        for x in np.unique(c[c > 0xFFFF]):
+            out[c == x] = chr(x).isalpha()
+        return out
 
-def _flush(counts: dict[str, Counter], packer: Packer) -> pa.RecordBatch:
-    langs, keys, ns = [], [], []
-    for lang, words in counts.items():
-        grams = packer(list(words))
-        n = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(g) for g in grams])
-        uniq, at = np.unique(np.concatenate(grams), return_inverse=True)
-        langs += [lang] * len(uniq)
-        keys.append(uniq)
-        ns.append(np.bincount(at, n, len(uniq)).astype(np.int64))
-    counts.clear()
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(np.concatenate(keys)), pa.array(np.concatenate(ns))],
-        ["lang", "gram", "n"],
-    )
+    def characters(self, text: str) -> np.ndarray:
+        """Code points with one blank for each run of other characters than letters, and a
+        blank at either end; empty without a letter."""
+        raw = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = self._is_letter(raw)
+        if not letter.any():
+            return raw[:0].astype(np.int64)
+        before = np.concatenate(([True], letter[:-1]))
+        c = np.where(letter, raw, 32).astype(np.int64)
+        return c[letter | before]
+
+    def _grams(self, text: str) -> np.ndarray:
+        c = self.characters(text)
+        inside = np.flatnonzero(c != 32)
+        out = [c[inside] << 42]
+        if self.longest > 1:
+            out.append(c[:-1] << 42 | c[1:] << 21)
+        if self.longest > 2:
+            out.append(c[inside - 1] << 42 | c[inside] << 21 | c[inside + 1])
+        return np.concatenate(out)
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct n-grams ascending, how often each occurs). A text that is very long is
+        read in parts that end between words."""
+        parts, at = [], 0
+        while at < len(text):
+            cut = BETWEEN.search(text, at + self.part)
+            end = cut.start() if cut else len(text)
+            parts.append(np.unique(self._grams(text[at:end]), return_counts=True))
+            at = end
+        if len(parts) == 1:
+            return parts[0]
+        grams = np.concatenate([g for g, _ in parts] or [np.zeros(0, np.int64)])
+        uniq, where = np.unique(grams, return_inverse=True)
+        n = np.bincount(where, np.concatenate([n for _, n in parts]), len(uniq)) if parts else uniq
+        return uniq, n.astype(np.int64)
 
 
 def gram_counts(training: DataFrame, opts: RankOptions = RankOptions()) -> DataFrame:
     """(lang, gram, n) over all rows of (lang, text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, counts, held = Packer(opts), {}, 0
+        packer, held, chars = Packer(opts), {}, 0
+
+        def flush() -> pa.RecordBatch:
+            found = [(lang, *packer.counts("\n".join(texts))) for lang, texts in held.items()]
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang for lang, g, _ in found for _ in range(len(g))], pa.string()),
+                    pa.array(np.concatenate([g for _, g, _ in found])),
+                    pa.array(np.concatenate([n for _, _, n in found])),
+                ],
+                ["lang", "gram", "n"],
+            )
+
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                of = counts.setdefault(lang, Counter())
-                before = len(of)
-                of.update(LETTERS.findall(text.lower()))
-                held += len(of) - before
-                if not of:
-                    del counts[lang]
-                if held > opts.held:
-                    yield _flush(counts, packer)
-                    held = 0
-        if counts:
-            yield _flush(counts, packer)
+                held.setdefault(lang, []).append(text)
+                chars += len(text)
+                if chars > opts.held:
+                    yield flush()
+                    chars = 0
+        if held:
+            yield flush()
 
     rows = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     parts = rows.mapInArrow(count, "lang string, gram long, n long")
@@ -125,9 +141,8 @@ class Profiles:
     ranks: np.ndarray
     opts: RankOptions = field(default_factory=RankOptions)
 
-    def predict(self, grams: np.ndarray) -> tuple[str, float]:
+    def predict(self, uniq: np.ndarray, n: np.ndarray) -> tuple[str, float]:
         """Nearest language of a text's n-grams, and 1 - its share of the largest distance."""
-        uniq, n = np.unique(grams, return_counts=True)
         top = uniq[np.argsort(-n, kind="stable")[: self.opts.size]]
         at = np.searchsorted(self.grams, top).clip(max=len(self.grams) - 1)
         rank, own = self.ranks[at], np.arange(len(top))[:, None]
@@ -164,15 +179,14 @@ def identify(docs: DataFrame, profiles: Profiles | None, *carried: Column | str)
     rows = docs.select(*carried, F.col("text").alias("__text"))
     own = [c for c in rows.columns if c != "__text"]
     opts = profiles.opts if profiles else RankOptions()
-    model = rows.sparkSession.sparkContext.broadcast(profiles)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, learned = Packer(opts), model.value
+        packer, learned = Packer(opts), profiles
         for b in batches:
             langs, scores = [], []
             for text in b.column("__text").to_pylist():
-                words = LETTERS.findall(text.lower()) if text and learned else []
-                lang, s = learned.predict(np.concatenate(packer(words))) if words else (UNKNOWN, 0.0)
+                grams, n = packer.counts(text) if text and learned else ((), ())
+                lang, s = learned.predict(grams, n) if len(grams) else (UNKNOWN, 0.0)
                 langs.append(lang)
                 scores.append(s)
             yield pa.RecordBatch.from_arrays(
