@@ -7,6 +7,7 @@ from txengine.llm.edit_pieces import op8_edit_pieces
 from txengine.llm.hashed_ftrl import op7_hashed_ftrl
 from txengine.llm.language_ranks import op2_language_ranks
 from txengine.llm.license_sentences import OP9_SQL, op9_license_sentences
+from txengine.llm.log_bilinear import op4_log_bilinear
 from txengine.llm.quality_votes import OP6_SQL, op6_quality_votes
 from txengine.llm.url_reputation import OP1_SQL, op1_url_reputation
 from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
@@ -14,6 +15,7 @@ from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_ranks": op2_language_ranks,
+    "op4_log_bilinear": op4_log_bilinear,
     "op5_bin_sketch": op5_bin_sketch,
     "op6_quality_votes": op6_quality_votes,
     "op7_hashed_ftrl": op7_hashed_ftrl,
