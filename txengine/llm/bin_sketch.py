@@ -50,9 +50,11 @@ M1, M2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 class SketchOptions:
     """``bins`` of a sketch (a power of two); ``band``: bins per key; ``shingle``: words in a
     shingle (fewer words than that: the whole sequence); ``num``/``den``: least similarity;
-    ``cell``: members compared with a leader in one task; ``direct`` and ``small``: members
-    of a sketch key and of a difference key up to which open pairs are joined as they are;
-    ``held``: words whose hashes a task remembers."""
+    ``cell``: members compared with a leader in one task; ``direct``: members of a leader up
+    to which open pairs are joined as they are; ``small``: pairs for each member up to which
+    a group of equal differences is joined; ``bits`` of the map (a multiple of 2^15) that
+    spares the shuffle documents which no candidate needs; ``held``: words whose hashes a
+    task remembers."""
 
     bins: int = 128
     band: int = 4
@@ -62,7 +64,8 @@ class SketchOptions:
     cell: int = 500
     direct: int = 16
     small: int = 200
-    held: int = 300_000
+    bits: int = 1 << 25
+    held: int = 100_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -147,21 +150,45 @@ def sketches(docs: DataFrame, opts: SketchOptions) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp binary, keys array<long>")
 
 
-def full_sets(texts: DataFrame, opts: SketchOptions) -> DataFrame:
-    """(id, set) of (id, fp, text): the sorted hashes as bytes, of texts that have that set."""
+def _bit_map(ids: DataFrame, bits: int) -> np.ndarray:
+    """Bit ``xxhash64(id) mod bits`` set for every row of (id); bounded by ``bits``."""
+    at = F.pmod(F.xxhash64("id"), F.lit(bits))
+    maps = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")
+    )
+    out = np.zeros(bits // 8 + 4096, dtype=np.uint8)
+    for r in maps.collect():  # position 0 is in bucket 0 or 1, by how buckets are numbered
+        out[r["b"] * 4096 : r["b"] * 4096 + len(r["m"])] = np.frombuffer(r["m"], dtype=np.uint8)
+    return out
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, opts: SketchOptions) -> DataFrame:
+    """(id, set) of (doc_id, text): the sorted hashes as bytes of the texts that have the set
+    ``fp`` of ``wanted`` (id, fp)."""
+    bitmap = _bit_map(wanted, opts.bits)
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(opts.bits))
+    bucket, bit = F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sk = Sketcher(opts)
         for b in batches:
-            ids, sets = [], []
-            for i, fp, text in zip(*(b.column(c).to_pylist() for c in ("id", "fp", "text"))):
-                s = sk.shingles(text)
-                if _fingerprint(s) == fp:
-                    ids.append(i)
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["id", "set"])
+            byte, bit = (b.column(c).to_numpy(zero_copy_only=False) for c in ("byte", "bit"))
+            hit = np.flatnonzero(bitmap[byte] >> bit.astype(np.uint8) & 1)
+            sets = [sk.shingles(t) for t in b.column("text").take(pa.array(hit)).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id").take(pa.array(hit)),
+                    pa.array([_fingerprint(s) for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                ["id", "fp", "set"],
+            )
 
-    return texts.mapInArrow(run, "id long, set binary")
+    place = docs.where("doc_id is not null").select(
+        "doc_id", "text", (bucket * 4096 + F.floor(bit / 8)).alias("byte"), (bit % 8).alias("bit")
+    )
+    found = place.mapInArrow(run, "id long, fp binary, set binary")
+    return found.join(wanted, ["id", "fp"]).groupBy("id").agg(F.first("set").alias("set"))
 
 
 # ----------------------------------------------------------------------- verification
@@ -272,13 +299,13 @@ def _in_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _open_groups(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """The groups (key, id, leader) whose members lie in more than one component, with comp, the
-    group's first component ``low`` and its number of members."""
+    """The groups (group, id, mask, leader) whose members lie in more than one component,
+    with comp, the group's first component ``low`` and its number of members."""
     k = _in_components(groups, comps)
-    g = k.groupBy("key").agg(
+    g = k.groupBy("group").agg(
         F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")
     )
-    return k.join(g.where("low < high").select("key", "members", "low"), "key")
+    return k.join(g.where("low < high").select("group", "members", "low"), "group")
 
 
 def _hubs(links: DataFrame, comps: DataFrame) -> DataFrame:
@@ -354,28 +381,33 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
     reps = usable.groupBy("fp").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys"))
     reps = written(reps, "distinct_sets")
 
-    exploded = reps.select("id", F.explode("keys").alias("key"))
+    exploded = reps.select("id", F.posexplode("keys").alias("band", "key"))
     shared = exploded.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last"))
-    groups = exploded.join(shared.where("leader < last").select("key", "leader"), "key")
-    groups = written(groups.where("id <> leader"), "groups")
-    pairs = written(groups.select("leader", "id").distinct(), "candidates")
-
+    # which bands a member shares with a leader: members without a common band are no pair
+    mask = F.bit_or(F.expr("shiftleft(1L, band)")).alias("mask")
+    pairs = (
+        exploded.join(shared.where("leader < last").select("key", "leader"), "key")
+        .where("id <> leader")
+        .groupBy("leader", "id")
+        .agg(mask)
+    )
+    pairs = written(pairs, "candidates")
     involved = pairs.select(F.col("leader").alias("id")).unionAll(pairs.select("id")).distinct()
-    texts = docs.withColumnRenamed("doc_id", "id").join(reps.join(involved, "id").select("id", "fp"), "id")
-    sets = written(full_sets(texts.dropDuplicates(["id", "text"]).select("id", "fp", "text"), opts), "sets")
+    wanted = written(reps.join(involved, "id").select("id", "fp"), "involved")
+    sets = written(full_sets(docs, wanted, opts), "sets")
 
-    checked = written(compare(pairs, sets, opts), "compared")
+    checked = written(compare(pairs.select("leader", "id"), sets, opts), "compared")
     links = written(_links(checked), "found")
     comps = written(components(links), "components")
-    groups, direct = groups.select("key", "id", F.lit(None).cast("long").alias("leader")), opts.direct
+    groups = pairs.select(F.col("leader").alias("group"), "id", "mask", F.lit(None).cast("long").alias("leader"))
     while True:
         groups = written(_open_groups(groups, comps), "open_groups")
-        # pairs of a small sketch key cost less than their differences
-        few = groups.where(F.col("members") <= direct)
+        # pairs of few members cost less than their differences
+        few = groups.where((F.col("members") <= opts.direct) & F.col("leader").isNull())
         x, y = few.alias("x"), few.alias("y")
-        plain = x.join(y, "key").where("x.comp <> y.comp and x.id < y.id")
+        plain = x.join(y, "group").where("x.comp <> y.comp and x.id < y.id and (x.mask & y.mask) <> 0")
         plain = plain.select(F.col("x.id").alias("leader"), F.col("y.id").alias("id"))
-        many = groups.where(F.col("members") > direct)
+        many = groups.where((F.col("members") > opts.direct) | F.col("leader").isNotNull())
         beside = written(_beside_leaders(many, _hubs(links, comps), comps), "beside_leaders")
         keys = difference_keys(beside.select("leader", "id"), sets, opts)
         inner = written(_difference_groups(keys, comps, opts), "difference_groups")
@@ -389,7 +421,7 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
         links = written(links.unionAll(_links(checked)), "found")
         known = comps.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
         comps = written(components(known.unionAll(_links(checked))), "components")
-        groups = inner.where("not few").select("key", "id", "leader")
+        groups = inner.where("not few").select(F.col("key").alias("group"), "id", F.lit(-1).cast("long").alias("mask"), "leader")
     by_set = _in_components(reps.select("id", "fp"), comps).select("fp", "comp")
     out = named.select("doc_id", "n_shingles", "fp").join(by_set, "fp", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))

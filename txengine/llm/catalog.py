@@ -9,12 +9,14 @@ from txengine.llm.language_ranks import op2_language_ranks
 from txengine.llm.license_sentences import OP9_SQL, op9_license_sentences
 from txengine.llm.log_bilinear import op4_log_bilinear
 from txengine.llm.quality_votes import OP6_SQL, op6_quality_votes
+from txengine.llm.soft_mixing import op3_soft_mixing
 from txengine.llm.url_reputation import OP1_SQL, op1_url_reputation
 from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
 
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_language_ranks": op2_language_ranks,
+    "op3_soft_mixing": op3_soft_mixing,
     "op4_log_bilinear": op4_log_bilinear,
     "op5_bin_sketch": op5_bin_sketch,
     "op6_quality_votes": op6_quality_votes,
