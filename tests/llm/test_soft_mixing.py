@@ -1,0 +1,33 @@
+import numpy as np
+
+from txengine.llm.soft_mixing import MixOptions, _rates, fit_domains, fit_steps, mix, posteriors
+
+
+def test_totals_meet_targets(spark):
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([2.0, 0.7, 0.4], 400)
+    n = rng.integers(0, 900, 400)
+    rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>")
+    opts = MixOptions(weights={"a": 0.5, "b": 0.3, "c": 0.2})
+    w = _rates(p, fit_steps(rows.repartition(5), opts))
+    assert (w >= 0).all()
+    assert np.allclose((w * n) @ p / n.sum(), [0.5, 0.3, 0.2], rtol=2e-3)
+
+
+def test_defined_results(spark):
+    docs = [(i, "good words here " * 5) for i in range(20)] + [(100 + i, "$$$ ### win win") for i in range(20)]
+    docs += [(200, None), (201, ""), (None, "good words"), (100, "$$$ ### win win"), (202, "good words " * 30_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "0 as rate", "1 as p")
+    lab = spark.createDataFrame(
+        [(i, "clean") for i in range(20)] + [(100 + i, "low") for i in range(20)] + [(3, None), (None, "low")], "doc_id long, domain string"
+    )
+    opts = MixOptions(weights={"clean": 0.7, "low": 0.3})
+    model = fit_domains(df, lab, opts)
+    out = mix(df, model, opts).collect()
+    assert len(out) == len(docs)
+    assert all(r.rate >= 0 and abs(r.copies - r.rate) < 1 and abs(r.p_clean + r.p_low - 1) < 1e-9 for r in out)
+    assert {r.n_tokens for r in out if r.doc_id in (200, 201)} == {0}
+    by = {r.doc_id: r for r in out}
+    assert by[3].p_clean > 0.5 > by[105].p_clean
+    assert mix(df.limit(0), model, opts).count() == 0
+    assert posteriors(df, fit_domains(df, lab.limit(0), opts)).count() == len(docs)

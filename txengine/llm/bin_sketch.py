@@ -7,7 +7,8 @@ so every bin fills, and for sets of some size after two or three rounds. The sha
 bins estimates the Jaccard similarity with concentration bounds.
 
 **Banding.** ``bins / band`` keys per distinct set. Sets that share a key are candidates; at
-similarity 0.8 a pair is missed with probability (1 - 0.8^4)^32 < 10^-7.
+similarity 0.8 a pair is missed with probability (1 - 0.8^6)^42 < 3 * 10^-6, at 0.85 with
+less than 10^-9, while texts of one language that merely share common words rarely meet.
 
 **Verification** is exact, on full sets, and does no work per pair of copies. Equal sets are
 one set from the start. Every member of a key is compared with the key's first member only (its
@@ -17,7 +18,7 @@ be links across components. Let D(x) be the difference of x from the leader. Two
 linked iff 9 |A ^ B| <= |A| + |B|, and |A ^ B| = |D(A)| + |D(B)| - 2 |D(A) & D(B)|, so a link
 needs a number of shared *differences* that can be computed beforehand and is at least 1 when
 one of the two is not linked with the leader. Prefix filtering on the differences from the
-cluster's hub (what the hub lacks first, for that is rare) then yields the few pairs left.
+cluster's hub, in the order of how rare they are, then yields the few pairs left.
 Groups of such candidates that are still large are treated as keys were, around a far member;
 each round takes that member out, so the rounds end.
 
@@ -56,8 +57,8 @@ class SketchOptions:
     spares the shuffle documents which no candidate needs; ``held``: words whose hashes a
     task remembers."""
 
-    bins: int = 128
-    band: int = 4
+    bins: int = 256
+    band: int = 6
     shingle: int = 2
     num: int = 4
     den: int = 5
@@ -66,6 +67,7 @@ class SketchOptions:
     small: int = 200
     bits: int = 1 << 25
     held: int = 100_000
+    counters: int = 1 << 19
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -122,7 +124,8 @@ class Sketcher:
         return out
 
     def keys(self, s: np.ndarray) -> np.ndarray:
-        rows = self.sketch(s).reshape(-1, self.o.band)
+        bands = self.o.bins // self.o.band
+        rows = self.sketch(s)[: bands * self.o.band].reshape(bands, self.o.band)
         return mixed((rows * self.weights).sum(axis=1, dtype=U) ^ self.bands).astype(np.int64)
 
 
@@ -188,7 +191,39 @@ def full_sets(docs: DataFrame, wanted: DataFrame, opts: SketchOptions) -> DataFr
         "doc_id", "text", (bucket * 4096 + F.floor(bit / 8)).alias("byte"), (bit % 8).alias("bit")
     )
     found = place.mapInArrow(run, "id long, fp binary, set binary")
-    return found.join(wanted, ["id", "fp"]).groupBy("id").agg(F.first("set").alias("set"))
+    # rows that repeat an id and its text are one; same keys as the join, so no further shuffle
+    return found.join(wanted, ["id", "fp"]).groupBy("id", "fp").agg(F.first("set").alias("set")).select("id", "set")
+
+
+def rarity(sets: DataFrame, opts: SketchOptions, blocks: int = 16) -> np.ndarray:
+    """How many sets hold a shingle, in ``counters`` that shingles share by hash. Only the
+    order of differences depends on it, never a result."""
+    shift = U(64 - (opts.counters.bit_length() - 1))
+
+    def rows(ids: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
+        parts = [p.astype(np.int64).tobytes() for p in parts]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(opts.counters, dtype=np.int64)
+        for b in batches:
+            held = b"".join(b.column("set").to_pylist())
+            n += np.bincount((np.frombuffer(held, dtype=U) >> shift).astype(np.int64), minlength=opts.counters)
+        yield rows(list(range(blocks)), np.split(n, blocks))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for block, part in zip(b.column("block").to_pylist(), b.column("part").to_pylist()):
+                total[block] = total.get(block, 0) + np.frombuffer(part, dtype=np.int64)
+        if total:
+            yield rows(list(total), list(total.values()))
+
+    kind = "block int, part binary"
+    parts = sets.select("set").mapInArrow(count, kind).repartition(blocks, "block").mapInArrow(add, kind)
+    got = {r["block"]: np.frombuffer(r["part"], dtype=np.int64) for r in parts.collect()}
+    empty = np.zeros(opts.counters // blocks, dtype=np.int64)
+    return np.concatenate([got.get(i, empty) for i in range(blocks)]).clip(max=2**31 - 1).astype(np.int32)
 
 
 # ----------------------------------------------------------------------- verification
@@ -244,7 +279,7 @@ def compare(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame
     return _dealt_beside(pairs, sets, opts).mapInArrow(run, "leader long, id long, linked boolean")
 
 
-def difference_keys(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame:
+def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: SketchOptions) -> DataFrame:
     """(key, near, id, far, d, e): the prefix of each member's difference from its leader.
 
     With similarity num/den, A and B are linked iff q |A ^ B| <= p (|A| + |B|), p = den - num,
@@ -253,6 +288,7 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> D
     ``far`` members are not linked with the leader. Two families of keys: far with near
     members (``near`` true) and far with far ones, each with the prefix its bound allows."""
     p, q = opts.den - opts.num, opts.den + opts.num
+    shift = U(64 - (opts.counters.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list] = [[], [], [], [], [], []]
@@ -267,7 +303,8 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> D
             return out
 
         for leader, i, a, b in _each_member(batches):
-            diff = np.concatenate([b[~_shared(a, b)], a[~_shared(b, a)]])  # rare ones first
+            diff = np.concatenate([b[~_shared(a, b)], a[~_shared(b, a)]])
+            diff = diff[np.lexsort((diff, rare[(diff >> shift).astype(np.int64)]))]  # rare ones first
             d = len(diff)
             e, size = q * d - p * len(b), p * len(a)
             far = e > size
@@ -396,6 +433,8 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
     wanted = written(reps.join(involved, "id").select("id", "fp"), "involved")
     sets = written(full_sets(docs, wanted, opts), "sets")
 
+    rare = rarity(sets, opts)
+
     checked = written(compare(pairs.select("leader", "id"), sets, opts), "compared")
     links = written(_links(checked), "found")
     comps = written(components(links), "components")
@@ -409,7 +448,7 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
         plain = plain.select(F.col("x.id").alias("leader"), F.col("y.id").alias("id"))
         many = groups.where((F.col("members") > opts.direct) | F.col("leader").isNotNull())
         beside = written(_beside_leaders(many, _hubs(links, comps), comps), "beside_leaders")
-        keys = difference_keys(beside.select("leader", "id"), sets, opts)
+        keys = difference_keys(beside.select("leader", "id"), sets, rare, opts)
         inner = written(_difference_groups(keys, comps, opts), "difference_groups")
         todo = plain.unionAll(_small_pairs(inner, opts)).unionAll(
             beside.where("apart").select("leader", "id")
