@@ -64,7 +64,7 @@ class SketchOptions:
     den: int = 5
     cell: int = 500
     direct: int = 16
-    small: int = 200
+    small: int = 2000
     bits: int = 1 << 25
     held: int = 100_000
     counters: int = 1 << 19
@@ -280,7 +280,8 @@ def compare(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame
 
 
 def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: SketchOptions) -> DataFrame:
-    """(key, near, id, far, d, e): the prefix of each member's difference from its leader.
+    """(key, near, id, far, d, e, rest): the prefix of each member's difference from its
+    leader, and how many differences ``rest`` behind it.
 
     With similarity num/den, A and B are linked iff q |A ^ B| <= p (|A| + |B|), p = den - num,
     q = den + num. ``d`` = |D(x)|, ``e`` = q d - p |x|, so x is linked with the leader iff
@@ -291,12 +292,12 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: S
     shift = U(64 - (opts.counters.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list] = [[], [], [], [], [], []]
+        cols: list[list] = [[] for _ in range(7)]
 
         def batch() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
             out = pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "near", "id", "far", "d", "e"]
+                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "near", "id", "far", "d", "e", "rest"]
             )
             for c in cols:
                 c.clear()
@@ -318,14 +319,14 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: S
                     continue
                 salt = mixed(np.array([(leader * 2 + near) & 0xFFFFFFFFFFFFFFFF], dtype=U))
                 keys = mixed(diff[: d - shared + 1] ^ salt).astype(np.int64).tolist()
-                for c, v in zip(cols, (keys, *([x] * len(keys) for x in (near, i, far, d, e)))):
+                for c, v in zip(cols, (keys, *([x] * len(keys) for x in (near, i, far, d, e, d - len(keys))))):
                     c.extend(v)
             if len(cols[0]) > 200_000:
                 yield batch()
         yield batch()
 
     return _dealt_beside(pairs, sets, opts).mapInArrow(
-        run, "key long, near boolean, id long, far boolean, d long, e long"
+        run, "key long, near boolean, id long, far boolean, d long, e long, rest long"
     )
 
 
@@ -388,7 +389,13 @@ def _small_pairs(groups: DataFrame, opts: SketchOptions) -> DataFrame:
         "x.comp <> y.comp and ((x.near and not y.far) or (not x.near and y.far and x.id < y.id))"
         f" and {2 * q} * least(x.d, y.d) >= x.e + y.e"
     )
-    return x.join(y, "key").where(may).select(F.col("x.id").alias("leader"), F.col("y.id").alias("id"))
+    # what a pair shares: at most the prefix keys it meets in and what is behind both prefixes
+    pairs = x.join(y, "key").where(may).groupBy(F.col("x.id").alias("leader"), F.col("y.id").alias("id")).agg(
+        F.count(F.lit(1)).alias("met"),
+        F.max(F.least("x.rest", "y.rest")).alias("rest"),
+        F.min(F.col("x.e") + F.col("y.e")).alias("e"),
+    )
+    return pairs.where((F.col("met") + F.col("rest")) * (2 * q) >= F.col("e")).select("leader", "id")
 
 
 def _links(checked: DataFrame) -> DataFrame:
