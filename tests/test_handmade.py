@@ -54,12 +54,6 @@ GRID_KEYS = [
 ]
 
 
-@pytest.mark.parametrize("plan", ["direct", "salted"])
-@pytest.mark.parametrize("key", ["customer_running_day", "terminal_running_day"])
-def test_running_day_plans(tx, con, key, plan):
-    _same(getattr(calendar, key)(tx, plan=plan), con, oracle.FEATURES[key])
-
-
 @pytest.mark.parametrize("key", GRID_KEYS)
 def test_grid_queries(tx, con, key):
     _same(getattr(calendar, key)(tx), con, oracle.FEATURES[key])
@@ -69,45 +63,31 @@ def test_date_time_features(tx, con):
     _same(features.date_time_features(tx), con, oracle.FEATURES["date_time_features"])
 
 
-@pytest.mark.parametrize("plan", ["direct", "salted", "auto"])
-@pytest.mark.parametrize("key", ["customer_features", "feature_table"])
-def test_feature_queries_literal(tx, con, key, plan):
-    opts = FeatureOptions(literal_current_day_labels=True, customer_plan=plan)
-    _same(getattr(features, key)(tx, opts), con, oracle.FEATURES[key])
-
-
-def test_auto_plan_switches_on_heavy_key(tx, con):
-    """A budget below the heaviest customer's rows selects the salted plan; same result."""
-    opts = FeatureOptions(literal_current_day_labels=True, max_rows_per_key=5)
-    from txengine.operators.running import heaviest_key_rows
-
-    assert heaviest_key_rows(tx, "customer_id") > 5
-    _same(features.feature_table(tx, opts), con, oracle.FEATURES["feature_table"])
+LABELS_TODAY = oracle.feature_ctes(labels_today=True)
 
 
-def test_feature_table_grid_form(tx, con):
-    _same(calendar.feature_table_grid(tx), con, oracle.FEATURES["feature_table"])
+@pytest.mark.parametrize("key", ["customer_features", "feature_table"])
+def test_feature_queries(tx, con, key):
+    _same(getattr(features, key)(tx), con, oracle.FEATURES[key])
 
 
-def test_terminal_features_literal(tx, con):
-    _same(features.terminal_features(tx, LITERAL), con, oracle.FEATURES["terminal_features"])
+def test_feature_table_labels_today(tx, con):
+    _same(features.feature_table(tx, LITERAL), con, oracle.with_tx("SELECT * FROM features", *LABELS_TODAY))
 
 
-def test_heaviest_key_estimate(spark):
-    """The sampled estimate is close to the exact count for a key with many rows."""
-    from pyspark.sql import functions as F
+def test_feature_table_literal_and_all_days(tx, con):
+    opts = FeatureOptions(literal_current_day_labels=True, terminal_window_7="literal")
+    _same(features.feature_table(tx, opts), con, oracle.FEATURES["feature_table_literal"])
+    opts = FeatureOptions(keep_last_day=True)
+    _same(features.feature_table(tx, opts), con, oracle.FEATURES["feature_table_all_days"])
 
-    from txengine.operators.running import heaviest_key_rows
 
-    df = spark.range(400_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("customer_id")
+def test_terminal_features_both_ways(tx, con):
+    _same(features.terminal_features(tx), con, oracle.FEATURES["terminal_features"])
+    sql = oracle.FEATURES["terminal_features"].replace(
+        ",\n".join(oracle.FEATURE_TABLE_CTES), ",\n".join(LABELS_TODAY)
     )
-    exact = heaviest_key_rows(df, "customer_id")
-    est = heaviest_key_rows(df, "customer_id", 0.01)
-    assert exact == 133_335  # ids divisible by 3, plus id 1 itself
-    # ~1,333 sampled rows: one standard deviation is about 2.7 %; at the real 2M-row
-    # budget about 20,000 rows are sampled (0.7 %)
-    assert abs(est - exact) / exact < 0.15
+    _same(features.terminal_features(tx, LITERAL), con, sql)
 
 
 def test_d18_intent_differs_only_where_labels_are_null(tx):
@@ -134,7 +114,7 @@ def test_d18_intent_differs_only_where_labels_are_null(tx):
 
 @pytest.fixture(scope="module")
 def feats(tx):
-    return features.feature_table(tx, LITERAL).cache()
+    return features.feature_table(tx).cache()
 
 
 @pytest.mark.parametrize("key", ["train_split", "test_split", "known_fraud_asof", "split_stats"])

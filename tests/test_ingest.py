@@ -14,7 +14,7 @@ def test_csv_round_trip_keeps_nulls_and_microseconds(spark):
     tx = handmade.spark_table(spark)
     path = scratch_path(spark, "csv_test")
     write_transactions_csv(tx, path)
-    back = read_transactions_csv(spark, path, num_partitions=4)
+    back = read_transactions_csv(spark, path)
     assert back.schema == TX_SCHEMA
     assert back.exceptAll(tx).count() == 0 and tx.exceptAll(back).count() == 0
 
@@ -34,13 +34,31 @@ def test_copy_into_table_and_dimensions(spark):
     create_transaction_table(spark, table)
     path = scratch_path(spark, "csv_copy")
     write_transactions_csv(handmade.spark_table(spark), path)
-    copy_into(spark, path, table)
+    for _ in range(2):  # a repeated load changes nothing
+        copy_into(spark, path, table)
+        assert spark.table(table).count() == len(handmade.rows())
+    copy_into(spark, path, table, append=True)  # nor does appending files already loaded
     assert spark.table(table).count() == len(handmade.rows())
+    more = scratch_path(spark, "csv_more")
+    write_transactions_csv(handmade.spark_table(spark), more)
+    for _ in range(2):
+        copy_into(spark, more, table, append=True)
+        assert spark.table(table).count() == 2 * len(handmade.rows())
+    create_transaction_table(spark, table)
+    assert spark.table(table).count() == 0
+    copy_into(spark, path, table)
     cust = dimension(spark.table(table), "customer_id").collect()
     assert [r[0] for r in cust] == sorted({r[2] for r in handmade.rows()}, key=lambda v: (v is not None, v))
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def test_gzip_load_is_spread(spark):
+    path = scratch_path(spark, "csv_spread")
+    write_transactions_csv(handmade.spark_table(spark).coalesce(1), path)
+    plan = read_transactions_csv(spark, path)._jdf.queryExecution().sparkPlan().toString()
+    assert "REBALANCE" in plan
+
+
 def test_reads_whole_second_timestamps(spark):
     """Rows laid out as the reference's stage file: 9 columns, no header, times without
     fractions of a second."""

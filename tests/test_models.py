@@ -12,7 +12,7 @@ from txengine.session import scratch_path
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    return fixture_models(spark, SF001)
+    return fixture_models(spark, SF001)[:2]
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +76,40 @@ def test_registry_round_trip(spark, fitted, test_set):
     assert ModelRegistry.create(spark, reg.base).list_models().count() == 1  # create is idempotent
 
 
+def test_deployed_models_chain(spark, fitted, test_set):
+    """rf.predict(lm.predict(df)) by deployment name; redeploying a name replaces it."""
+    lm, rf = fitted
+    reg = ModelRegistry.create(spark, scratch_path(spark, "reg_chain"))
+    reg.log_model("lm", "v1", lm, train_rows=2325)
+    reg.log_model("rf", "v1", rf)
+    reg.deploy("first", "lm", "v1")
+    reg.deploy("second", "rf", "v1")
+    out = reg.predict("second", reg.predict("first", test_set))
+    assert {"prediction_lm", "prediction_rf", "fraud_probability_lm", "fraud_probability_rf"} <= set(out.columns)
+    assert out.count() == test_set.count()
+    reg.deploy("first", "rf", "v1")
+    assert reg.deployed("first").name == "rf"
+    with pytest.raises(KeyError):
+        reg.predict("third", test_set)
+    entry = reg.list_models().filter("name = 'lm'").first()
+    assert entry["train_rows"] == 2325
+
+
+def test_forest_is_not_cut(fitted):
+    """No tree reaches Spark's deepest level, so none was cut."""
+    forest = fitted[1].stages[-1]
+    assert forest.getMaxDepth() == 30
+    assert max(t.depth for t in forest.trees) < 30
+
+
+def test_skipped_rows_do_not_count(spark):
+    """regParam is 1/n of the rows the fit uses."""
+    opts = models.ModelOptions(features=("x",), label="y", handle_invalid="skip")
+    rows = [(float(i), i % 2) for i in range(10)] + [(None, 1)] * 5
+    data, n = models._training_frame(spark.createDataFrame(rows, "x double, y int"), opts)
+    assert n == 10 and data.count() == 10
+
+
 def test_streaming_deployment_matches_batch(spark, fitted, test_set):
     from txengine.streaming.scoring import score_folder
 

@@ -1,5 +1,7 @@
-"""Plan checks: the feature table has no cartesian product or nested-loop join, the fact
-rows are shuffled once for the customer side, and split filters reach the Parquet scan."""
+"""Plan checks: the feature table has no cartesian product or nested-loop join and no window
+over raw rows, and split filters reach the Parquet scan."""
+
+import re
 
 from conftest import SF001
 from txengine.plans import features, split
@@ -17,23 +19,24 @@ def test_feature_table_has_no_cross_join(spark):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_salted_plan_partitions_by_second(spark):
-    opts = features.FeatureOptions(customer_plan="salted")
-    plan = _plan(features.feature_table(events_transactions(spark, SF001), opts))
-    # the per-row running window is partitioned by (customer, second), never by customer alone
-    assert "hashpartitioning(customer_id#" in plan and "_sec" in plan
-    assert not any(
-        line.strip().startswith("Exchange hashpartitioning(customer_id") and "_sec" not in line
-        and "day_no" not in line
-        for line in plan.splitlines()
-    )
+def _windows(plan: str) -> list[str]:
+    return [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
+
 
+def test_no_window_over_raw_rows(spark):
+    """Every window partitions rows that were added up before: none carries a row's own id."""
+    plan = _plan(features.feature_table(events_transactions(spark, SF001)))
+    assert _windows(plan)
+    assert not any("transaction_id" in line for line in _windows(plan))
 
-def test_direct_plan_shuffles_fact_once_for_customers(spark):
-    opts = features.FeatureOptions(customer_plan="direct")
-    plan = _plan(features.feature_table(events_transactions(spark, SF001), opts))
-    fact_exchanges = [l for l in plan.splitlines() if "Exchange hashpartitioning(customer_id" in l]
-    assert len(fact_exchanges) == 1
+
+def test_fact_is_read_for_bounds_totals_and_rows_only(spark):
+    """The final plan scans the fact for the rows and for the first day; the totals, read
+    once, are a written table by then."""
+    plan = _plan(features.feature_table(events_transactions(spark, SF001)))
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x]
+    assert len([x for x in scans if "events.parquet" in x]) <= 2
+    assert any("events.parquet" not in x for x in scans)
 
 
 def test_terminal_side_is_broadcast_when_small(spark):
@@ -41,9 +44,8 @@ def test_terminal_side_is_broadcast_when_small(spark):
     assert "BroadcastHashJoin" in plan
 
 
-def test_terminal_side_shuffles_when_over_budget(spark):
-    opts = features.FeatureOptions(max_broadcast_rows=0)
-    df = features.feature_table(events_transactions(spark, SF001), opts)
+def test_terminal_side_shuffles_when_large(spark):
+    df = features.feature_table(events_transactions(spark, SF001))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = df._jdf.queryExecution().sparkPlan().toString()
@@ -65,3 +67,10 @@ def test_calendar_grid_is_not_a_join(spark):
     plan = _plan(calendar.customer_day_grid(events_transactions(spark, SF001)))
     assert "Join" not in plan and "CartesianProduct" not in plan
     assert "Generate explode" in plan
+
+
+def test_grids_look_nothing_up_in_maps(spark):
+    from txengine.plans import calendar
+
+    plan = _plan(calendar.customer_daily(events_transactions(spark, SF001)))
+    assert "element_at" not in plan and "map_from_entries" not in plan

@@ -52,13 +52,13 @@ def _duck(rows):
 def test_plans_agree_with_oracle(spark, rows):
     data = _table(rows)
     tx = spark.createDataFrame(data, TX_SCHEMA)
-    rel = _duck(data).sql(oracle.on_table(oracle.FEATURES["feature_table"], "tx_input"))
-    expected = digest([c.lower() for c in rel.columns], rel.fetchall())
-    for plan in ("direct", "salted"):
-        opts = features.FeatureOptions(literal_current_day_labels=True, customer_plan=plan)
-        df = features.feature_table(tx, opts)
+    con = _duck(data)
+    for today in (False, True):
+        sql = oracle.with_tx("SELECT * FROM features", *oracle.feature_ctes(labels_today=today))
+        rel = con.sql(oracle.on_table(sql, "tx_input"))
+        df = features.feature_table(tx, features.FeatureOptions(literal_current_day_labels=today))
         got = digest(df.columns, [tuple(r) for r in df.collect()])
-        assert got == expected, plan
+        assert got == digest([c.lower() for c in rel.columns], rel.fetchall()), today
 
 
 split_row = st.tuples(

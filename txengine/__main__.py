@@ -23,7 +23,6 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master", default=None)
     ap.add_argument("--database", default=handlers.Tables.database)
     ap.add_argument("--csv", help="staged CSV files (setup)")
-    ap.add_argument("--partitions", type=int, default=None, help="spread a gzip load (setup)")
     ap.add_argument("--query", default="top_spenders", help="analysis query (analyse)")
     ap.add_argument("--start", default=split.SplitOptions.start, help="first training day (ml)")
     ap.add_argument("--registry", default=None, help="registry folder (ml)")
@@ -33,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     t = handlers.Tables(database=args.database)
     if args.step == "setup":
-        out = [handlers.setup(spark, args.csv, t, args.partitions)]
+        out = [handlers.setup(spark, args.csv, t)]
     elif args.step == "analyse":
         out = [handlers.analyse(spark, args.query, t)]
     elif args.step == "features":

@@ -1,9 +1,11 @@
 from txengine.functions.columns import (  # noqa: F401
-    cents,
+    amount_total,
     day_number,
     epoch_second,
-    money,
+    exact_part,
     night_flag,
+    rest_part,
     round_half_away,
+    total,
     weekend_flag,
 )

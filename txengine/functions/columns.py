@@ -22,26 +22,41 @@ def night_flag(ts: str | Column) -> Column:
     return F.when((hour < 6) | (hour > 20), F.lit(1)).otherwise(F.lit(0))
 
 
-def cents(amount: str | Column) -> Column:
-    """Money in whole cents as BIGINT.
+# Amounts are DOUBLE without a fixed scale. What fits this type without loss is summed in
+# it, exactly and in any order; everything else is summed as DOUBLE.
+EXACT_TYPE = "decimal(28,6)"
 
-    Sums of cents are exact and independent of the order in which partitions are merged,
-    so totals and averages come out bit-identical on every run and every engine. Amounts
-    carry two decimals; ``rint`` only removes binary representation noise.
-    """
-    return F.rint(_c(amount) * F.lit(100.0)).cast("bigint")
 
+def exact_part(amount: str | Column) -> Column:
+    """The amount as a decimal if that loses nothing, else NULL."""
+    d = _c(amount).try_cast(EXACT_TYPE)
+    return F.when(d.cast("double") == _c(amount), d)
 
-def money(cents_sum: str | Column) -> Column:
-    """BIGINT cents back to a DOUBLE amount (one correctly rounded division)."""
-    return _c(cents_sum).cast("double") / F.lit(100.0)
+
+def rest_part(amount: str | Column) -> Column:
+    """The amount if it does not fit the decimal (finer digits, huge values, NaN), else NULL."""
+    x = _c(amount)
+    return F.when(x.isNotNull() & exact_part(x).isNull(), x)
+
+
+def total(exact_sum: str | Column, rest_sum: str | Column) -> Column:
+    """The two partial sums as one DOUBLE; NULL if both are."""
+    exact, rest = _c(exact_sum).cast("double"), _c(rest_sum)
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+
+
+def amount_total(amount: str | Column) -> Column:
+    """SUM of a DOUBLE column: every digit counts, and totals of amounts with up to six
+    decimals do not depend on how partitions are merged."""
+    return total(F.sum(exact_part(amount)), F.sum(rest_part(amount)))
 
 
 def round_half_away(x: str | Column) -> Column:
     """DOUBLE -> BIGINT rounding half away from zero (the reference's cast), without the
-    BigDecimal detour of ``F.round``."""
+    BigDecimal detour of ``F.round``; NULL for NaN and beyond BIGINT."""
     c = _c(x)
-    return (F.signum(c) * F.floor(F.abs(c) + F.lit(0.5))).cast("bigint")
+    away = F.floor(F.abs(c) + F.lit(0.5))
+    return F.when(~F.isnan(c) & (F.abs(c) < 9.2e18), F.when(c < 0, -away).otherwise(away))
 
 
 def day_number(ts: str | Column) -> Column:

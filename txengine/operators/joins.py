@@ -1,49 +1,19 @@
-"""Joins of the fact table with per-key tables whose size is only known at run time."""
+"""Side tables that are written before they are joined."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from txengine.session import scratch_path
 
-# Default row budget for a broadcast side. A per-(terminal, day) feature row is about
-# 100 bytes, so 2M rows stay near 200 MB in memory on every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write ``df`` as Parquet under the shared folder, read it back, and return it with
-    its row count (answered from the Parquet footers).
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared folder and read back.
 
     Cuts the lineage (a lost executor re-reads the files instead of recomputing the
-    aggregation) and gives the planner exact file statistics. (``Observation`` would give
-    the count during the write, but in Spark 4.1 it leaves the session unserializable for
-    ML models fitted later in the same session.)
+    aggregation) and gives the planner the exact file size, by which Spark itself decides
+    whether a join with it broadcasts it.
     """
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    return written, written.count()
-
-
-def checked_side(side: DataFrame, max_broadcast_rows: int | None = None, name: str = "side") -> DataFrame:
-    """Materialize a derived per-key table and mark it for broadcast only below a checked
-    size: its row count comes from the Parquet footers. At or below ``max_broadcast_rows``
-    a join with it broadcasts it (no shuffle of the other side); above, the join is a
-    plain shuffle join, which AQE may still split on skewed keys."""
-    limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
-    written, n = materialize(side.sparkSession, side, name)
-    return F.broadcast(written) if n <= limit else written
-
-
-def join_checked(
-    fact: DataFrame,
-    side: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    max_broadcast_rows: int | None = None,
-    name: str = "side",
-) -> DataFrame:
-    """Join ``fact`` with a derived per-key table, broadcasting it only below a checked size."""
-    return fact.join(checked_side(side, max_broadcast_rows, name), on, how)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,160 +1,52 @@
-"""Running totals "so far today" per key, with RANGE semantics (rows with an equal
-timestamp are peers and see each other), without putting a whole key-day in one task.
+"""Running totals "so far today" per key, with RANGE semantics: rows with an equal timestamp
+are peers and see each other.
 
-The naive form is one window ``PARTITION BY key, day ORDER BY ts RANGE UNBOUNDED
-PRECEDING``. A hot key (one customer or terminal with a third of all rows) then sends a
-third of each day to one task. Instead the day is salted by second:
+No window ever sees raw rows, so no key has to fit in a task. Rows are first added up per
+(key, timestamp) -- peers share one value, which is what RANGE means. A running total is then
+the sum of two prefixes:
 
-  1. ``within``: the same window, but partitioned by (key, second) -- one task holds at
-     most one key's rows of one second;
-  2. ``before``: per (key, day, second) the totals are pre-aggregated (map-side combine),
-     and a window over the *aggregated* rows, partitioned by (key, day) and ordered by
-     second, sums all earlier seconds. That partition holds at most 86,400 rows per key
-     and day, however many transactions the key has.
-  3. result = before + within, attached to the rows by an equi-join on (key, second).
-     The fact rows are shuffled once (by key, second); the join reuses that partitioning
-     and only the per-second table moves.
+  * ``before``: totals per (key, day, second), a prefix over the earlier seconds of the day;
+    at most 86,400 rows in a partition, however many transactions the key has;
+  * ``within``: a prefix over the distinct timestamps of one second; at most 1,000,000.
 
-``per_second`` and ``earlier_seconds`` are exposed so that callers can add more
-per-(key, day) values to the per-second table before the one join (the customer features
-attach their trailing-day sums there).
+The result goes back to the untouched rows by an equi-join on (key, timestamp), which Spark
+can split where a key is hot.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txengine.functions.columns import epoch_second
-
-SEC = "_sec"
-
-
-@dataclass(frozen=True)
-class Measure:
-    """A running aggregate: ``count`` of non-null values or ``sum`` of a BIGINT column."""
-
-    name: str
-    kind: str  # "count" | "sum"
-    column: str
-
-    def agg(self) -> Column:
-        return F.count(self.column) if self.kind == "count" else F.sum(self.column)
+from txengine.functions.columns import day_number, epoch_second
 
+SEC, DAY = "_sec", "_day"
 
-def add_second(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn(SEC, epoch_second(ts))
 
-
-def per_second(
-    rows: DataFrame, key: str, day: str, measures: list[Measure], extra: list[Column] = ()
-) -> DataFrame:
-    """(key, day, second) -> per-second totals ``_b_<name>`` (+ ``extra`` aggregates)."""
-    return rows.groupBy(key, day, SEC).agg(
-        *[m.agg().alias(f"_b_{m.name}") for m in measures], *extra
-    )
-
-
-def earlier_seconds(per_sec: DataFrame, key: str, day: str, measures: list[Measure]) -> DataFrame:
-    """Add ``_p_<name>``: totals of all earlier seconds of the same key and day."""
-    earlier = (
-        Window.partitionBy(key, day).orderBy(SEC).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return per_sec.withColumns(
-        {f"_p_{m.name}": F.sum(f"_b_{m.name}").over(earlier) for m in measures}
-    )
+def _plus(a: str, b: str) -> Column:
+    """a + b where a NULL is nothing, and NULL only if both are: SUM over both parts."""
+    return F.coalesce(F.col(a) + F.col(b), F.col(a), F.col(b))
 
 
-def within_second(rows: DataFrame, key: str, ts: str, measures: list[Measure]) -> DataFrame:
-    """Add ``_w_<name>``: running totals inside the row's own (key, second), peers included."""
-    w = (
-        Window.partitionBy(key, SEC)
-        .orderBy(ts)
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+def running_per_timestamp(per_ts: DataFrame, key: str, ts: str, sums: list[str]) -> DataFrame:
+    """``per_ts`` (one row per key and timestamp, with partial sums) with ``run_<sum>`` for
+    each: its total over the key's rows of the same day up to this timestamp."""
+    keyed = per_ts.withColumns({SEC: epoch_second(ts), DAY: day_number(ts)})
+    in_second = Window.partitionBy(key, SEC).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    within = keyed.withColumns({f"_w_{c}": F.sum(c).over(in_second) for c in sums})
+    per_second = keyed.groupBy(key, DAY, SEC).agg(*(F.sum(c).alias(c) for c in sums))
+    earlier = Window.partitionBy(key, DAY).orderBy(SEC).rowsBetween(Window.unboundedPreceding, -1)
+    before = per_second.select(key, SEC, *(F.sum(c).over(earlier).alias(f"_b_{c}") for c in sums))
+    out = within.join(before, [key, SEC])
+    return out.select(
+        *per_ts.columns, DAY, *(_plus(f"_b_{c}", f"_w_{c}").alias(f"run_{c}") for c in sums)
     )
-    return rows.withColumns({f"_w_{m.name}": m.agg().over(w) for m in measures})
-
-
-def combine(measures: list[Measure]) -> dict[str, Column]:
-    """before + within. Counts start at 0; a sum stays NULL only when both parts are NULL
-    (no non-null value so far today), as SUM over the whole frame would."""
-    out = {}
-    for m in measures:
-        p, w = F.col(f"_p_{m.name}"), F.col(f"_w_{m.name}")
-        if m.kind == "count":
-            out[m.name] = F.coalesce(p, F.lit(0)) + w
-        else:
-            out[m.name] = F.when(p.isNull() & w.isNull(), F.lit(None)).otherwise(
-                F.coalesce(p, F.lit(0)) + F.coalesce(w, F.lit(0))
-            )
-    return out
-
-
-def scratch_columns(measures: list[Measure]) -> list[str]:
-    return [SEC] + [f"_{x}_{m.name}" for m in measures for x in "bpw"]
-
-
-DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
-# Share of rows looked at to find the heaviest key. A key over a 2M-row budget shows
-# about 20,000 times in a 1 % sample, so the estimate is tight where it matters, and the
-# check shuffles 1 % of one column instead of one row per transaction.
-DEFAULT_SKEW_SAMPLE = 0.01
-
-
-def heaviest_key_rows(rows: DataFrame, key: str, sample_fraction: float = 1.0) -> int:
-    """Rows of the most frequent non-NULL key, counted exactly (``sample_fraction`` 1) or
-    estimated from a seeded Bernoulli sample of the rows. Only this one number reaches the
-    driver. It chooses between two exact plans; it never changes a result."""
-    keys = rows.select(key).filter(F.col(key).isNotNull())
-    if sample_fraction < 1.0:
-        keys = keys.sample(fraction=sample_fraction, seed=17)
-    top = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(round((top or 0) / min(sample_fraction, 1.0)))
-
-
-def choose_plan(
-    rows: DataFrame,
-    key: str,
-    plan: str,
-    max_rows_per_key: int,
-    sample_fraction: float = DEFAULT_SKEW_SAMPLE,
-) -> str:
-    """"auto" -> "direct" when the heaviest key fits the per-task budget, else "salted"."""
-    if plan != "auto":
-        return plan
-    heavy = heaviest_key_rows(rows, key, sample_fraction)
-    return "direct" if heavy <= max_rows_per_key else "salted"
-
 
-def running_today(
-    rows: DataFrame,
-    key: str,
-    day: str,
-    ts: str,
-    measures: list[Measure],
-    plan: str = "auto",
-    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
-    sample_fraction: float = DEFAULT_SKEW_SAMPLE,
-) -> DataFrame:
-    """Add one column per measure: its total over the rows of the same key and day with a
-    timestamp <= this row's. ``rows`` must not hold NULL keys or timestamps.
 
-    ``plan``: "direct" (one window per key and day), "salted" (per-second decomposition
-    above) or "auto" (direct when the heaviest key has at most ``max_rows_per_key`` rows,
-    estimated from a ``sample_fraction`` sample).
-    """
-    if choose_plan(rows, key, plan, max_rows_per_key, sample_fraction) == "direct":
-        w = (
-            Window.partitionBy(key, day)
-            .orderBy(ts)
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return rows.withColumns({m.name: m.agg().over(w) for m in measures})
-    rows = add_second(rows, ts)
-    prefix = earlier_seconds(per_second(rows, key, day, measures), key, day, measures)
-    prefix = prefix.select(key, SEC, *[f"_p_{m.name}" for m in measures])
-    joined = within_second(rows, key, ts, measures).join(prefix, [key, SEC], "inner")
-    keep = [c for c in joined.columns if c not in scratch_columns(measures)]
-    return joined.withColumns(combine(measures)).select(*keep, *[m.name for m in measures])
+def running_today(rows: DataFrame, key: str, ts: str, sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with one column per entry of ``sums`` (name -> aggregate that adds up): its
+    total over the rows of the same key and day with a timestamp up to this row's. ``rows``
+    must not hold NULL keys or timestamps."""
+    per_ts = rows.groupBy(key, ts).agg(*(c.alias(n) for n, c in sums.items()))
+    run = running_per_timestamp(per_ts, key, ts, list(sums))
+    return rows.join(run.select(key, ts, *(F.col(f"run_{n}").alias(n) for n in sums)), [key, ts])

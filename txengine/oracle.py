@@ -1,9 +1,9 @@
 """DuckDB SQL oracles, one per query key.
 
-Written from the reference's own formulation (dense calendar grids, row frames, per-day
-loops), not from our Spark rewrites, so the comparison tests the rewrites. Every query
-starts from the raw ``events`` view through the same adapter CTE as
-``sources.events_transactions``. Money is summed in cents, as in the Spark plans.
+Written from what the columns mean (per key and day, a sum over the days of its window by a
+range join), not from our Spark plans, so the comparison tests the plans. Every query starts
+from the raw ``events`` view through the same adapter CTE as ``sources.events_transactions``.
+Amounts are summed as decimals.
 """
 
 from __future__ import annotations
@@ -53,11 +53,12 @@ def on_lineitem(sql: str) -> str:
     return sql.replace(TX_CTE, LINEITEM_TX_CTE, 1)
 
 
-CENTS = "CAST(round({x} * 100) AS BIGINT)"
+def dec(x: str = "tx_amount") -> str:
+    return f"CAST({x} AS DECIMAL(28,6))"
 
 
 def money_sum(x: str = "tx_amount") -> str:
-    return f"CAST(sum({CENTS.format(x=x)}) AS DOUBLE) / 100.0::DOUBLE"
+    return f"CAST(sum({dec(x)}) AS DOUBLE)"
 
 
 def with_tx(body: str, *ctes: str) -> str:
@@ -103,7 +104,8 @@ LIMIT 10"""
     "numeric_describe": with_tx(
         "\nUNION ALL\n".join(
             f"""SELECT '{c}' AS column_name, count({c}) AS "count",
-       round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
+       CAST(sum({dec(c)}) AS DOUBLE) / nullif(count({c}), 0) AS mean,
+       CAST(printf('%.9e', stddev_samp({c})) AS DOUBLE) AS stddev,
        CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max" FROM tx"""
             for c in NUMERIC
         )
@@ -134,116 +136,86 @@ FROM tx WHERE tx_fraud = 1 GROUP BY customer_id"""
 
 
 # --------------------------------------------------------------------------- features
-# The reference's grid formulation, step by step.
 GRID_CTES = [
     """flags AS (
-  SELECT *,
-         CASE WHEN dayofweek(tx_datetime) IN (0, 6) THEN 1 ELSE 0 END AS tx_during_weekend,
-         CASE WHEN hour(tx_datetime) < 6 OR hour(tx_datetime) > 20 THEN 1 ELSE 0 END
-           AS tx_during_night
+  SELECT *, CAST(tx_datetime AS DATE) AS d,
+         coalesce(CAST(dayofweek(tx_datetime) IN (0, 6) AS INTEGER), 0) AS tx_during_weekend,
+         coalesce(CAST(hour(tx_datetime) NOT BETWEEN 6 AND 20 AS INTEGER), 0) AS tx_during_night
   FROM tx)""",
-    """bounds AS (
-  SELECT min(CAST(tx_datetime AS DATE)) AS start_date,
-         date_diff('day', min(CAST(tx_datetime AS DATE)), max(CAST(tx_datetime AS DATE)))
-           AS no_days
-  FROM tx)""",
-    """days AS (
-  SELECT CAST(start_date + CAST(i AS INTEGER) AS DATE) AS tx_date
-  FROM (SELECT start_date, unnest(generate_series(0, no_days - 1)) AS i FROM bounds))""",
-    "customers AS (SELECT DISTINCT customer_id FROM tx)",
-    "terminals AS (SELECT DISTINCT terminal_id FROM tx)",
-    "cust_day AS (SELECT d.tx_date, c.customer_id FROM days d CROSS JOIN customers c)",
-    "term_day AS (SELECT d.tx_date, t.terminal_id FROM days d CROSS JOIN terminals t)",
-    f"""cust_trx_day AS (
-  SELECT g.customer_id, g.tx_date,
-         CAST(sum({CENTS.format(x="coalesce(t.tx_amount, 0)")}) AS BIGINT) AS tot_c,
-         CAST(sum(CASE WHEN coalesce(t.tx_amount, 0) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS no_trx
-  FROM tx t RIGHT JOIN cust_day g
-    ON t.customer_id = g.customer_id AND CAST(t.tx_datetime AS DATE) = g.tx_date
-  GROUP BY g.customer_id, g.tx_date)""",
-    """cust_feat_day AS (
-  SELECT tx_date, customer_id, no_trx, tot_c,
-         lag(no_trx, 1) OVER w AS p_n_1,
-         sum(no_trx) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS p_n_7,
-         sum(no_trx) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS p_n_30,
-         lag(tot_c, 1) OVER w AS p_c_1,
-         sum(tot_c) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS p_c_7,
-         sum(tot_c) OVER (w ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS p_c_30
-  FROM cust_trx_day WINDOW w AS (PARTITION BY customer_id ORDER BY tx_date))""",
-    f"""cust_run AS (
-  SELECT t.*, f.p_n_1, f.p_n_7, f.p_n_30, f.p_c_1, f.p_c_7, f.p_c_30,
-         count(t.customer_id) OVER r AS cur_day_trx,
-         sum({CENTS.format(x="t.tx_amount")}) OVER r AS cur_day_c
-  FROM flags t JOIN cust_feat_day f
-    ON t.customer_id = f.customer_id AND CAST(t.tx_datetime AS DATE) = f.tx_date
-  WINDOW r AS (PARTITION BY t.customer_id, CAST(t.tx_datetime AS DATE) ORDER BY t.tx_datetime
-               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
-    """cust_feat AS (
-  SELECT transaction_id, tx_datetime, customer_id, terminal_id, tx_time_seconds, tx_time_days,
-         tx_amount, tx_fraud, tx_fraud_scenario, tx_during_weekend, tx_during_night,
-         (CAST(coalesce(p_c_1, 0) + cur_day_c AS DOUBLE) / 100.0::DOUBLE)
-           / (coalesce(p_n_1, 0) + cur_day_trx) AS cust_avg_amount_1,
-         CAST(coalesce(p_n_1, 0) + cur_day_trx AS BIGINT) AS cust_cnt_tx_1,
-         (CAST(coalesce(p_c_7, 0) + cur_day_c AS DOUBLE) / 100.0::DOUBLE)
-           / (coalesce(p_n_7, 0) + cur_day_trx) AS cust_avg_amount_7,
-         CAST(coalesce(p_n_7, 0) + cur_day_trx AS BIGINT) AS cust_cnt_tx_7,
-         (CAST(coalesce(p_c_30, 0) + cur_day_c AS DOUBLE) / 100.0::DOUBLE)
-           / (coalesce(p_n_30, 0) + cur_day_trx) AS cust_avg_amount_30,
-         CAST(coalesce(p_n_30, 0) + cur_day_trx AS BIGINT) AS cust_cnt_tx_30
-  FROM cust_run)""",
-    """term_trx_day AS (
-  SELECT g.terminal_id, g.tx_date,
-         CAST(sum(coalesce(t.tx_fraud, 0)) AS BIGINT) AS nb_fraud,
-         CAST(sum(CASE WHEN t.tx_fraud IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS no_trx
-  FROM tx t RIGHT JOIN term_day g
-    ON t.terminal_id = g.terminal_id AND CAST(t.tx_datetime AS DATE) = g.tx_date
-  GROUP BY g.terminal_id, g.tx_date)""",
-    """term_feat_day AS (
-  SELECT tx_date, terminal_id, no_trx, nb_fraud,
-    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay,
-    CAST(sum(no_trx) OVER (w ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay,
-    CAST(sum(no_trx) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_1,
-    CAST(sum(no_trx) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_7,
-    CAST(sum(no_trx) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_7_literal,
-    CAST(sum(no_trx) OVER (w ROWS BETWEEN 37 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_tx_delay_window_30,
-    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_1,
-    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_7,
-    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_7_literal,
-    CAST(sum(nb_fraud) OVER (w ROWS BETWEEN 37 PRECEDING AND 1 PRECEDING) AS BIGINT) AS nb_fraud_delay_window_30
-  FROM term_trx_day WINDOW w AS (PARTITION BY terminal_id ORDER BY tx_date))""",
+    "span AS (SELECT min(d) AS lo, max(d) AS hi FROM flags)",
+    "days AS (SELECT CAST(unnest(generate_series(lo, hi - 1, INTERVAL 1 DAY)) AS DATE) AS tx_date FROM span WHERE hi > lo)",
+    "cust_day AS (SELECT tx_date, customer_id FROM days, (SELECT DISTINCT customer_id FROM tx))",
+    "term_day AS (SELECT tx_date, terminal_id FROM days, (SELECT DISTINCT terminal_id FROM tx))",
+    f"""cust_tot AS (
+  SELECT customer_id, d, sum({dec()}) AS amt, sum(CASE WHEN tx_amount > 0 THEN 1 ELSE 0 END) AS n
+  FROM flags GROUP BY ALL)""",
+    """term_tot AS (
+  SELECT terminal_id, d, sum(tx_fraud) AS fr, count(tx_fraud) AS n FROM flags GROUP BY ALL)""",
 ]
 
 
-def _term_join(rows: str) -> str:
-    """The reference's terminal step on ``rows``: running count and frauds of today are
-    added to both windows and then subtracted."""
-    return f"""term_run AS (
-  SELECT c.*, f.nb_tx_delay, f.nb_fraud_delay,
-         f.nb_tx_delay_window_1, f.nb_tx_delay_window_7, f.nb_tx_delay_window_30,
-         f.nb_fraud_delay_window_1, f.nb_fraud_delay_window_7, f.nb_fraud_delay_window_30,
-         count(c.terminal_id) OVER r AS cur_trx, sum(c.tx_fraud) OVER r AS cur_fraud
-  FROM {rows} c JOIN term_feat_day f
-    ON c.terminal_id = f.terminal_id AND CAST(c.tx_datetime AS DATE) = f.tx_date
-  WINDOW r AS (PARTITION BY c.terminal_id, CAST(c.tx_datetime AS DATE) ORDER BY c.tx_datetime
-               RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-term_feat AS (
-  SELECT *,
-    CAST((nb_tx_delay_window_1 + cur_trx) - (nb_tx_delay + cur_trx) AS BIGINT) AS nb_tx_window_1,
-    CAST(CASE WHEN (nb_fraud_delay_window_1 + cur_fraud) - (nb_fraud_delay + cur_fraud) > 0
-         THEN ((nb_fraud_delay_window_1 + cur_fraud) - (nb_fraud_delay + cur_fraud))
-              / ((nb_tx_delay_window_1 + cur_trx) - (nb_tx_delay + cur_trx))
-         ELSE 0 END AS DOUBLE) AS term_risk_1,
-    CAST((nb_tx_delay_window_7 + cur_trx) - (nb_tx_delay + cur_trx) AS BIGINT) AS nb_tx_window_7,
-    CAST(CASE WHEN (nb_fraud_delay_window_7 + cur_fraud) - (nb_fraud_delay + cur_fraud) > 0
-         THEN ((nb_fraud_delay_window_7 + cur_fraud) - (nb_fraud_delay + cur_fraud))
-              / ((nb_tx_delay_window_7 + cur_trx) - (nb_tx_delay + cur_trx))
-         ELSE 0 END AS DOUBLE) AS term_risk_7,
-    CAST((nb_tx_delay_window_30 + cur_trx) - (nb_tx_delay + cur_trx) AS BIGINT) AS nb_tx_window_30,
-    CAST(CASE WHEN (nb_fraud_delay_window_30 + cur_fraud) - (nb_fraud_delay + cur_fraud) > 0
-         THEN ((nb_fraud_delay_window_30 + cur_fraud) - (nb_fraud_delay + cur_fraud))
-              / ((nb_tx_delay_window_30 + cur_trx) - (nb_tx_delay + cur_trx))
-         ELSE 0 END AS DOUBLE) AS term_risk_30
-  FROM term_run)"""
+def _window(keys: str, key: str, totals: str, sums: dict[str, str], last: int, first: int) -> str:
+    """Per row (key, day) of ``keys``: sums over the key's days from ``last`` to ``first``
+    days ago; 0 where there is none."""
+    cols = ", ".join(f"coalesce(sum(h.{c}), 0) AS {name}" for name, c in sums.items())
+    return (
+        f"SELECT k.{key}, k.d, {cols} FROM {keys} k LEFT JOIN {totals} h"
+        f" ON h.{key} = k.{key} AND h.d BETWEEN k.d - {last} AND k.d - {first} GROUP BY k.{key}, k.d"
+    )
+
+
+def _grid(key: str, totals: str, grid: str, day_cols: str, windows: dict[str, tuple[str, int]]) -> str:
+    """Per grid day: its own totals, and for each name the sum of a column over the n days
+    before; NULL on the first day, which no day comes before."""
+    sums = ", ".join(
+        f"""(SELECT coalesce(sum(h.{c}), 0) FROM {totals} h WHERE h.{key} = g.{key}
+            AND h.d BETWEEN g.tx_date - {n} AND g.tx_date - 1) AS {name}"""
+        for name, (c, n) in windows.items()
+    )
+    nulls = ", ".join(f"CASE WHEN tx_date > (SELECT lo FROM span) THEN {name} END AS {name}" for name in windows)
+    return f"""SELECT tx_date, {key}, {day_cols}, {nulls} FROM (
+  SELECT g.tx_date, g.{key}, t.*EXCLUDE ({key}, d), {sums}
+  FROM {grid} g LEFT JOIN {totals} t ON t.{key} = g.{key} AND t.d = g.tx_date)"""
+
+
+def feature_ctes(window_7: int = 7, labels_today: bool = False, all_days: bool = False) -> list[str]:
+    """CTEs up to ``cust_feat``, ``term_feat`` and ``features``. ``window_7``: days behind the
+    7-day terminal columns; ``labels_today``: no risk while all of today's labels so far are
+    NULL; ``all_days``: the last day's rows stay."""
+    keep = "d <= (SELECT hi FROM span)" if all_days else "d < (SELECT hi FROM span)"
+    ctes = [*GRID_CTES, f"cal AS (SELECT *, row_number() OVER () AS rid FROM flags WHERE {keep})"]
+    ctes.append(
+        f"""cust_now AS (SELECT rid, count(*) OVER w AS n, sum({dec()}) OVER w AS amt FROM cal
+  WHERE customer_id IS NOT NULL
+  WINDOW w AS (PARTITION BY customer_id, d ORDER BY tx_datetime RANGE UNBOUNDED PRECEDING))"""
+    )
+    ctes.append(
+        """term_now AS (SELECT rid, count(tx_fraud) OVER w AS labels FROM cal WHERE terminal_id IS NOT NULL
+  WINDOW w AS (PARTITION BY terminal_id, d ORDER BY tx_datetime RANGE UNBOUNDED PRECEDING))"""
+    )
+    ctes.append("cust_keys AS (SELECT DISTINCT customer_id, d FROM cal WHERE customer_id IS NOT NULL)")
+    ctes.append("term_keys AS (SELECT DISTINCT terminal_id, d FROM cal WHERE terminal_id IS NOT NULL)")
+    c_cols, c_joins, t_cols, t_joins = [], [], [], []
+    for n in (1, 7, 30):
+        ctes.append(f"c{n} AS ({_window('cust_keys', 'customer_id', 'cust_tot', {'n': 'n', 'amt': 'amt'}, n, 1)})")
+        c_joins.append(f"JOIN c{n} ON c{n}.customer_id = x.customer_id AND c{n}.d = x.d")
+        c_cols.append(
+            f"CAST(c{n}.amt + now.amt AS DOUBLE) / (c{n}.n + now.n) AS cust_avg_amount_{n},"
+            f" CAST(c{n}.n + now.n AS BIGINT) AS cust_cnt_tx_{n}"
+        )
+        reach = window_7 if n == 7 else n
+        ctes.append(f"t{n} AS ({_window('term_keys', 'terminal_id', 'term_tot', {'n': 'n', 'fr': 'fr'}, reach + 7, 8)})")
+        t_joins.append(f"JOIN t{n} ON t{n}.terminal_id = x.terminal_id AND t{n}.d = x.d")
+        known = f"t{n}.fr > 0" + (" AND now.labels > 0" if labels_today else "")
+        later = "x.d > (SELECT lo FROM span)"
+        t_cols.append(
+            f"CAST(CASE WHEN {later} THEN t{n}.n END AS BIGINT) AS nb_tx_window_{n},"
+            f" CAST(CASE WHEN {later} AND {known} THEN t{n}.fr / t{n}.n ELSE 0 END AS DOUBLE) AS term_risk_{n}"
+        )
+    ctes.append(f"cust_feat AS (SELECT x.*, {', '.join(c_cols)} FROM cal x JOIN cust_now now USING (rid) {' '.join(c_joins)})")
+    ctes.append(f"term_feat AS (SELECT x.rid, {', '.join(t_cols)} FROM cal x JOIN term_now now USING (rid) {' '.join(t_joins)})")
+    ctes.append(f"features AS (SELECT {FEATURE_COLS} FROM cust_feat JOIN term_feat USING (rid))")
+    return ctes
 
 
 FEATURE_COLS = """transaction_id, tx_datetime, customer_id, terminal_id, tx_time_seconds,
@@ -252,62 +224,76 @@ FEATURE_COLS = """transaction_id, tx_datetime, customer_id, terminal_id, tx_time
   cust_cnt_tx_30, nb_tx_window_1, term_risk_1, nb_tx_window_7, term_risk_7, nb_tx_window_30,
   term_risk_30"""
 
-FEATURE_TABLE_CTES = [*GRID_CTES, _term_join("cust_feat"), f"features AS (SELECT {FEATURE_COLS} FROM term_feat)"]
+FEATURE_TABLE_CTES = feature_ctes()
 
 
 def with_grid(body: str, *more: str) -> str:
     return with_tx(body, *GRID_CTES, *more)
 
 
+_CUST_WINDOWS = {
+    "cust_tx_prev_1": ("n", 1), "cust_tx_prev_7": ("n", 7), "cust_tx_prev_30": ("n", 30),
+    "cust_tot_amt_prev_1": ("amt", 1), "cust_tot_amt_prev_7": ("amt", 7), "cust_tot_amt_prev_30": ("amt", 30),
+}
+_TERM_WINDOWS = {
+    "nb_fraud_delay": ("fr", 7), "nb_tx_delay": ("n", 7),
+    "nb_tx_delay_window_1": ("n", 8), "nb_tx_delay_window_7": ("n", 14),
+    "nb_tx_delay_window_7_literal": ("n", 8), "nb_tx_delay_window_30": ("n", 37),
+    "nb_fraud_delay_window_1": ("fr", 8), "nb_fraud_delay_window_7": ("fr", 14),
+    "nb_fraud_delay_window_7_literal": ("fr", 8), "nb_fraud_delay_window_30": ("fr", 37),
+}
+_CUST_GRID = _grid(
+    "customer_id", "cust_tot", "cust_day",
+    "CAST(coalesce(amt, 0) AS DOUBLE) AS tot_amount, CAST(coalesce(n, 0) AS BIGINT) AS no_trx", _CUST_WINDOWS,
+)
+_TERM_GRID = _grid(
+    "terminal_id", "term_tot", "term_day",
+    "CAST(coalesce(fr, 0) AS BIGINT) AS nb_fraud, CAST(coalesce(n, 0) AS BIGINT) AS no_trx", _TERM_WINDOWS,
+)
+
+
+def _typed(windows: dict[str, tuple[str, int]]) -> str:
+    return ", ".join(f"CAST({k} AS {'DOUBLE' if c == 'amt' else 'BIGINT'}) AS {k}" for k, (c, _) in windows.items())
+
+
 FEATURES = {
-    "date_time_features": with_grid("SELECT * FROM flags"),
-    "date_bounds": with_grid("SELECT start_date, CAST(no_days AS BIGINT) AS no_days FROM bounds"),
+    "date_time_features": with_grid("SELECT * EXCLUDE (d) FROM flags"),
+    "date_bounds": with_grid("SELECT lo AS start_date, CAST(hi - lo AS BIGINT) AS no_days FROM span"),
     "calendar_days": with_grid("SELECT tx_date FROM days"),
     "customer_day_grid": with_grid("SELECT tx_date, customer_id FROM cust_day"),
     "terminal_day_grid": with_grid("SELECT tx_date, terminal_id FROM term_day"),
-    "customer_daily": with_grid(
-        """SELECT customer_id, tx_date, CAST(tot_c AS DOUBLE) / 100.0::DOUBLE AS tot_amount, no_trx
-FROM cust_trx_day"""
-    ),
+    "customer_daily": with_grid(f"SELECT customer_id, tx_date, tot_amount, no_trx FROM ({_CUST_GRID})"),
     "customer_trailing_daily": with_grid(
-        """SELECT tx_date, customer_id, no_trx, CAST(tot_c AS DOUBLE) / 100.0::DOUBLE AS tot_amount,
-       CAST(p_n_1 AS BIGINT) AS cust_tx_prev_1, CAST(p_n_7 AS BIGINT) AS cust_tx_prev_7,
-       CAST(p_n_30 AS BIGINT) AS cust_tx_prev_30,
-       CAST(p_c_1 AS DOUBLE) / 100.0::DOUBLE AS cust_tot_amt_prev_1,
-       CAST(p_c_7 AS DOUBLE) / 100.0::DOUBLE AS cust_tot_amt_prev_7,
-       CAST(p_c_30 AS DOUBLE) / 100.0::DOUBLE AS cust_tot_amt_prev_30
-FROM cust_feat_day"""
+        f"SELECT tx_date, customer_id, no_trx, tot_amount, {_typed(_CUST_WINDOWS)} FROM ({_CUST_GRID})"
     ),
     "customer_running_day": with_tx(
-        f"""SELECT transaction_id, customer_id, tx_datetime,
-       count(customer_id) OVER r AS cur_day_trx,
-       CAST(sum({CENTS.format(x="tx_amount")}) OVER r AS DOUBLE) / 100.0::DOUBLE AS cur_day_amt
+        f"""SELECT transaction_id, customer_id, tx_datetime, count(*) OVER r AS cur_day_trx,
+       CAST(sum({dec()}) OVER r AS DOUBLE) AS cur_day_amt
 FROM tx WHERE customer_id IS NOT NULL AND tx_datetime IS NOT NULL
-WINDOW r AS (PARTITION BY customer_id, CAST(tx_datetime AS DATE) ORDER BY tx_datetime
-             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+WINDOW r AS (PARTITION BY customer_id, CAST(tx_datetime AS DATE) ORDER BY tx_datetime RANGE UNBOUNDED PRECEDING)"""
     ),
     "terminal_running_day": with_tx(
-        """SELECT transaction_id, terminal_id, tx_datetime,
-       count(terminal_id) OVER r AS cur_day_trx,
+        """SELECT transaction_id, terminal_id, tx_datetime, count(*) OVER r AS cur_day_trx,
        CAST(sum(tx_fraud) OVER r AS BIGINT) AS cur_day_fraud
 FROM tx WHERE terminal_id IS NOT NULL AND tx_datetime IS NOT NULL
-WINDOW r AS (PARTITION BY terminal_id, CAST(tx_datetime AS DATE) ORDER BY tx_datetime
-             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+WINDOW r AS (PARTITION BY terminal_id, CAST(tx_datetime AS DATE) ORDER BY tx_datetime RANGE UNBOUNDED PRECEDING)"""
     ),
-    "customer_features": with_grid("SELECT * FROM cust_feat"),
-    "terminal_daily": with_grid("SELECT terminal_id, tx_date, nb_fraud, no_trx FROM term_trx_day"),
-    "terminal_trailing_daily": with_grid("SELECT * FROM term_feat_day"),
-    "terminal_features": with_grid(
+    "customer_features": with_tx("SELECT * EXCLUDE (d, rid) FROM cust_feat", *FEATURE_TABLE_CTES),
+    "terminal_daily": with_grid(f"SELECT terminal_id, tx_date, nb_fraud, no_trx FROM ({_TERM_GRID})"),
+    "terminal_trailing_daily": with_grid(
+        f"SELECT tx_date, terminal_id, no_trx, nb_fraud, {_typed(_TERM_WINDOWS)} FROM ({_TERM_GRID})"
+    ),
+    "terminal_features": with_tx(
         """SELECT transaction_id, terminal_id, tx_datetime, nb_tx_window_1, term_risk_1,
        nb_tx_window_7, term_risk_7, nb_tx_window_30, term_risk_30
-FROM term_feat""",
-        """in_cal AS (SELECT f.* FROM flags f JOIN days d ON CAST(f.tx_datetime AS DATE) = d.tx_date
-                WHERE f.terminal_id IS NOT NULL)""",
-        _term_join("in_cal"),
+FROM cal JOIN term_feat USING (rid)""",
+        *FEATURE_TABLE_CTES,
     ),
     "feature_table": with_tx("SELECT * FROM features", *FEATURE_TABLE_CTES),
-    "feature_table_grid": with_tx("SELECT * FROM features", *FEATURE_TABLE_CTES),
+    "feature_table_literal": with_tx("SELECT * FROM features", *feature_ctes(window_7=1, labels_today=True)),
+    "feature_table_all_days": with_tx("SELECT * FROM features", *feature_ctes(all_days=True)),
 }
+FEATURES["feature_table_saved"] = FEATURES["feature_table"]
 FEATURES["lineitem_feature_table"] = on_lineitem(FEATURES["feature_table"])
 
 
@@ -406,6 +392,20 @@ def assess_queries(start: str = "2024-01-09") -> dict[str, str]:
             *ctes,
         ),
         "actual_fraud_rows": with_tx("SELECT * FROM scored WHERE tx_fraud = 1", *ctes),
+        "scored_table_carried": with_tx("SELECT * FROM test", *ctes),
+        "model_confusion_totals": with_tx(
+            """SELECT model, count(*) AS rows, CAST(sum(actual) AS BIGINT) AS frauds
+FROM stacked GROUP BY model""",
+            *ctes,
+        ),
+        "registered_training_rows": with_tx(
+            """SELECT 'logistic_fraud_detection' AS name, 'v1' AS version, count(*) AS train_rows,
+       count(*) AS training_set_rows FROM train""",
+            *ctes,
+        ),
+        "registry_prediction_differences": with_tx(
+            "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM test", *ctes
+        ),
     }
 
 

@@ -1,7 +1,7 @@
 """The reference's analysis worksheet queries (SQL and DataFrame), as DataFrame plans.
 
-All money totals are exact: amounts are summed as BIGINT cents and divided once at the end,
-so results do not depend on partitioning or merge order.
+Amounts of up to six decimals are summed exactly, so results do not depend on partitioning or
+merge order; all others are summed as DOUBLE (``functions.columns``).
 """
 
 from __future__ import annotations
@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txengine.functions.columns import cents, money, round_half_away
+from txengine.functions.columns import amount_total, round_half_away
 from txengine.sources.catalog import dimension
 from txengine.sources.schema import TX_COLUMNS
 
 
 def _total(col: str = "tx_amount"):
-    return money(F.sum(cents(col)))
+    return amount_total(col)
 
 
 def _mean(col: str = "tx_amount"):
@@ -86,14 +86,18 @@ NUMERIC_COLUMNS = [c for c in TX_COLUMNS if c != "tx_datetime"]
 def numeric_describe(tx: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Typed ``describe()``: one row per numeric column with count, mean, sample standard
     deviation, min and max as numbers (Spark's ``describe`` returns strings). One pass,
-    one aggregate; mean and stddev rounded to 6 places."""
+    one aggregate. The mean comes from the exact total; the deviation, whose last digits
+    depend on the merge order, is given to ten significant digits."""
     cols = columns or NUMERIC_COLUMNS
     aggs = []
     for c in cols:
+        whole = amount_total(F.col(c).cast("double"))
+        if dict(tx.dtypes)[c] != "double":
+            whole = F.sum(F.col(c).cast("decimal(28,0)")).cast("double")
         aggs += [
             F.count(c).alias(f"{c}__n"),
-            F.round(F.avg(c), 6).alias(f"{c}__mean"),
-            F.round(F.stddev_samp(c), 6).alias(f"{c}__sd"),
+            F.try_divide(whole, F.count(c)).alias(f"{c}__mean"),
+            F.format_string("%.9e", F.stddev_samp(c)).cast("double").alias(f"{c}__sd"),
             F.min(c).cast("double").alias(f"{c}__min"),
             F.max(c).cast("double").alias(f"{c}__max"),
         ]

@@ -4,17 +4,21 @@ the wide-calendar feature table, adapted to transactions) and runs over all thei
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txengine.plans import analysis
 from txengine.session import scratch_path
+from txengine.sources.catalog import create_namespace, create_transaction_table
 from txengine.sources.schema import FEATURE_TABLE_COLUMNS
 from txengine.sources.transactions import (
+    copy_into,
     events_transactions,
     lineitem_transactions,
-    read_transactions_csv,
+    load_transactions,
     write_transactions_csv,
 )
 
@@ -30,12 +34,32 @@ def _on_tx(fn) -> Query:
     return run
 
 
+SCRATCH_DATABASE = "txengine_scratch"
+
+
+def _scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh table name in the scratch database of the catalog."""
+    create_namespace(spark, SCRATCH_DATABASE)
+    return f"{SCRATCH_DATABASE}.{name}_{uuid.uuid4().hex[:12]}"
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells one state of the fixture from another: its files, sizes and times. Work
+    kept for later queries is kept by this, so that changed data is never answered from it."""
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/events.parquet")
+    mark = F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)")
+    seen = files.agg(F.count(F.lit(1)), F.sum(mark)).first()
+    return (spark.sparkContext.applicationId, sf_dir, seen[0], str(seen[1]))
+
+
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage the transactions as gzip CSV in the shared folder, then COPY them back with the
-    typed reader (S3-S5)."""
-    path = scratch_path(spark, "stage")
+    """Stage the transactions as gzip CSV in the shared folder, COPY them into a managed
+    table with the typed reader, and read that table (S2-S5, S7)."""
+    path, table = scratch_path(spark, "stage"), _scratch_table(spark, "transactions")
     write_transactions_csv(events_transactions(spark, sf_dir), path)
-    return read_transactions_csv(spark, path)
+    create_transaction_table(spark, table)
+    copy_into(spark, path, table)
+    return load_transactions(spark, table)
 
 
 def registry() -> dict[str, Query]:
@@ -61,7 +85,6 @@ def _features_registry() -> dict[str, Query]:
         "date_bounds", "calendar_days", "customer_day_grid", "customer_daily",
         "customer_trailing_daily", "customer_running_day", "terminal_day_grid",
         "terminal_daily", "terminal_trailing_daily", "terminal_running_day",
-        "feature_table_grid",
     ]:
         q[name] = _on_tx(getattr(calendar, name))
     for name in ["date_time_features", "customer_features", "terminal_features", "feature_table"]:
@@ -72,7 +95,26 @@ def _features_registry() -> dict[str, Query]:
         every timestamp at midnight, so all of a day's rows are RANGE peers."""
         return features.feature_table(lineitem_transactions(spark, sf_dir))
 
+    def feature_table_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The feature table with the reference's own terminal columns (D4, D18)."""
+        opts = features.FeatureOptions(terminal_window_7="literal", literal_current_day_labels=True)
+        return features.feature_table(events_transactions(spark, sf_dir), opts)
+
+    def feature_table_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The feature table with the last calendar day's rows (D3)."""
+        opts = features.FeatureOptions(keep_last_day=True)
+        return features.feature_table(events_transactions(spark, sf_dir), opts)
+
+    def feature_table_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The feature table saved as a catalog table and read back (S10)."""
+        table = _scratch_table(spark, "features")
+        features.save_feature_table(features.feature_table(events_transactions(spark, sf_dir)), table)
+        return spark.table(table).select(*FEATURE_TABLE_COLUMNS)
+
     q["lineitem_feature_table"] = lineitem_feature_table
+    q["feature_table_literal"] = feature_table_literal
+    q["feature_table_all_days"] = feature_table_all_days
+    q["feature_table_saved"] = feature_table_saved
     return q
 
 
@@ -80,7 +122,7 @@ def _features_registry() -> dict[str, Query]:
 FIXTURE_SPLIT_START = "2024-01-09"
 
 
-_WRITTEN: dict[tuple[str, str], tuple] = {}
+_WRITTEN: dict[tuple, tuple] = {}
 
 
 def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +131,7 @@ def fixture_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     partitioned by TX_TIME_DAYS so that per-day filters prune files."""
     from txengine.plans.features import clustered_by_day, feature_table
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _state(spark, sf_dir)
     if key not in _WRITTEN:
         path = scratch_path(spark, "feature_table")
         df = feature_table(events_transactions(spark, sf_dir))
@@ -119,8 +161,8 @@ def _split_registry() -> dict[str, Query]:
 
 
 # ----------------------------------------------------------------------------- models
-_FITTED: dict[tuple[str, str], tuple] = {}
-_REGISTERED: dict[tuple[str, str], tuple] = {}
+_FITTED: dict[tuple, tuple] = {}
+_REGISTERED: dict[tuple, tuple] = {}
 
 
 def fixture_split(spark: SparkSession, sf_dir: str):
@@ -132,13 +174,13 @@ def fixture_split(spark: SparkSession, sf_dir: str):
 
 
 def fixture_models(spark: SparkSession, sf_dir: str):
-    """Both models fitted once per application and fixture (train once, score many)."""
+    """Both models, fitted once for each state of the fixture (train once, score many)."""
     from txengine.plans import models
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _state(spark, sf_dir)
     if key not in _FITTED:
         train, _ = fixture_split(spark, sf_dir)
-        _FITTED[key] = models.fit_both(train)
+        _FITTED[key] = models.fit_all(train)
     return _FITTED[key]
 
 
@@ -147,30 +189,66 @@ def _models_registry() -> dict[str, Query]:
     from txengine.plans.registry import ModelRegistry
 
     def logistic_scores(spark, sf_dir):
-        lm, _ = fixture_models(spark, sf_dir)
+        lm = fixture_models(spark, sf_dir).lm
         return models.score_logistic(lm, fixture_split(spark, sf_dir)[1])
 
     def forest_scores(spark, sf_dir):
-        _, rf = fixture_models(spark, sf_dir)
+        rf = fixture_models(spark, sf_dir).rf
         return models.score_forest(rf, fixture_split(spark, sf_dir)[1])
 
+    def scored(spark, sf_dir):
+        m = fixture_models(spark, sf_dir)
+        return models.score_both(m.lm, m.rf, fixture_split(spark, sf_dir)[1])
+
     def scored_table(spark, sf_dir):
-        lm, rf = fixture_models(spark, sf_dir)
-        return models.score_both(lm, rf, fixture_split(spark, sf_dir)[1])
+        """The test set scored by both models, saved as a catalog table and read back."""
+        table = _scratch_table(spark, "scored")
+        models.save_scored(scored(spark, sf_dir), table)
+        return spark.table(table)
+
+    def scored_table_carried(spark, sf_dir):
+        """The 23 columns that the saved scored table carries along."""
+        return scored_table(spark, sf_dir).select(*FEATURE_TABLE_COLUMNS)
+
+    def model_confusion_totals(spark, sf_dir):
+        """Rows and actual frauds that each model's confusion matrix adds up to."""
+        m = assessment.confusion_matrix(scored(spark, sf_dir))
+        n = F.col("predicted_0") + F.col("predicted_1")
+        return m.groupBy("model").agg(
+            F.sum(n).cast("bigint").alias("rows"),
+            F.sum(F.when(F.col("actual") == 1, n).otherwise(0)).cast("bigint").alias("frauds"),
+        )
 
     def _registered(spark, sf_dir):
-        """The logistic model logged once per application and fixture."""
-        key = (spark.sparkContext.applicationId, sf_dir)
+        """The logistic model logged and deployed once for each state of the fixture."""
+        key = _state(spark, sf_dir)
         if key not in _REGISTERED:
-            lm, _ = fixture_models(spark, sf_dir)
+            m = fixture_models(spark, sf_dir)
             reg = ModelRegistry.create(spark, scratch_path(spark, "registry"))
-            ref = reg.log_model("logistic_fraud_detection", "v1", lm, {"maxIter": 1000})
+            ref = reg.log_model("logistic_fraud_detection", "v1", m.lm, {"maxIter": 1000}, m.rows)
+            reg.deploy("fraud_scoring", "logistic_fraud_detection", "v1")
             _REGISTERED[key] = (reg, ref)
         return _REGISTERED[key]
 
     def model_registry_list(spark, sf_dir):
+        """The registry's entries beside the size of the training set in the data."""
+        reg, _ = _registered(spark, sf_dir)
+        n = fixture_split(spark, sf_dir)[0].select(F.count(F.lit(1))).scalar()
+        return reg.list_models().withColumn("training_set_rows", n)
+
+    def registered_training_rows(spark, sf_dir):
+        """What the registry says each version was trained on."""
+        return model_registry_list(spark, sf_dir).select("name", "version", "train_rows", "training_set_rows")
+
+    def registry_prediction_differences(spark, sf_dir):
+        """Test rows, and those on which the deployed model and the fitted one disagree."""
         reg, _ = _registered(spark, sf_dir)
-        return reg.list_models()
+        test = scored(spark, sf_dir).withColumnRenamed("prediction_lm", "direct").drop("fraud_probability_lm")
+        again = reg.predict("fraud_scoring", test)
+        differs = F.when(F.col("direct") != F.col("prediction_lm"), 1).otherwise(0)
+        return again.agg(
+            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(differs), F.lit(0)).cast("bigint").alias("different")
+        )
 
     def registry_scores(spark, sf_dir):
         _, ref = _registered(spark, sf_dir)
@@ -186,10 +264,10 @@ def _models_registry() -> dict[str, Query]:
         return assessment.predicted_fraud(registry_scores(spark, sf_dir))
 
     def model_confusion_matrix(spark, sf_dir):
-        return assessment.confusion_matrix(scored_table(spark, sf_dir))
+        return assessment.confusion_matrix(scored(spark, sf_dir))
 
     def model_classification_metrics(spark, sf_dir):
-        return assessment.classification_metrics(scored_table(spark, sf_dir))
+        return assessment.classification_metrics(scored(spark, sf_dir))
 
     def rule(fn):
         def run(spark, sf_dir):
@@ -202,6 +280,10 @@ def _models_registry() -> dict[str, Query]:
         "logistic_scores": logistic_scores,
         "forest_scores": forest_scores,
         "scored_table": scored_table,
+        "scored_table_carried": scored_table_carried,
+        "model_confusion_totals": model_confusion_totals,
+        "registered_training_rows": registered_training_rows,
+        "registry_prediction_differences": registry_prediction_differences,
         "model_registry_list": model_registry_list,
         "registry_scores": registry_scores,
         "predicted_fraud": predicted_fraud,

@@ -27,11 +27,12 @@ class Tables:
         return f"{self.database}.{table}"
 
 
-def setup(spark: SparkSession, csv_path: str, t: Tables = Tables(), num_partitions: int | None = None) -> DataFrame:
-    """Namespace, typed table, COPY of the staged CSV, the two dimensions."""
+def setup(spark: SparkSession, csv_path: str, t: Tables = Tables()) -> DataFrame:
+    """Namespace, typed table (created or replaced), COPY of the staged CSV, the two
+    dimensions. Running it again gives the same tables."""
     create_namespace(spark, t.database)
     create_transaction_table(spark, t.name(t.transactions))
-    copy_into(spark, csv_path, t.name(t.transactions), num_partitions)
+    copy_into(spark, csv_path, t.name(t.transactions))
     tx = spark.table(t.name(t.transactions))
     save_table(dimension(tx, "customer_id"), t.name(t.customers))
     save_table(dimension(tx, "terminal_id"), t.name(t.terminals))
@@ -70,13 +71,16 @@ def machine_learning(
 ) -> MLResult:
     """Split, fit both models, save the scored test set, register the logistic model and
     score the test set with the registered version."""
+    name = "logistic_fraud_detection"
+    registry = ModelRegistry.create(spark, registry_path)
+    registry.refuse_existing(name, model_version)  # before anything is trained or overwritten
     feats = spark.table(t.name(t.features))
     unsorted = split.SplitOptions(**{**split_opts.__dict__, "sort": False})
     train, test = split.train_split(feats, unsorted), split.test_split(feats, unsorted)
-    lm, rf = models.fit_both(train, model_opts)
-    models.save_scored(models.score_both(lm, rf, test), t.name(t.scored))
-    registry = ModelRegistry.create(spark, registry_path)
-    ref = registry.log_model("logistic_fraud_detection", model_version, lm, {"maxIter": model_opts.lr_max_iter})
+    fitted = models.fit_all(train, model_opts)
+    models.save_scored(models.score_both(fitted.lm, fitted.rf, test), t.name(t.scored))
+    params = {"maxIter": model_opts.lr_max_iter}
+    ref = registry.log_model(name, model_version, fitted.lm, params, fitted.rows)
     return MLResult(
         train=split.train_split(feats, split_opts),
         test=split.test_split(feats, split_opts),

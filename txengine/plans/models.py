@@ -7,7 +7,7 @@ Parameter mapping from the reference's estimators (library defaults documented p
          ``tol = 1e-4``, ``maxIter = 1000``;
   random forest: 100 trees, Gini, sqrt(features) per split, bootstrap
       -> ``numTrees = 100``, ``impurity = "gini"``, ``featureSubsetStrategy = "sqrt"``;
-         the reference grows unbounded trees, Spark caps depth (default here 10, max 30).
+         the reference grows unbounded trees; ``maxDepth = 30`` is the deepest Spark allows.
 
 Both fits read a training set that is written once to the shared folder first, so the
 feature plan runs once and the iterations read Parquet, not the lineage.
@@ -16,6 +16,7 @@ feature plan runs once and the iterations read Parquet, not the lineage.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txengine.operators.joins import materialize
-from txengine.sources.schema import FEATURE_TABLE_COLUMNS, LABEL, MODEL_FEATURES
+from txengine.sources.schema import LABEL, MODEL_FEATURES
 
 
 @dataclass(frozen=True)
@@ -37,7 +38,7 @@ class ModelOptions:
     lr_tol: float = 1e-4
     lr_standardization: bool = False
     rf_trees: int = 100
-    rf_max_depth: int = 10
+    rf_max_depth: int = 30
     seed: int = 42
 
 
@@ -48,9 +49,13 @@ def _assembler(opts: ModelOptions, suffix: str) -> VectorAssembler:
 
 
 def _training_frame(train: DataFrame, opts: ModelOptions) -> tuple[DataFrame, int]:
+    """The written training set and its rows; rows that the models would skip are not in it."""
     cols = list(dict.fromkeys([*opts.features, opts.label]))
     df = train.select(*cols).withColumn(opts.label, F.col(opts.label).cast("double"))
-    return materialize(train.sparkSession, df, "train_set")
+    if opts.handle_invalid == "skip":
+        df = df.dropna(subset=list(opts.features))
+    data = materialize(train.sparkSession, df, "train_set")
+    return data, data.count()
 
 
 def fit_logistic(train: DataFrame, opts: ModelOptions = ModelOptions()) -> PipelineModel:
@@ -63,7 +68,13 @@ def fit_forest(train: DataFrame, opts: ModelOptions = ModelOptions()) -> Pipelin
     return fit_forest_on(data, opts)
 
 
-def fit_both(train: DataFrame, opts: ModelOptions = ModelOptions()) -> tuple[PipelineModel, PipelineModel]:
+class Fitted(NamedTuple):
+    lm: PipelineModel
+    rf: PipelineModel
+    rows: int  # training rows
+
+
+def fit_all(train: DataFrame, opts: ModelOptions = ModelOptions()) -> Fitted:
     """Write the training set once, keep it in executor memory (spilling to disk) for the
     iterations of both fits, release it after. The two fits are independent Spark jobs
     and are submitted from two driver threads, so that one fit's many small iteration
@@ -78,11 +89,16 @@ def fit_both(train: DataFrame, opts: ModelOptions = ModelOptions()) -> tuple[Pip
         with ThreadPoolExecutor(max_workers=2) as pool:
             lm = pool.submit(fit_logistic_on, data, n, opts)
             rf = pool.submit(fit_forest_on, data, opts)
-            return lm.result(), rf.result()
+            return Fitted(lm.result(), rf.result(), n)
     finally:
         data.unpersist()
 
 
+def fit_both(train: DataFrame, opts: ModelOptions = ModelOptions()) -> tuple[PipelineModel, PipelineModel]:
+    fitted = fit_all(train, opts)
+    return fitted.lm, fitted.rf
+
+
 def fit_logistic_on(data: DataFrame, n: int, opts: ModelOptions) -> PipelineModel:
     lr = LogisticRegression(
         featuresCol="features_lm", labelCol=opts.label, predictionCol="prediction_lm",
@@ -130,6 +146,3 @@ def score_both(lm: PipelineModel, rf: PipelineModel, df: DataFrame) -> DataFrame
 
 def save_scored(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
-
-
-SCORED_COLUMNS = [*FEATURE_TABLE_COLUMNS, "prediction_lm", "prediction_rf"]

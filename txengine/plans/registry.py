@@ -31,26 +31,35 @@ ENTRY_SCHEMA = T.StructType(
 )
 
 
+DEPLOYMENT_SCHEMA = T.StructType(
+    [
+        T.StructField("deployment", T.StringType(), False),
+        T.StructField("name", T.StringType(), False),
+        T.StructField("version", T.StringType(), False),
+        T.StructField("deployed_at", T.TimestampNTZType(), False),
+    ]
+)
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 class ModelRegistry:
     def __init__(self, spark: SparkSession, base_path: str | None = None):
         self.spark = spark
         self.base = (base_path or f"{shared_dir(spark).rstrip('/')}/model_registry").rstrip("/")
         self.entries_path = f"{self.base}/_entries"
+        self.deployments_path = f"{self.base}/_deployments"
 
     @classmethod
     def create(cls, spark: SparkSession, base_path: str | None = None) -> "ModelRegistry":
         """Create the registry if it does not exist (an empty entries table)."""
         reg = cls(spark, base_path)
-        if not reg._exists():
-            spark.createDataFrame([], ENTRY_SCHEMA).write.mode("ignore").parquet(reg.entries_path)
+        for path, schema in ((reg.entries_path, ENTRY_SCHEMA), (reg.deployments_path, DEPLOYMENT_SCHEMA)):
+            spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
         return reg
 
-    def _exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.entries_path)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(path))
-
     def list_models(self) -> DataFrame:
         return self.spark.read.schema(ENTRY_SCHEMA).parquet(self.entries_path)
 
@@ -73,14 +82,35 @@ class ModelRegistry:
     ) -> "ModelRef":
         """Save the model under ``base/name/version`` and append its entry. An existing
         (name, version) is refused: versions are immutable."""
-        if self._entry(name, version) is not None:
-            raise ValueError(f"model {name} version {version} already registered")
+        self.refuse_existing(name, version)
         path = f"{self.base}/{name}/{version}"
         model.write().save(path)
-        row = (name, version, path, dt.datetime.now(), json.dumps(params or {}), train_rows)
+        row = (name, version, path, _now(), json.dumps(params or {}), train_rows)
         self.spark.createDataFrame([row], ENTRY_SCHEMA).write.mode("append").parquet(self.entries_path)
         return ModelRef(self, name, version)
 
+    def refuse_existing(self, name: str, version: str) -> None:
+        if self._entry(name, version) is not None:
+            raise ValueError(f"model {name} version {version} already registered")
+
+    def deploy(self, deployment: str, name: str, version: str) -> None:
+        """Make a registered version answer under ``deployment``; deploying another version
+        under the same name replaces it."""
+        self.get(name, version)
+        row = (deployment, name, version, _now())
+        self.spark.createDataFrame([row], DEPLOYMENT_SCHEMA).write.mode("append").parquet(self.deployments_path)
+
+    def deployed(self, deployment: str) -> "ModelRef":
+        rows = self.spark.read.schema(DEPLOYMENT_SCHEMA).parquet(self.deployments_path)
+        last = rows.filter(F.col("deployment") == deployment).orderBy(F.desc("deployed_at")).first()
+        if last is None:
+            raise KeyError(f"nothing is deployed as {deployment}")
+        return ModelRef(self, last["name"], last["version"])
+
+    def predict(self, deployment: str, df: DataFrame) -> DataFrame:
+        """Batch scoring with the version deployed under this name."""
+        return self.deployed(deployment).predict(df)
+
     def get(self, name: str, version: str) -> "ModelRef":
         if self._entry(name, version) is None:
             raise KeyError(f"model {name} version {version} not registered")
@@ -109,8 +139,7 @@ class ModelRef:
         """Batch scoring with the registered model (deploy + predict, as a Spark job)."""
         from txengine.plans.models import _finish
 
-        out = self.load().transform(df)
-        suffix = next(
-            (c.split("_", 1)[1] for c in out.columns if c.startswith("prediction_")), None
-        )
-        return _finish(out, suffix) if suffix else out
+        model = self.load()
+        # the pipeline's own column: ``df`` may carry predictions of other models
+        suffix = model.stages[-1].getPredictionCol().split("_", 1)[1]
+        return _finish(model.transform(df), suffix)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -43,7 +45,7 @@ def build_session(
     if master and master.startswith("local"):
         settings.setdefault("spark.driver.memory", "16g")
         # local runs keep catalog tables out of the working directory
-        settings.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="txengine-wh-"))
+        settings.setdefault("spark.sql.warehouse.dir", _own_folder("txengine-wh-"))
     if event_log_dir:
         # stage and task times without the UI: read them back with tests/stage_times.py
         settings["spark.eventLog.enabled"] = "true"
@@ -57,6 +59,13 @@ def build_session(
     return spark
 
 
+def _own_folder(prefix: str) -> str:
+    """A fresh folder of a local run, removed when the process ends."""
+    path = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables, models and CSV stages.
 
@@ -68,7 +77,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="txengine-")
+        path = _own_folder("txengine-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path

@@ -14,9 +14,15 @@ def create_namespace(spark: SparkSession, database: str) -> None:
 
 
 def create_transaction_table(spark: SparkSession, table: str) -> None:
-    """Empty managed table with the declared 9-column schema."""
-    if not spark.catalog.tableExists(table):
-        spark.createDataFrame([], TX_SCHEMA).write.saveAsTable(table)
+    """Create or replace: an empty managed table with the declared 9-column schema, and no
+    memory of files loaded into it before."""
+    spark.createDataFrame([], TX_SCHEMA).write.mode("overwrite").saveAsTable(table)
+    spark.sql(f"DROP TABLE IF EXISTS {loads_table(table)}")
+
+
+def loads_table(table: str) -> str:
+    """Name of the table that lists the files appended to ``table``."""
+    return f"{table}_loads"
 
 
 def dimension(tx: DataFrame, key: str) -> DataFrame:

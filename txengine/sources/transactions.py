@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txengine.functions.columns import day_number
+from txengine.sources.catalog import loads_table
 from txengine.sources.schema import TX_COLUMNS, TX_SCHEMA
 
 # CSV layout of the reference's load: comma separated, no header, gzip (fixed values).
@@ -100,27 +100,35 @@ def write_transactions_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def read_transactions_csv(
-    spark: SparkSession, path: str, num_partitions: int | None = None
-) -> DataFrame:
+def read_transactions_csv(spark: SparkSession, path: str | list[str], spread: bool = True) -> DataFrame:
     """Typed CSV read: explicit schema, FAILFAST (a bad row aborts the load, as the
-    reference's COPY does). A gzip file is one split, so wide loads should pass
-    ``num_partitions`` to spread the rows before heavy work."""
+    reference's COPY does). A gzip file is one split, parsed by one task; ``spread`` deals its
+    rows out right after, in tasks of a size that Spark chooses."""
     df = (
         spark.read.schema(TX_SCHEMA)
         .options(**CSV_OPTIONS)
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    if num_partitions:
-        df = df.repartition(num_partitions)
-    return df
-
-
-def copy_into(spark: SparkSession, path: str, table: str, num_partitions: int | None = None) -> None:
-    """COPY INTO: append the rows of a staged CSV file set to a managed table."""
-    read_transactions_csv(spark, path, num_partitions).write.mode("append").saveAsTable(table)
-
-
-def with_day_number(df: DataFrame, ts: str = "tx_datetime") -> DataFrame:
-    return df.withColumn("day_no", day_number(ts))
+    return df.hint("rebalance") if spread else df
+
+
+def copy_into(spark: SparkSession, path: str, table: str, append: bool = False, spread: bool = True) -> None:
+    """Load a staged CSV file set into a managed table. By default the table then holds these
+    files' rows and nothing else, so that a repeated load changes nothing; ``append`` adds the
+    files that have not been appended before."""
+    if not append:
+        read_transactions_csv(spark, path, spread).write.mode("overwrite").saveAsTable(table)
+        spark.sql(f"DROP TABLE IF EXISTS {loads_table(table)}")
+    log = loads_table(table)
+    files = read_transactions_csv(spark, path, spread=False).inputFiles()
+    named = spark.createDataFrame([(f,) for f in files], "file string")
+    if append:
+        if spark.catalog.tableExists(log):
+            named = named.join(spark.table(log), "file", "left_anti")
+        files = [r.file for r in named.collect()]  # file names of one stage folder
+        if not files:
+            return
+        read_transactions_csv(spark, files, spread).write.mode("append").saveAsTable(table)
+        named = spark.createDataFrame([(f,) for f in files], "file string")
+    named.write.mode("append").saveAsTable(log)
