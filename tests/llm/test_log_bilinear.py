@@ -1,5 +1,6 @@
 import math
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -32,7 +33,7 @@ def test_counts_and_base_by_definition(spark):
 
 def test_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(t,) for t in TEXTS * 5], "text string")
-    lex = lexicon(written(word_counts(docs, SMALL), "t"), SMALL)
+    lex = lexicon(written(word_counts(docs, SMALL), "t"), replace(SMALL, dictionary=1000))
     model = Model(lex).load(train(docs, lex))
     symbols = np.arange(SMALL.symbols)
     for context in ([0, 0, 0], [1, 2, 0], [5, 3, 1]):

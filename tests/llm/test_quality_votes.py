@@ -44,8 +44,10 @@ def test_votes_find_the_junk_without_labels(spark):
 
 
 def test_stage_carries_columns_and_rows(spark):
-    rows = [(1, PROSE * 3, "a"), (1, PROSE * 3, "a"), (None, PROSE * 3, None), (2, None, "b")]
+    text = PROSE + PROSE.upper() + PROSE.title()  # windows are compared as they are written
+    rows = [(1, text, "a"), (1, text, "a"), (None, text, None), (2, None, "b")]
     df = spark.createDataFrame(rows, "doc_id long, text string, q string")
     kept = keep_good(df)
-    assert kept.schema == df.schema and kept.count() == 3
+    assert kept.dtypes == df.dtypes
+    assert sorted((str(r.doc_id), r.q) for r in kept.collect()) == [("1", "a"), ("1", "a"), ("None", None)]
     assert keep_good(df.limit(0)).count() == 0 and judge(df.limit(0)).count() == 0

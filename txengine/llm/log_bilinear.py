@@ -62,7 +62,7 @@ class BilinearOptions:
     first: int = 8
     dictionary: int = 300_000
     held: int = 300_000
-    chunk: int = 32_768
+    chunk: int = 16_384
     seed: int = 7
 
     @property
@@ -128,7 +128,7 @@ class Lexicon:
 
     def symbols(self, places: np.ndarray) -> np.ndarray:
         first = self.opts.symbols - self.opts.groups
-        return np.where(places >= 0, self.symbol[places], first - 1 - places)
+        return np.where(places >= 0, self.symbol[np.maximum(places, 0)], first - 1 - places)
 
 
 def lexicon(counts: DataFrame, opts: BilinearOptions) -> Lexicon:
