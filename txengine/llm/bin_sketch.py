@@ -280,8 +280,8 @@ def compare(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame
 
 
 def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: SketchOptions) -> DataFrame:
-    """(key, near, id, far, d, e, rest): the prefix of each member's difference from its
-    leader, and how many differences ``rest`` behind it.
+    """(key, near, id, far, d, e, rest, at): the prefix of each member's difference from its
+    leader, how many differences ``rest`` behind it, and the place of each in the order.
 
     With similarity num/den, A and B are linked iff q |A ^ B| <= p (|A| + |B|), p = den - num,
     q = den + num. ``d`` = |D(x)|, ``e`` = q d - p |x|, so x is linked with the leader iff
@@ -292,12 +292,12 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: S
     shift = U(64 - (opts.counters.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list] = [[] for _ in range(7)]
+        cols: list[list] = [[] for _ in range(8)]
 
         def batch() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), *[pa.int64()] * 4)
             out = pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "near", "id", "far", "d", "e", "rest"]
+                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "near", "id", "far", "d", "e", "rest", "at"]
             )
             for c in cols:
                 c.clear()
@@ -319,14 +319,14 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: S
                     continue
                 salt = mixed(np.array([(leader * 2 + near) & 0xFFFFFFFFFFFFFFFF], dtype=U))
                 keys = mixed(diff[: d - shared + 1] ^ salt).astype(np.int64).tolist()
-                for c, v in zip(cols, (keys, *([x] * len(keys) for x in (near, i, far, d, e, d - len(keys))))):
+                for c, v in zip(cols, (keys, *([x] * len(keys) for x in (near, i, far, d, e, d - len(keys))), range(len(keys)))):
                     c.extend(v)
             if len(cols[0]) > 200_000:
                 yield batch()
         yield batch()
 
     return _dealt_beside(pairs, sets, opts).mapInArrow(
-        run, "key long, near boolean, id long, far boolean, d long, e long, rest long"
+        run, "key long, near boolean, id long, far boolean, d long, e long, rest long, at long"
     )
 
 
@@ -385,9 +385,11 @@ def _small_pairs(groups: DataFrame, opts: SketchOptions) -> DataFrame:
     """(leader, id) of the pairs in small difference groups that the counts allow to link."""
     few, q = groups.where("few"), opts.den + opts.num
     x, y = few.where("far").alias("x"), few.alias("y")
+    # two that meet in this key share at most what stands before it in both, it, and what stands
+    # behind it in both
     may = (
         "x.comp <> y.comp and ((x.near and not y.far) or (not x.near and y.far and x.id < y.id))"
-        f" and {2 * q} * least(x.d, y.d) >= x.e + y.e"
+        f" and {2 * q} * (least(x.at, y.at) + least(x.d - x.at, y.d - y.at)) >= x.e + y.e"
     )
     # what a pair shares: at most the prefix keys it meets in and what is behind both prefixes
     pairs = x.join(y, "key").where(may).groupBy(F.col("x.id").alias("leader"), F.col("y.id").alias("id")).agg(
@@ -461,13 +463,15 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
             beside.where("apart").select("leader", "id")
         )
         todo = written(todo.distinct(), "open_pairs")
-        if todo.isEmpty():
+        if not todo.isEmpty():
+            checked = written(compare(todo, sets, opts), "compared")
+            links = written(links.unionAll(_links(checked)), "found")
+            known = comps.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+            comps = written(components(known.unionAll(_links(checked))), "components")
+        large = inner.where("not few")
+        if large.isEmpty():
             break
-        checked = written(compare(todo, sets, opts), "compared")
-        links = written(links.unionAll(_links(checked)), "found")
-        known = comps.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-        comps = written(components(known.unionAll(_links(checked))), "components")
-        groups = inner.where("not few").select(F.col("key").alias("group"), "id", F.lit(-1).cast("long").alias("mask"), "leader")
+        groups = large.select(F.col("key").alias("group"), "id", F.lit(-1).cast("long").alias("mask"), "leader")
     by_set = _in_components(reps.select("id", "fp"), comps).select("fp", "comp")
     out = named.select("doc_id", "n_shingles", "fp").join(by_set, "fp", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
