@@ -97,7 +97,7 @@ def numeric_describe(tx: DataFrame, columns: list[str] | None = None) -> DataFra
         aggs += [
             F.count(c).alias(f"{c}__n"),
             F.try_divide(whole, F.count(c)).alias(f"{c}__mean"),
-            F.format_string("%.9e", F.stddev_samp(c)).cast("double").alias(f"{c}__sd"),
+            F.format_string("%.9e", F.stddev_samp(c)).try_cast("double").alias(f"{c}__sd"),
             F.min(c).cast("double").alias(f"{c}__min"),
             F.max(c).cast("double").alias(f"{c}__max"),
         ]
