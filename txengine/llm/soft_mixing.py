@@ -35,14 +35,15 @@ from txengine.llm.hashed_ftrl import FtrlOptions, LinearModel, bounded_sample, f
 class MixOptions:
     """``weights``: domain -> share of all tokens; ``total``: tokens wanted, None: as many as
     there are; the fit ends when every domain is within ``tolerance`` of its target, when a
-    round changes nothing by more than ``still``, or after ``rounds``; ``learner``: options of
-    the classifier, whose ``sample_rows`` bounds the labelled rows it learns from."""
+    round changes nothing by more than ``still``, or after ``rounds``; ``momentum``: share of
+    the last step that a step repeats; ``learner``: options of the classifier, whose ``sample_rows`` bounds the labelled rows it learns from."""
 
     weights: dict[str, float] = field(default_factory=lambda: {"clean": 0.9, "low": 0.06, "toxic": 0.04})
     total: float | None = None
     tolerance: float = 1e-3
     still: float = 1e-7
-    rounds: int = 60
+    rounds: int = 100
+    momentum: float = 0.9
     learner: FtrlOptions = FtrlOptions(tokens=r"[^\W_]+|[^\w\s]+", grams=False, bits=18)
 
 
@@ -116,12 +117,12 @@ def fit_steps(rows: DataFrame, opts: MixOptions) -> list[np.ndarray]:
     have = _totals(rows, k, [])
     target = share / share.sum() * (have.sum() if opts.total is None else opts.total)
     steps: list[np.ndarray] = []
-    now, fills = have, have > 0
+    now, fills, step = have, have > 0, np.zeros(k)
     for _ in range(opts.rounds):
         off = np.where(fills, now - target, 0.0)
         if not (np.abs(off) > opts.tolerance * np.maximum(target, 1e-9)).any():
             break
-        step = np.divide(off, have, out=np.zeros(k), where=fills)
+        step = np.divide(off, have, out=np.zeros(k), where=fills) + opts.momentum * step
         steps.append(step)
         before, now = now, _totals(rows, k, steps)
         if np.abs(now - before).max() <= opts.still * max(have.sum(), 1.0):
