@@ -60,6 +60,34 @@ def test_components_equal_brute_force(spark, opts):
         assert got[i].kept == (want[1] == i)
 
 
+def test_bridges_behind_one_prefix(spark):
+    """One key holds 26 sets around a hub of 100 words. The bridges share words that are common
+    where their own words are rare: they stand in one member's prefix and behind the other's."""
+    opts = SketchOptions(shingle=1, bins=2, band=2)
+    sk = Sketcher(opts)
+    hub = [f"h{i}" for i in range(100)]
+    key = sk.keys(sk.shingles(" ".join(hub)))[0]
+    # a word that leaves the hub's key as it is leaves it so in any union
+    fit = (w for w in (f"w{i}" for i in range(100_000)) if sk.keys(sk.shingles(" ".join([*hub, w])))[0] == key)
+
+    def new(n):
+        return [next(fit) for _ in range(n)]
+
+    near_far, far_far = new(12), new(19)
+    sets = [hub, *(hub + new(1) for _ in range(20))]
+    sets += [hub + near_far + new(13), hub + near_far + new(14)]  # linked with the hub, just not
+    sets += [hub + far_far + new(7), hub + far_far + new(21)]  # neither is linked with the hub
+    sets += [hub + new(60)]
+    texts = [" ".join(s) for s in sets]
+    assert {sk.keys(sk.shingles(t))[0] for t in texts} == {key}
+    ids = list(range(1, len(texts) + 1))
+    want = _brute(ids, texts, 1)
+    assert [want[i][1] for i in ids[21:]] == [1, 1, 24, 24, 26]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in link_components(df, opts).collect()}
+    assert got == want
+
+
 def test_defined_results(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (2, "A b c d"), (None, "a b c d"), (3, None), (3, ""), (4, "x " * 200_000), (5, "x x")]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -280,8 +280,9 @@ def compare(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame
 
 
 def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: SketchOptions) -> DataFrame:
-    """(key, near, id, far, d, e, rest, at): the prefix of each member's difference from its
-    leader, how many differences ``rest`` behind it, and the place of each in the order.
+    """(key, near, id, far, d, e, rest, last, at): the prefix of each member's difference from
+    its leader, how many differences ``rest`` behind it, where ``last`` it ends in the order
+    that all members share, and the place of each in the member's own order.
 
     With similarity num/den, A and B are linked iff q |A ^ B| <= p (|A| + |B|), p = den - num,
     q = den + num. ``d`` = |D(x)|, ``e`` = q d - p |x|, so x is linked with the leader iff
@@ -292,12 +293,12 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: S
     shift = U(64 - (opts.counters.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list] = [[] for _ in range(8)]
+        cols: list[list] = [[] for _ in range(9)]
 
         def batch() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), *[pa.int64()] * 4)
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), *[pa.int64()] * 5)
             out = pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "near", "id", "far", "d", "e", "rest", "at"]
+                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "near", "id", "far", "d", "e", "rest", "last", "at"]
             )
             for c in cols:
                 c.clear()
@@ -319,14 +320,16 @@ def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: S
                     continue
                 salt = mixed(np.array([(leader * 2 + near) & 0xFFFFFFFFFFFFFFFF], dtype=U))
                 keys = mixed(diff[: d - shared + 1] ^ salt).astype(np.int64).tolist()
-                for c, v in zip(cols, (keys, *([x] * len(keys) for x in (near, i, far, d, e, d - len(keys))), range(len(keys)))):
+                end = diff[len(keys) - 1]
+                last = (int(rare[int(end >> shift)]) << 32) | int(end >> U(32))
+                for c, v in zip(cols, (keys, *([x] * len(keys) for x in (near, i, far, d, e, d - len(keys), last)), range(len(keys)))):
                     c.extend(v)
             if len(cols[0]) > 200_000:
                 yield batch()
         yield batch()
 
     return _dealt_beside(pairs, sets, opts).mapInArrow(
-        run, "key long, near boolean, id long, far boolean, d long, e long, rest long, at long"
+        run, "key long, near boolean, id long, far boolean, d long, e long, rest long, last long, at long"
     )
 
 
@@ -391,10 +394,12 @@ def _small_pairs(groups: DataFrame, opts: SketchOptions) -> DataFrame:
         "x.comp <> y.comp and ((x.near and not y.far) or (not x.near and y.far and x.id < y.id))"
         f" and {2 * q} * (least(x.at, y.at) + least(x.d - x.at, y.d - y.at)) >= x.e + y.e"
     )
-    # what a pair shares: at most the prefix keys it meets in and what is behind both prefixes
+    # what a pair shares: at most the prefix keys it meets in and what is behind the prefix that
+    # ends first (an element behind it may still stand in the other prefix)
+    rest = F.expr("CASE WHEN x.last < y.last THEN x.rest WHEN y.last < x.last THEN y.rest ELSE greatest(x.rest, y.rest) END")
     pairs = x.join(y, "key").where(may).groupBy(F.col("x.id").alias("leader"), F.col("y.id").alias("id")).agg(
         F.count(F.lit(1)).alias("met"),
-        F.max(F.least("x.rest", "y.rest")).alias("rest"),
+        F.max(rest).alias("rest"),
         F.min(F.col("x.e") + F.col("y.e")).alias("e"),
     )
     return pairs.where((F.col("met") + F.col("rest")) * (2 * q) >= F.col("e")).select("leader", "id")
