@@ -51,3 +51,13 @@ def test_stage_carries_columns_and_rows(spark):
     assert kept.dtypes == df.dtypes
     assert sorted((str(r.doc_id), r.q) for r in kept.collect()) == [("1", "a"), ("1", "a"), ("None", None)]
     assert keep_good(df.limit(0)).count() == 0 and judge(df.limit(0)).count() == 0
+
+
+def test_stage_keeps_clean_short_texts(spark):
+    """Under 50 words, or repeated, is no verdict of its own: the posterior decides."""
+    rows = [(i, f"{PROSE} on {i} we go to {i * 7} by bus.") for i in range(60)]
+    rows += [(100 + i, " ".join(f"w{i}x{j}yyyy%%% z{j}qqqq###" for j in range(40))) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = judge(df).collect()
+    assert all(r.base_failed and r.n_words < 50 for r in out if r.doc_id < 100)
+    assert {r.doc_id for r in keep_good(df).collect()} == set(range(60)) == {r.doc_id for r in out if r.kept}

@@ -229,12 +229,12 @@ def _judged(docs: DataFrame, at: str, opts: VoteOptions) -> tuple[DataFrame, Col
         "vote_patterns",
     )
     post = estimate(patterns, opts).posterior(f"`{at}`.")
-    kept = ~F.expr(_in_struct(BASE_FAILED, at)) & (post >= opts.threshold)
-    return rows, post, kept
+    return rows, post, post >= opts.threshold
 
 
 def judge(docs: DataFrame, opts: VoteOptions = VoteOptions()) -> DataFrame:
-    """One row per document: doc_id, the counts, base_failed, p_good and kept."""
+    """One row per document: doc_id, the counts, base_failed, p_good and kept, which the
+    posterior alone decides."""
     rows, post, kept = _judged(docs.select("doc_id", "text"), "q", opts)
     return rows.select(
         "doc_id", *(F.col("q")[n].alias(n) for n in COUNTS),
@@ -243,7 +243,7 @@ def judge(docs: DataFrame, opts: VoteOptions = VoteOptions()) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, opts: VoteOptions = VoteOptions()) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns."""
+    """The rows of ``docs`` that the posterior keeps, with their own columns."""
     at = "q"
     while at.lower() in [c.lower() for c in docs.columns]:
         at += "_"
@@ -254,7 +254,8 @@ def keep_good(docs: DataFrame, opts: VoteOptions = VoteOptions()) -> DataFrame:
 def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judge(docs).select(*base, "base_failed", "kept")
+    kept = ~F.col("base_failed") & F.col("kept")
+    return judge(docs).select(*base, "base_failed", kept.alias("kept"))
 
 
 def _em_sql(opts: VoteOptions) -> tuple[str, str, str]:
