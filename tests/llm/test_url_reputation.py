@@ -39,3 +39,18 @@ def test_shrinkage_and_bound(spark):
 
 def test_empty(spark):
     assert judge_urls(_pages(spark, []), spark.createDataFrame([], "url string, bad int")).count() == 0
+
+
+def test_hosts_without_outcomes(spark):
+    """They take the posterior of their domain, else of their suffix, else the overall rate."""
+    rows = [(f"http://h{i}.spam.com/", 1) for i in range(10) for _ in range(20)]
+    rows += [(f"http://www.d{i}.zip/", 1) for i in range(10) for _ in range(20)]
+    rows += [(f"http://h{i}.good.com/", 0) for i in range(20) for _ in range(20)]
+    rows += [(f"http://h{i}.good.org/", 0) for i in range(20) for _ in range(20)]
+    out = spark.createDataFrame(rows, "url string, bad int")
+    pages = _pages(spark, ["http://new.spam.com/1", "http://new.zip/2", "http://new.good.com/3", "http://a.new/4", None])
+    got = judge_urls(pages, out, rules=()).orderBy("page_id").collect()
+    assert [r.verdict for r in got] == ["block", "block", "allow", "allow", "allow"]
+    overall = sum(b for _, b in rows) / len(rows)
+    assert all(abs(r.bad_rate - overall) < 1e-9 and r.bad_low < overall for r in got[3:])
+    assert all(r.bad_low > 0.5 for r in got[:2])

@@ -4,7 +4,9 @@ Every labelled page is a trial of its host: *bad* or not. Bad rates are shrunk d
 name tree. A suffix starts from the overall rate, a registered domain from its suffix, a
 host from its domain; the weight of each step (the beta prior's pseudo-count) is fitted from
 how much the children of that level really differ (method of moments on beta-binomial
-counts). A host is blocked when even the lower bound of its posterior bad rate lies above the
+counts). A host without labelled pages has no trials of its own: it takes the posterior of its
+domain, else of its suffix, else the overall rate, with the weight fitted for the step below
+that level. A host is blocked when even the lower bound of its posterior bad rate lies above the
 tolerated rate. Hand-written rules (host plus path prefix) are consulted first.
 
 Only counts per host meet; the pages themselves are never shuffled unless the host table is
@@ -124,11 +126,20 @@ def _shrunk(level: DataFrame, prior: Column, opts: ReputationOptions, out: str)
     return fitted.withColumn(out, (F.col("k") + s * prior) / (F.col("n") + s))
 
 
+def _named(hosts: DataFrame, opts: ReputationOptions) -> DataFrame:
+    return hosts.withColumn("suffix", suffix_of(F.col("host"), opts)).withColumn(
+        "domain", domain_of(F.col("host"), F.col("suffix"))
+    )
+
+
 def reputations(
-    outcomes: DataFrame, opts: ReputationOptions = ReputationOptions()
+    outcomes: DataFrame,
+    opts: ReputationOptions = ReputationOptions(),
+    hosts: DataFrame | None = None,
 ) -> DataFrame:
-    """(host, n, k, bad_rate, bad_low, overall): the posterior of every host with a labelled
-    page. ``outcomes`` holds (url, bad 0/1)."""
+    """(host, n, k, bad_rate, bad_low, overall): the posterior of every host of ``hosts``
+    (distinct), without them of every host with a labelled page. ``outcomes`` holds
+    (url, bad 0/1)."""
     host = host_of(F.col("url"))
     counts = (
         outcomes.where(F.col("bad").isNotNull())
@@ -139,22 +150,39 @@ def reputations(
         )
     )
     # one row per host: every level below reads this small table, not the pages again
-    per_host = (
-        written(counts, "host_counts")
-        .withColumn("suffix", suffix_of(F.col("host"), opts))
-        .withColumn("domain", domain_of(F.col("host"), F.col("suffix")))
-    )
+    per_host = _named(written(counts, "host_counts"), opts)
     per_domain = per_host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     per_suffix = per_domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     total = per_suffix.agg((F.sum("k") / F.sum("n")).alias("overall"))
 
     suffix = _shrunk(
         per_suffix.withColumn("overall", total.scalar()), F.col("overall"), opts, "suffix_rate"
-    ).select("suffix", "suffix_rate", "overall")
+    ).select("suffix", "suffix_rate", "overall", F.col("strength").alias("suffix_strength"))
     domain = _shrunk(
         per_domain.join(suffix, "suffix"), F.col("suffix_rate"), opts, "domain_rate"
-    ).select("domain", "domain_rate", "overall")
-    hosts = _shrunk(per_host.join(domain, "domain"), F.col("domain_rate"), opts, "bad_rate")
+    ).select("domain", "domain_rate", F.col("strength").alias("domain_strength"))
+    strength = _strength(per_host.join(domain, "domain"), F.col("domain_rate"), opts).scalar()
+    # one row: the strengths of all levels, for hosts whose own levels have no labelled page
+    fitted = (
+        suffix.agg(F.first("suffix_strength")).scalar(),
+        domain.agg(F.first("domain_strength")).scalar(),
+    )
+    asked = per_host.select("host", "domain", "suffix") if hosts is None else _named(hosts, opts)
+    level = (
+        asked.join(per_host.select("host", "n", "k"), "host", "left")
+        .join(domain.select("domain", "domain_rate"), "domain", "left")
+        .join(suffix.select("suffix", "suffix_rate"), "suffix", "left")
+        .withColumns({
+            "overall": total.scalar(), "n": F.coalesce("n", F.lit(0.0)), "k": F.coalesce("k", F.lit(0.0)),
+            "of_suffix": fitted[0], "of_domain": fitted[1], "of_host": strength,
+        })
+    )
+    prior = F.coalesce("domain_rate", "suffix_rate", "overall")
+    s = F.when(F.col("domain_rate").isNotNull(), F.col("of_host"))
+    s = s.when(F.col("suffix_rate").isNotNull(), F.col("of_domain")).otherwise(F.col("of_suffix"))
+    hosts = level.withColumn("strength", s).withColumn(
+        "bad_rate", (F.col("k") + F.col("strength") * prior) / (F.col("n") + F.col("strength"))
+    )
     weight = F.col("n") + F.col("strength")
     sd = F.sqrt(F.col("bad_rate") * (1 - F.col("bad_rate")) / (weight + 1))
     return hosts.select(
@@ -175,7 +203,7 @@ def judge_urls(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     )
     tolerated = F.col("overall") if opts.tolerated is None else F.lit(opts.tolerated)
-    known = reputations(outcomes, opts).select(
+    known = reputations(outcomes, opts, parts.select("host").distinct()).select(
         "host", "bad_rate", "bad_low", (F.col("bad_low") > tolerated).alias("worse")
     )
     rule, verdict = match_rule(F.col("host"), F.col("path"), rules)
