@@ -9,6 +9,7 @@ from txengine.llm.language_ranks import op2_language_ranks
 from txengine.llm.license_sentences import OP9_SQL, op9_license_sentences
 from txengine.llm.log_bilinear import op4_log_bilinear
 from txengine.llm.quality_votes import OP6_SQL, op6_quality_votes
+from txengine.llm.shared_cuts import op11_shared_cuts
 from txengine.llm.soft_mixing import op3_soft_mixing
 from txengine.llm.url_reputation import OP1_SQL, op1_url_reputation
 from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_edit_pieces": op8_edit_pieces,
     "op9_license_sentences": op9_license_sentences,
     "op10_zip_warc": op10_zip_warc,
+    "op11_shared_cuts": op11_shared_cuts,
 }
 
 SQL = {
