@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from txengine.llm.bin_sketch import op5_bin_sketch
 from txengine.llm.edit_pieces import op8_edit_pieces
+from txengine.llm.euler_tour import OP13_SQL, op13_euler_tour
 from txengine.llm.hashed_ftrl import op7_hashed_ftrl
 from txengine.llm.language_ranks import op2_language_ranks
 from txengine.llm.license_sentences import OP9_SQL, op9_license_sentences
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_license_sentences": op9_license_sentences,
     "op10_zip_warc": op10_zip_warc,
     "op11_shared_cuts": op11_shared_cuts,
+    "op13_euler_tour": op13_euler_tour,
 }
 
 SQL = {
@@ -33,4 +35,5 @@ SQL = {
     "op6_quality_votes": OP6_SQL,
     "op9_license_sentences": OP9_SQL,
     "op10_zip_warc": OP10_SQL,
+    "op13_euler_tour": OP13_SQL,
 }
