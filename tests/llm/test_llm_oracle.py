@@ -7,7 +7,7 @@ from conftest import SF0001
 from oracle_compare import digest, duck
 
 
-@pytest.mark.parametrize("key", ["op1_url_reputation", "op6_quality_votes", "op9_license_sentences", "op10_zip_warc", "op13_euler_tour"])
+@pytest.mark.parametrize("key", ["op1_url_reputation", "op6_quality_votes", "op9_license_sentences", "op10_zip_warc", "op12_super_kmers", "op13_euler_tour"])
 def test_matches_sql(spark, key):
     df, rel = entry.queries()[key](spark, SF0001), duck(SF0001).sql(entry.oracle_sql()[key])
     assert sorted(df.columns) == sorted(rel.columns)

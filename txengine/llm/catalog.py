@@ -12,6 +12,7 @@ from txengine.llm.log_bilinear import op4_log_bilinear
 from txengine.llm.quality_votes import OP6_SQL, op6_quality_votes
 from txengine.llm.shared_cuts import op11_shared_cuts
 from txengine.llm.soft_mixing import op3_soft_mixing
+from txengine.llm.super_kmers import OP12_SQL, op12_super_kmers
 from txengine.llm.url_reputation import OP1_SQL, op1_url_reputation
 from txengine.llm.zip_warc import OP10_SQL, op10_zip_warc
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_license_sentences": op9_license_sentences,
     "op10_zip_warc": op10_zip_warc,
     "op11_shared_cuts": op11_shared_cuts,
+    "op12_super_kmers": op12_super_kmers,
     "op13_euler_tour": op13_euler_tour,
 }
 
@@ -35,5 +37,6 @@ SQL = {
     "op6_quality_votes": OP6_SQL,
     "op9_license_sentences": OP9_SQL,
     "op10_zip_warc": OP10_SQL,
+    "op12_super_kmers": OP12_SQL,
     "op13_euler_tour": OP13_SQL,
 }
