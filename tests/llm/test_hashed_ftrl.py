@@ -1,4 +1,6 @@
+import math
 import random
+import zlib
 
 import numpy as np
 
@@ -36,6 +38,46 @@ def test_one_step_by_definition():
     assert np.isclose(m._weights(np.array([16]))[0], 0.5 / (1.5 / 0.5 + 0.2))  # no L1 on the intercept
 
 
+def test_end_to_end_by_definition(spark):
+    """Learning and scoring written out with dictionaries, update by update."""
+    docs, labels = _data(spark)
+    o = FtrlOptions(l1=0.5, epochs=2, bits=16)
+    h, z, n = Hasher(o), {}, {}
+    text = {r.doc_id: r.text for r in docs.collect()}
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    order = sorted((zlib.crc32(str(i).encode()), i) for i in text if zlib.crc32(str(i).encode()) % 5)
+
+    def weight(f):
+        l1 = 0 if f == "base" else o.l1
+        if abs(z.get(f, 0)) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[f]) - z[f]) / ((o.beta + math.sqrt(n[f])) / o.alpha + o.l2)
+
+    for _ in range(o.epochs):
+        for _, i in order:
+            at = [*h.distinct(text[i]).tolist(), "base"]
+            w = {f: weight(f) for f in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - toxic[i]
+            for f in at:
+                before = n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / o.alpha * w[f]
+                n[f] = before + g * g
+    got = score(docs, fit_toxicity(docs, labels, o), "doc_id").collect()
+    for r in got:
+        at = [*h.distinct(text[r.doc_id]).tolist(), "base"]
+        assert math.isclose(r.score, 1 / (1 + math.exp(-sum(map(weight, at)))), rel_tol=1e-9)
+
+
+def test_nothing_learnt_drops_nothing(spark):
+    docs, labels = _data(spark)
+    for lab in (labels.limit(0), labels.where("toxic = 1"), labels.unionAll(labels.selectExpr("doc_id", "1 - toxic"))):
+        assert keep_clean(docs, fit_toxicity(docs, lab)).count() == docs.count()
+    # a contradicted label teaches nothing, an equal one nothing more
+    more = labels.unionAll(labels.where("doc_id < 100")).unionAll(labels.where("doc_id between 200 and 220").selectExpr("doc_id", "1 - toxic"))
+    model, want = fit_toxicity(docs, more), fit_toxicity(docs, labels.where("doc_id not between 200 and 220"))
+    assert model.intercepts == want.intercepts and model.at[0].tolist() == want.at[0].tolist()
+
+
 def test_features():
     h = Hasher(FtrlOptions())
     assert len(h.distinct("a b c")) == 6  # three words, two pairs, one skip

@@ -11,9 +11,11 @@ the texts, one task runs the sequential updates over the bounded sample. Scoring
 row and the whole of every text, row by row, without a shuffle.
 
 Defined results: NULL and empty texts have no feature and get the score of the intercept.
-Labels that are NULL teach nothing; with labels of one kind or none the score is the smoothed
-share of label 1, (k + 1) / (n + 2). Repeated rows count each. Extra columns are ignored by
-:func:`score` and carried by :func:`keep_clean`.
+Labels that are NULL teach nothing, nor does a doc_id whose labels contradict each other; equal
+labels of a doc_id are one. A labelled doc_id that several rows have teaches with each of them.
+With labels of one kind or none the score is the smoothed share of label 1, (k + 1) / (n + 2),
+and :func:`keep_clean`, which then can tell no document from another, keeps every row. Extra
+columns are ignored by :func:`score` and carried by :func:`keep_clean`.
 """
 
 from __future__ import annotations
@@ -133,13 +135,15 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(order, y, text) of at most ``rows`` labelled documents; ``labels`` holds (doc_id, y)."""
     picked = (
         labels.where(F.col("y").isNotNull() & F.col("doc_id").isNotNull())
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("__other"))
+        .where(F.col("y") == F.col("__other"))
         .select("doc_id", "y", id_hash("doc_id").alias("order"))
         .orderBy("order", "doc_id")
         .limit(rows)
     )
-    # a doc_id that occurs more than once brings all its rows, up to the same bound
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").limit(2 * rows)
+    # a doc_id that occurs more than once brings all its rows, up to twice the bound
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return found.orderBy("order", "doc_id", F.xxhash64("text")).limit(2 * rows)
 
 
 def fit(sample: DataFrame, classes: int, opts: FtrlOptions) -> LinearModel:
@@ -226,7 +230,10 @@ def score(docs: DataFrame, model: LinearModel, *carried: Column | str) -> DataFr
 
 
 def keep_clean(docs: DataFrame, model: LinearModel) -> DataFrame:
-    """The rows of ``docs`` that score under the threshold, with all their columns."""
+    """The rows of ``docs`` that score under the threshold, with all their columns; all rows if the
+    model has no weight but its intercept."""
+    if not len(model.at[0]):
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds, limit = log_odds(model), model.opts.threshold
