@@ -94,8 +94,9 @@ def test_equals_brute_force(spark, head):
 def test_remembered_words_equal_whole_texts(spark):
     enc, both = Encoders(AlignOptions(held=50)), _spelled()
     assert enc.by_word
-    for text in ODD + [r.text for r in table(spark, SF0001, "documents").where("text is not null").collect()]:
-        got, want = enc.encode(text), both(text)
+    texts = ODD + [r.text for r in table(spark, SF0001, "documents").where("text is not null").collect()]
+    for text in texts:
+        got, want = enc.encode([text])[0], both(text)
         assert (got is None) == (want is None)
         if got:
             assert got[0].tolist() == want[0] and got[1].tolist() == want[2]

@@ -12,10 +12,9 @@ pairs with how often each is linked; corpus-wide counts are added up from them.
 frequent pairs (at most ``head``) are looked up in the tasks, all others meet their counts in
 a join; B's highest counts are one number per id of the vocabulary.
 
-**Speed.** A's pre-tokens and B's words (spaces and what follows them) are encoded by themselves
-and remembered: neither tokenizer joins across them. This holds where the characters of a text
-are ``PLAIN`` and no piece of B has a space behind another character; any other text is encoded
-as a whole.
+**Speed.** In a plain text (:func:`is_plain`) neither tokenizer joins anything across a blank, so words are
+encoded by themselves (A's from the entries of its own file) and remembered; any other text is
+encoded as a whole.
 
 Defined results: texts that are NULL or empty, or whose tokens do not spell space+text, have no
 tokens: zeros and an empty digest. Every row is answered by itself, also where doc_id repeats or
@@ -25,14 +24,16 @@ is NULL (all rows count in the corpus-wide counts). Further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import islice
+from itertools import chain, islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,10 +62,19 @@ class AlignOptions:
 
 
 # Characters whose classes no Unicode version disputes: ASCII and the Latin letters.
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7EÀ-ÖØ-öø-ſ]*")
-# How byte-level BPE cuts a text before merging, as its published pattern says.
-PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-WORD = regex.compile(r" +[^ ]*")
+PLAIN = frozenset("\t\n\r" + "".join(chr(c) for c in range(0x20, 0x180) if c < 0x7F or c >= 0xC0 and c not in (0xD7, 0xF7)))
+
+
+def is_plain(text: str) -> bool:
+    """Only such characters, no blank beside another one and none at an end: then A's and B's
+    words both begin at every blank."""
+    return PLAIN.issuperset(text) and not (
+        "  " in text or "\n " in text or "\t " in text or "\r " in text or text[-1] in " \t\n\r" or text[0] in " \t\n\r"
+    )
+
+
+# Fixed value: how byte-level BPE cuts a text before merging, as its published pattern says.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "▁"
 
 
@@ -76,32 +86,9 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
-class _Words(dict):
-    """Encoded ids of the words seen so far, as int32 bytes; ``bad`` are words whose tokens do
-    not spell them."""
-
-    def __init__(self, encode, spelled: list[bytes], held: int):
-        super().__init__()
-        self.encode, self.spelled, self.held, self.bad = encode, spelled, held, set()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if b"".join([self.spelled[i] for i in ids]) != word.encode():
-            self.bad.add(word)
-        got = self[word] = np.array(ids, dtype=np.int32).tobytes()
-        return got
-
-    def ids(self, words: list[str]) -> np.ndarray | None:
-        """None if they do not spell the text."""
-        if len(self) > self.held:
-            self.clear()
-            self.bad.clear()
-        out = b"".join(map(self.__getitem__, words))
-        return None if self.bad and not self.bad.isdisjoint(words) else np.frombuffer(out, dtype=np.int32)
-
-
 class Encoders:
-    """Both tokenizers with the bytes of every token."""
+    """Both tokenizers with the bytes of every token, and what the words seen lately encode to:
+    word -> ids of A and of B as int32 bytes, None if they do not spell the word."""
 
     def __init__(self, opts: AlignOptions):
         self.a = Tokenizer.from_file(opts.byte_bpe)
@@ -110,38 +97,70 @@ class Encoders:
         alphabet = byte_alphabet()
         of_a = self.a.get_vocab()
         self.a_bytes = [b""] * (max(of_a.values()) + 1)
+        ranks = {}
         for entry, i in of_a.items():
-            self.a_bytes[i] = bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode()
+            if all(c in alphabet for c in entry):
+                self.a_bytes[i] = bytes(alphabet[c] for c in entry)
+                ranks[self.a_bytes[i]] = i
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
-        # no piece goes from one word into the next
-        self.by_word = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.a_words = _Words(self._a_ids, self.a_bytes, opts.held)
-        self.b_words = _Words(self._b_word, self.b_bytes, opts.held)
-
-    def _a_ids(self, text: str) -> list[int]:
-        return self.a.encode(text, add_special_tokens=False).ids
-
-    def _b_word(self, word: str) -> list[int]:
-        # the tokenizer adds a word's first space; nothing but that space is a piece by itself
-        return self.b.encode(word[1:], num_threads=1) if len(word) > 1 else [self.b.piece_to_id(SPACE)]
+        # words may be encoded by themselves if A's ids are its merges in order and no piece of B
+        # goes from one word into the next
+        merges = json.loads(Path(opts.byte_bpe).read_text())["model"]["merges"]
+        merged = ("".join(m if isinstance(m, list) else m.split(" ")) for m in merges)
+        self.by_word = all(of_a.get(m) == 256 + i for i, m in enumerate(merged)) and not any(SPACE in p.lstrip(SPACE) for p in pieces)
+        self.a_word = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.held, self.lately, self.before = opts.held, {}, {}
+
+    def _learn(self, words: set[str]) -> None:
+        """``words`` come from the older half of the memory, or are encoded."""
+        if len(self.lately) > self.held // 2:
+            self.before, self.lately = self.lately, {}
+        words = words - self.lately.keys()
+        again = words & self.before.keys()
+        for w in again:
+            self.lately[w] = self.before[w]
+        new = list(words - again)
+        if not new:
+            return
+        spelled = [(" " + w).encode() for w in new]
+        want, parts = np.fromiter(map(len, spelled), np.int64, len(new)), []
+        good = np.ones(len(new), dtype=bool)
+        a, b = [self.a_word(" " + w) for w in new], self.b.encode(new, num_threads=1)
+        for ids, length, of in ((a, self.a_len, self.a_bytes), (b, self.b_len, self.b_bytes)):
+            stops = np.cumsum(np.fromiter(map(len, ids), np.int64, len(new)))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(stops[-1]))
+            sizes = np.diff(np.concatenate([[0], np.cumsum(length[flat])])[stops], prepend=0)
+            if (sizes != want).any() or b"".join([of[i] for i in flat.tolist()]) != b"".join(spelled):
+                good &= [b"".join([of[i] for i in x]) == y for x, y in zip(ids, spelled)]
+            held, at = flat.tobytes(), (stops * 4).tolist()
+            parts.append([held[s:e] for s, e in zip([0, *at], at)])
+        for w, ok, x, y in zip(new, good.tolist(), *parts):
+            self.lately[w] = (x, y) if ok else None
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of A and of B of each text; None if it has no tokens."""
+        words = [t.split(" ") if t and self.by_word and is_plain(t) else None for t in texts]
+        self._learn(set().union(*(w for w in words if w)))
+        return [self._whole(t) if w is None else self._joined(w) for t, w in zip(texts, words)]
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        coded = [self.lately[w] for w in words]
+        if None in coded:
+            return None
+        return tuple(np.frombuffer(b"".join([c[side] for c in coded]), dtype=np.int32) for side in (0, 1))
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A and of B; None if the text has no tokens."""
+    def _whole(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         if not text:
             return None
-        spaced = " " + text
-        if self.by_word and PLAIN.fullmatch(text):
-            a = self.a_words.ids(PRE_TOKEN.findall(spaced))
-            b = self.b_words.ids(WORD.findall(spaced)) if a is not None else None
-            return None if b is None else (a, b)
-        out, whole = [], spaced.encode("utf-8", "surrogatepass")
-        for ids, spelled in ((self._a_ids(spaced), self.a_bytes), (self.b.encode(text, num_threads=1), self.b_bytes)):
-            if b"".join([spelled[i] for i in ids]) != whole:
+        out, spaced = [], " " + text
+        a, b = self.a.encode(spaced, add_special_tokens=False).ids, self.b.encode(text, num_threads=1)
+        for ids, spelled in ((a, self.a_bytes), (b, self.b_bytes)):
+            if b"".join([spelled[i] for i in ids]) != spaced.encode("utf-8", "surrogatepass"):
                 return None
             out.append(np.array(ids, dtype=np.int32))
         return out[0], out[1]
@@ -165,10 +184,12 @@ def _nearest_common(lo: np.ndarray, hi: np.ndarray, a_ends: np.ndarray, b_ends:
         l, h, m = lo[left], hi[left] - 2, mid[left]
         below, i = _ranges(np.maximum(l, m - outer), m - max(inner, 0) - (inner >= 0))
         above, j = _ranges(m + max(inner, 0) + 1, np.minimum(h, m + outer))
-        at, owner = np.concatenate([below, above]), np.concatenate([i, j])
-        place = np.searchsorted(b_ends, a_ends[at])
-        hit = b_ends[place] == a_ends[at]
-        at, owner = at[hit], owner[hit]
+        kept = []
+        for at, owner in ((below, i), (above, j)):  # both ascending, which makes bisecting cheap
+            end = a_ends[at]
+            hit = b_ends[np.searchsorted(b_ends, end)] == end
+            kept.append((at[hit], owner[hit]))
+        at, owner = (np.concatenate(x) for x in zip(*kept))
         order = np.lexsort((at, np.abs(at - m[owner]), owner))
         at, owner = at[order], owner[order]
         first = np.flatnonzero(np.diff(owner, prepend=-1))
@@ -189,7 +210,7 @@ def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, last: np.ndarray) -> np.
         some = cut >= 0
         cut = cut[some]
         cuts.append(cut)
-        lo, hi = np.concatenate([lo[some], cut + 1]), np.concatenate([cut + 1, hi[some]])
+        lo, hi = (np.stack(x, axis=1).ravel() for x in ((lo[some], cut + 1), (cut + 1, hi[some])))
     return np.sort(np.concatenate(cuts))
 
 
@@ -207,7 +228,7 @@ class Aligner:
         """Of each text: n_a, n_b, n_groups, n_links, groups_sha256; ``pairs`` and ``times``
         with ``offsets`` of each text's part."""
         n = len(texts)
-        coded = [self.enc.encode(t) for t in texts]
+        coded = self.enc.encode(texts)
         full = [i for i, c in enumerate(coded) if c is not None and len(c[0])]
         out = {k: np.zeros(n, dtype=np.int64) for k in ("n_a", "n_b", "n_groups", "n_links")}
         out |= {"groups_sha256": [""] * n, "pairs": np.zeros(0, np.int32), "times": np.zeros(0, np.int32), "offsets": np.zeros(n + 1, np.int32)}
