@@ -1,7 +1,6 @@
 from txengine.functions.columns import (  # noqa: F401
     amount_total,
     day_number,
-    epoch_second,
     exact_part,
     night_flag,
     rest_part,

@@ -62,15 +62,3 @@ def round_half_away(x: str | Column) -> Column:
 def day_number(ts: str | Column) -> Column:
     """Days since 1970-01-01 of the calendar date of a timestamp (INT)."""
     return F.unix_date(F.to_date(_c(ts)))
-
-
-def epoch_second(ts: str | Column) -> Column:
-    """Whole seconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, read from its fields so
-    that no time zone is involved (BIGINT)."""
-    c = _c(ts)
-    return (
-        day_number(c).cast("bigint") * F.lit(86400)
-        + F.hour(c) * F.lit(3600)
-        + F.minute(c) * F.lit(60)
-        + F.second(c)
-    )

@@ -1,16 +1,12 @@
 """Running totals "so far today" per key, with RANGE semantics: rows with an equal timestamp
 are peers and see each other.
 
-No window ever sees raw rows, so no key has to fit in a task. Rows are first added up per
-(key, timestamp) -- peers share one value, which is what RANGE means. A running total is then
-the sum of two prefixes:
-
-  * ``before``: totals per (key, day, second), a prefix over the earlier seconds of the day;
-    at most 86,400 rows in a partition, however many transactions the key has;
-  * ``within``: a prefix over the distinct timestamps of one second; at most 1,000,000.
-
-The result goes back to the untouched rows by an equi-join on (key, timestamp), which Spark
-can split where a key is hot.
+No window ever sees raw rows. They are first added up per (key, timestamp), before the shuffle
+as far as tasks can -- peers share one value, which is what RANGE means. One window per key and
+day then runs over the distinct timestamps, as a stream of totals that can spill. The result
+goes back to the untouched rows by an equi-join on (key, timestamp), which Spark can split where
+a key is hot. The rows themselves are moved once, for that join, or not at all where the totals
+are small enough to be sent to them.
 """
 
 from __future__ import annotations
@@ -18,29 +14,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txengine.functions.columns import day_number, epoch_second
-
-SEC, DAY = "_sec", "_day"
-
+from txengine.functions.columns import day_number
 
-def _plus(a: str, b: str) -> Column:
-    """a + b where a NULL is nothing, and NULL only if both are: SUM over both parts."""
-    return F.coalesce(F.col(a) + F.col(b), F.col(a), F.col(b))
+DAY = "_day"
 
 
 def running_per_timestamp(per_ts: DataFrame, key: str, ts: str, sums: list[str]) -> DataFrame:
     """``per_ts`` (one row per key and timestamp, with partial sums) with ``run_<sum>`` for
     each: its total over the key's rows of the same day up to this timestamp."""
-    keyed = per_ts.withColumns({SEC: epoch_second(ts), DAY: day_number(ts)})
-    in_second = Window.partitionBy(key, SEC).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    within = keyed.withColumns({f"_w_{c}": F.sum(c).over(in_second) for c in sums})
-    per_second = keyed.groupBy(key, DAY, SEC).agg(*(F.sum(c).alias(c) for c in sums))
-    earlier = Window.partitionBy(key, DAY).orderBy(SEC).rowsBetween(Window.unboundedPreceding, -1)
-    before = per_second.select(key, SEC, *(F.sum(c).over(earlier).alias(f"_b_{c}") for c in sums))
-    out = within.join(before, [key, SEC])
-    return out.select(
-        *per_ts.columns, DAY, *(_plus(f"_b_{c}", f"_w_{c}").alias(f"run_{c}") for c in sums)
-    )
+    upto = Window.partitionBy(key, DAY).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    keyed = per_ts.withColumn(DAY, day_number(ts))
+    return keyed.select("*", *(F.sum(c).over(upto).alias(f"run_{c}") for c in sums))
 
 
 def running_today(rows: DataFrame, key: str, ts: str, sums: dict[str, Column]) -> DataFrame:
