@@ -52,6 +52,45 @@ def test_copy_into_table_and_dimensions(spark):
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def _staged(path: str, name: str, lines: list[str]) -> None:
+    import gzip
+    import os
+
+    local = path.replace("file:", "", 1)
+    os.makedirs(local, exist_ok=True)
+    with gzip.open(f"{local}/{name}", "wt") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_a_load_is_visible_whole_or_not_at_all(spark):
+    """A load that stops half-way has loaded nothing; run again, it doubles nothing; a file of the
+    same name that has changed is noticed."""
+    db = "txengine_test_db"
+    create_namespace(spark, db)
+    table = f"{db}.loads_whole"
+    create_transaction_table(spark, table)
+    path = scratch_path(spark, "csv_whole")
+    line = "{},2018-04-01 00:00:31,596,3156,57.16,31,0,0,0"
+    _staged(path, "a b|1.csv.gz", [line.format(i) for i in range(3)])
+    copy_into(spark, path, table, append=True)
+    _staged(path, "c.csv.gz", [line.format(i) for i in range(3, 5)])
+    _staged(path, "d.csv.gz", ["5,not-a-time,3,4,5.0,6,7,0,0"])
+    with pytest.raises(Exception):
+        copy_into(spark, path, table, append=True)
+    assert spark.table(table).count() == 3  # nothing of c either
+    _staged(path, "d.csv.gz", [line.format(5)])
+    for _ in range(2):
+        copy_into(spark, path, table, append=True)
+        assert sorted(r[0] for r in spark.table(table).select("transaction_id").collect()) == list(range(6))
+    _staged(path, "c.csv.gz", [line.format(i) for i in range(3, 9)])
+    with pytest.raises(ValueError, match="c.csv.gz"):
+        copy_into(spark, path, table, append=True)
+    assert spark.table(table).count() == 6
+    copy_into(spark, path, table)  # a load of its own replaces all
+    assert spark.table(table).count() == 10
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_gzip_load_is_spread(spark):
     path = scratch_path(spark, "csv_spread")
     write_transactions_csv(handmade.spark_table(spark).coalesce(1), path)

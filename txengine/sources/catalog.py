@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from txengine.sources.schema import TX_SCHEMA
+from txengine.sources.schema import LOADED_FROM, TX_SCHEMA
 
 
 def create_namespace(spark: SparkSession, database: str) -> None:
@@ -14,15 +15,10 @@ def create_namespace(spark: SparkSession, database: str) -> None:
 
 
 def create_transaction_table(spark: SparkSession, table: str) -> None:
-    """Create or replace: an empty managed table with the declared 9-column schema, and no
-    memory of files loaded into it before."""
-    spark.createDataFrame([], TX_SCHEMA).write.mode("overwrite").saveAsTable(table)
-    spark.sql(f"DROP TABLE IF EXISTS {loads_table(table)}")
-
-
-def loads_table(table: str) -> str:
-    """Name of the table that lists the files appended to ``table``."""
-    return f"{table}_loads"
+    """Create or replace: an empty managed table with the declared 9 columns and ``LOADED_FROM``,
+    which says what file a row was loaded from. Nothing is remembered of earlier loads."""
+    schema = T.StructType([*TX_SCHEMA.fields, T.StructField(LOADED_FROM, T.StringType(), True)])
+    spark.createDataFrame([], schema).write.mode("overwrite").saveAsTable(table)
 
 
 def dimension(tx: DataFrame, key: str) -> DataFrame:

@@ -18,6 +18,9 @@ TX_SCHEMA = T.StructType(
 
 TX_COLUMNS = [f.name for f in TX_SCHEMA.fields]
 
+#: Beside them in the managed table: the file that a row was loaded from.
+LOADED_FROM = "loaded_from"
+
 FLAG_COLUMNS = ["tx_during_weekend", "tx_during_night"]
 
 # Feature columns in the order of the reference's saved feature table (fixed values).

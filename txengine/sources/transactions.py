@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txengine.sources.catalog import loads_table
-from txengine.sources.schema import TX_COLUMNS, TX_SCHEMA
+from txengine.sources.schema import LOADED_FROM, TX_COLUMNS, TX_SCHEMA
 
 # CSV layout of the reference's load: comma separated, no header, gzip (fixed values).
 CSV_OPTIONS = {
@@ -100,35 +99,54 @@ def write_transactions_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def read_transactions_csv(spark: SparkSession, path: str | list[str], spread: bool = True) -> DataFrame:
+def read_transactions_csv(
+    spark: SparkSession, path: str | list[str], spread: bool = True, marked: bool = False
+) -> DataFrame:
     """Typed CSV read: explicit schema, FAILFAST (a bad row aborts the load, as the
     reference's COPY does). A gzip file is one split, parsed by one task; ``spread`` deals its
-    rows out right after, in tasks of a size that Spark chooses."""
+    rows out right after, in tasks of a size that Spark chooses. ``marked`` adds the file."""
     df = (
         spark.read.schema(TX_SCHEMA)
         .options(**CSV_OPTIONS)
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    if marked:
+        df = df.select("*", _file_mark().alias(LOADED_FROM))
     return df.hint("rebalance") if spread else df
 
 
+def _file_mark() -> Column:
+    """Path, size and time of the file that a row is read from."""
+    time = F.unix_millis("_metadata.file_modification_time")
+    return F.concat_ws("|", "_metadata.file_path", F.col("_metadata.file_size").cast("string"), time.cast("string"))
+
+
+def _path_of(mark: Column) -> Column:
+    return F.regexp_replace(mark, r"\|[0-9]*\|[0-9]*$", "")
+
+
 def copy_into(spark: SparkSession, path: str, table: str, append: bool = False, spread: bool = True) -> None:
     """Load a staged CSV file set into a managed table. By default the table then holds these
     files' rows and nothing else, so that a repeated load changes nothing; ``append`` adds the
-    files that have not been appended before."""
+    files that have not been loaded before.
+
+    Every row says what file it came from (path, size and time), so data and ledger are one write
+    and become visible together: a load that stops half-way has loaded nothing, and can be run
+    again. A file that has changed since it was loaded is an error; its rows are in the table
+    already, and only the caller knows which to keep. A file without rows leaves no mark, and
+    loading it again changes nothing."""
     if not append:
-        read_transactions_csv(spark, path, spread).write.mode("overwrite").saveAsTable(table)
-        spark.sql(f"DROP TABLE IF EXISTS {loads_table(table)}")
-    log = loads_table(table)
-    files = read_transactions_csv(spark, path, spread=False).inputFiles()
-    named = spark.createDataFrame([(f,) for f in files], "file string")
-    if append:
-        if spark.catalog.tableExists(log):
-            named = named.join(spark.table(log), "file", "left_anti")
-        files = [r.file for r in named.collect()]  # file names of one stage folder
-        if not files:
-            return
-        read_transactions_csv(spark, files, spread).write.mode("append").saveAsTable(table)
-        named = spark.createDataFrame([(f,) for f in files], "file string")
-    named.write.mode("append").saveAsTable(log)
+        read_transactions_csv(spark, path, spread, marked=True).write.mode("overwrite").saveAsTable(table)
+        return
+    staged = spark.read.format("binaryFile").load(path).select("path", _file_mark().alias("mark"))  # a listing
+    loaded = spark.table(table).select(F.col(LOADED_FROM).alias("mark")).where("mark is not null").distinct()
+    known = loaded.select(_path_of(F.col("mark")).alias("file"), F.lit(True).alias("known")).distinct()
+    new = staged.join(loaded, "mark", "left_anti").withColumn("file", _path_of(F.col("mark")))
+    files = new.join(known, "file", "left").select("path", "known").collect()  # names of one stage folder
+    changed = sorted(r["path"] for r in files if r["known"])
+    if changed:
+        raise ValueError(f"changed since they were loaded: {changed}")
+    if files:
+        named = [r["path"] for r in files]
+        read_transactions_csv(spark, named, spread, marked=True).write.mode("append").saveAsTable(table)
