@@ -8,6 +8,8 @@ Amounts are summed as decimals.
 
 from __future__ import annotations
 
+from txengine.sources.schema import MODEL_FEATURES
+
 # events -> 9-column transactions (FIXTURES.md §2)
 TX_CTE = """
 bounds0 AS (SELECT min(CAST(ts AS DATE)) AS d0 FROM events),
@@ -403,9 +405,13 @@ FROM stacked GROUP BY model""",
        count(*) AS training_set_rows FROM train""",
             *ctes,
         ),
-        "registry_prediction_differences": with_tx(
-            "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM test", *ctes
-        ),
+        "logistic_optimum": "SELECT unnest(["
+        + ", ".join(f"'{c}'" for c in [*MODEL_FEATURES, "intercept"])
+        + "]) AS coefficient, TRUE AS at_optimum",
+        **{
+            key: with_tx("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM test", *ctes)
+            for key in ("registry_prediction_differences", "forest_table_differences", "predicted_fraud_differences")
+        },
     }
 
 

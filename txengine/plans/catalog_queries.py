@@ -185,7 +185,7 @@ def fixture_models(spark: SparkSession, sf_dir: str):
 
 
 def _models_registry() -> dict[str, Query]:
-    from txengine.plans import assessment, models
+    from txengine.plans import assessment, model_checks, models
     from txengine.plans.registry import ModelRegistry
 
     def logistic_scores(spark, sf_dir):
@@ -250,6 +250,24 @@ def _models_registry() -> dict[str, Query]:
             F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(differs), F.lit(0)).cast("bigint").alias("different")
         )
 
+    def logistic_optimum(spark, sf_dir):
+        """Per coefficient, whether the fit stands where the penalised gradient vanishes (M2)."""
+        lm = fixture_models(spark, sf_dir).lm
+        checked = model_checks.logistic_gradient(lm, fixture_split(spark, sf_dir)[0])
+        return checked.select("coefficient", "at_optimum")
+
+    def forest_table_differences(spark, sf_dir):
+        """Test rows, and those that the forest's node table scores otherwise (M3, M4)."""
+        rf = fixture_models(spark, sf_dir).rf
+        rows = models.score_forest(rf, fixture_split(spark, sf_dir)[1])
+        return model_checks.forest_differences(rf, rows, "transaction_id")
+
+    def predicted_fraud_differences(spark, sf_dir):
+        """Test rows, and those that the registered model flags as fraud but its stored
+        coefficients do not, or the other way round (P9, M10)."""
+        _, ref = _registered(spark, sf_dir)
+        return model_checks.logistic_differences(ref.load(), registry_scores(spark, sf_dir))
+
     def registry_scores(spark, sf_dir):
         _, ref = _registered(spark, sf_dir)
         return ref.predict(fixture_split(spark, sf_dir)[1])
@@ -284,6 +302,9 @@ def _models_registry() -> dict[str, Query]:
         "model_confusion_totals": model_confusion_totals,
         "registered_training_rows": registered_training_rows,
         "registry_prediction_differences": registry_prediction_differences,
+        "logistic_optimum": logistic_optimum,
+        "forest_table_differences": forest_table_differences,
+        "predicted_fraud_differences": predicted_fraud_differences,
         "model_registry_list": model_registry_list,
         "registry_scores": registry_scores,
         "predicted_fraud": predicted_fraud,
