@@ -17,8 +17,9 @@ further link can change anything. Otherwise some pairs that have not been compar
 be links across components. Let D(x) be the difference of x from the leader. Two sets are
 linked iff 9 |A ^ B| <= |A| + |B|, and |A ^ B| = |D(A)| + |D(B)| - 2 |D(A) & D(B)|, so a link
 needs a number of shared *differences* that can be computed beforehand and is at least 1 when
-one of the two is not linked with the leader. Prefix filtering on the differences from the
-cluster's hub, in the order of how rare they are, then yields the few pairs left.
+one of the two is not linked with the leader. Differences from the cluster's hub that only one
+member has are shared with none; prefix filtering on the others, in the order of how few members
+have them, then yields the few pairs left.
 Groups of such candidates that are still large are treated as keys were, around a far member;
 each round takes that member out, so the rounds end.
 
@@ -67,7 +68,6 @@ class SketchOptions:
     small: int = 2000
     bits: int = 1 << 25
     held: int = 100_000
-    counters: int = 1 << 19
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -195,37 +195,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame, opts: SketchOptions) -> DataFr
     return found.join(wanted, ["id", "fp"]).groupBy("id", "fp").agg(F.first("set").alias("set")).select("id", "set")
 
 
-def rarity(sets: DataFrame, opts: SketchOptions, blocks: int = 16) -> np.ndarray:
-    """How many sets hold a shingle, in ``counters`` that shingles share by hash. Only the
-    order of differences depends on it, never a result."""
-    shift = U(64 - (opts.counters.bit_length() - 1))
-
-    def rows(ids: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
-        parts = [p.astype(np.int64).tobytes() for p in parts]
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(parts, pa.binary())], ["block", "part"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(opts.counters, dtype=np.int64)
-        for b in batches:
-            held = b"".join(b.column("set").to_pylist())
-            n += np.bincount((np.frombuffer(held, dtype=U) >> shift).astype(np.int64), minlength=opts.counters)
-        yield rows(list(range(blocks)), np.split(n, blocks))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for block, part in zip(b.column("block").to_pylist(), b.column("part").to_pylist()):
-                total[block] = total.get(block, 0) + np.frombuffer(part, dtype=np.int64)
-        if total:
-            yield rows(list(total), list(total.values()))
-
-    kind = "block int, part binary"
-    parts = sets.select("set").mapInArrow(count, kind).repartition(blocks, "block").mapInArrow(add, kind)
-    got = {r["block"]: np.frombuffer(r["part"], dtype=np.int64) for r in parts.collect()}
-    empty = np.zeros(opts.counters // blocks, dtype=np.int64)
-    return np.concatenate([got.get(i, empty) for i in range(blocks)]).clip(max=2**31 - 1).astype(np.int32)
-
-
 # ----------------------------------------------------------------------- verification
 def _dealt_beside(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame:
     """(leader, cell, id, set), dealt so that each cell of at most about ``cell`` members of a
@@ -279,57 +248,70 @@ def compare(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame
     return _dealt_beside(pairs, sets, opts).mapInArrow(run, "leader long, id long, linked boolean")
 
 
-def difference_keys(pairs: DataFrame, sets: DataFrame, rare: np.ndarray, opts: SketchOptions) -> DataFrame:
-    """(key, near, id, far, d, e, rest, last, at): the prefix of each member's difference from
-    its leader, how many differences ``rest`` behind it, where ``last`` it ends in the order
-    that all members share, and the place of each in the member's own order.
-
-    With similarity num/den, A and B are linked iff q |A ^ B| <= p (|A| + |B|), p = den - num,
-    q = den + num. ``d`` = |D(x)|, ``e`` = q d - p |x|, so x is linked with the leader iff
-    e <= p |leader|, and a link of x and y needs at least (e_x + e_y) / 2q shared differences.
-    ``far`` members are not linked with the leader. Two families of keys: far with near
-    members (``near`` true) and far with far ones, each with the prefix its bound allows."""
+def differences(pairs: DataFrame, sets: DataFrame, opts: SketchOptions) -> DataFrame:
+    """(leader, id, size, e, shingle): a row for each shingle that only one of a member and its
+    leader has. ``size`` = p |leader| and ``e`` = q d - p |x| for d such shingles, see
+    :func:`difference_keys`."""
     p, q = opts.den - opts.num, opts.den + opts.num
-    shift = U(64 - (opts.counters.bit_length() - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list] = [[] for _ in range(9)]
+        held: list[tuple[int, int, int, int, np.ndarray]] = []
 
         def batch() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), *[pa.int64()] * 5)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "near", "id", "far", "d", "e", "rest", "last", "at"]
-            )
-            for c in cols:
-                c.clear()
-            return out
+            n = [len(h[4]) for h in held]
+            cols = [pa.array(np.repeat(np.array([h[k] for h in held], dtype=np.int64), n)) for k in range(4)]
+            shingle = np.concatenate([h[4] for h in held]).astype(np.int64) if held else np.zeros(0, np.int64)
+            held.clear()
+            return pa.RecordBatch.from_arrays([*cols, pa.array(shingle)], ["leader", "id", "size", "e", "shingle"])
 
+        rows = 0
         for leader, i, a, b in _each_member(batches):
             diff = np.concatenate([b[~_shared(a, b)], a[~_shared(b, a)]])
-            diff = diff[np.lexsort((diff, rare[(diff >> shift).astype(np.int64)]))]  # rare ones first
-            d = len(diff)
-            e, size = q * d - p * len(b), p * len(a)
-            far = e > size
-            # least e of a partner: near, at least one difference; far, just not linked
-            bounds = [(True, e - size + (q - p) if far else e + size + 1)]
-            if far:
-                bounds.append((False, e + size + 1))
-            for near, need in bounds:
-                shared = max(1, -(-need // (2 * q)))
-                if shared > d:
-                    continue
-                salt = mixed(np.array([(leader * 2 + near) & 0xFFFFFFFFFFFFFFFF], dtype=U))
-                keys = mixed(diff[: d - shared + 1] ^ salt).astype(np.int64).tolist()
-                end = diff[len(keys) - 1]
-                last = (int(rare[int(end >> shift)]) << 32) | int(end >> U(32))
-                for c, v in zip(cols, (keys, *([x] * len(keys) for x in (near, i, far, d, e, d - len(keys), last)), range(len(keys)))):
-                    c.extend(v)
-            if len(cols[0]) > 200_000:
+            held.append((leader, i, p * len(a), q * len(diff) - p * len(b), diff))
+            rows += len(diff)
+            if rows > 200_000:
                 yield batch()
+                rows = 0
         yield batch()
 
-    return _dealt_beside(pairs, sets, opts).mapInArrow(
-        run, "key long, near boolean, id long, far boolean, d long, e long, rest long, last long, at long"
+    return _dealt_beside(pairs, sets, opts).mapInArrow(run, "leader long, id long, size long, e long, shingle long")
+
+
+def difference_keys(diffs: DataFrame, opts: SketchOptions) -> DataFrame:
+    """(key, near, id, far, d, e, rest, last, at) from the written :func:`differences`: the prefix
+    of each member's difference from its leader, how many differences ``rest`` behind it, where
+    ``last`` it ends in the order that all members share, and the place ``at`` of each in the
+    member's own order.
+
+    With similarity num/den, A and B are linked iff q |A ^ B| <= p (|A| + |B|), p = den - num,
+    q = den + num. With |D(x)| differences and e = q |D(x)| - p |x|, x is linked with the leader
+    iff e <= p |leader|, and a link of x and y needs at least (e_x + e_y) / 2q shared
+    differences. A difference that no other member of the leader has is shared with none: ``d``
+    counts the others, in order of how few members have them. ``far`` members are not linked with
+    the leader. Two families of keys: far with near members (``near`` true) and far with far
+    ones, each with the prefix its bound allows."""
+    p, q = opts.den - opts.num, opts.den + opts.num
+    many = diffs.groupBy("leader", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    common = diffs.join(many, ["leader", "shingle"])
+    # at most as many as a member's own and its leader's set have
+    own = common.groupBy("leader", "id").agg(
+        F.first("size").alias("size"), F.first("e").alias("e"), F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("own")
+    )
+    far, d = F.col("e") > F.col("size"), F.size("own").cast("long")
+    # least e of a partner: near, at least one difference; far, just not linked
+    with_near = F.when(far, F.col("e") - F.col("size") + (q - p)).otherwise(F.col("e") + F.col("size") + 1)
+    with_far = F.when(far, F.col("e") + F.col("size") + 1)
+    bounds = F.array(F.struct(F.lit(True).alias("near"), with_near.alias("need")), F.struct(F.lit(False).alias("near"), with_far.alias("need")))
+    shared = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("need") / (2 * q)).cast("long"))
+    family = own.select("leader", "id", "e", far.alias("far"), d.alias("d"), "own", F.inline(bounds)).where("need is not null")
+    family = family.withColumn("length", F.col("d") - shared + 1).where("length > 0")
+    last = F.element_at("own", F.col("length").cast("int"))
+    prefix = family.select(
+        "leader", "id", "near", "far", "d", "e", (F.col("d") - F.col("length")).alias("rest"), last.alias("last"),
+        F.posexplode(F.slice("own", F.lit(1), F.col("length").cast("int"))).alias("at", "one"),
+    )
+    return prefix.select(
+        F.xxhash64("leader", "near", "one.shingle").alias("key"), "near", "id", "far", "d", "e", "rest", "last", "at"
     )
 
 
@@ -384,8 +366,9 @@ def _difference_groups(keys: DataFrame, comps: DataFrame, opts: SketchOptions) -
     return k.join(g.select("key", "leader", few.alias("few")), "key")
 
 
-def _small_pairs(groups: DataFrame, opts: SketchOptions) -> DataFrame:
-    """(leader, id) of the pairs in small difference groups that the counts allow to link."""
+def _may_meet(groups: DataFrame, opts: SketchOptions) -> DataFrame:
+    """Members ``x`` and ``y`` of small difference groups that may be linked, for each key that
+    they meet in."""
     few, q = groups.where("few"), opts.den + opts.num
     x, y = few.where("far").alias("x"), few.alias("y")
     # two that meet in this key share at most what stands before it in both, it, and what stands
@@ -394,15 +377,20 @@ def _small_pairs(groups: DataFrame, opts: SketchOptions) -> DataFrame:
         "x.comp <> y.comp and ((x.near and not y.far) or (not x.near and y.far and x.id < y.id))"
         f" and {2 * q} * (least(x.at, y.at) + least(x.d - x.at, y.d - y.at)) >= x.e + y.e"
     )
+    return x.join(y, "key").where(may)
+
+
+def _small_pairs(groups: DataFrame, opts: SketchOptions) -> DataFrame:
+    """(leader, id) of the pairs in small difference groups that the counts allow to link."""
     # what a pair shares: at most the prefix keys it meets in and what is behind the prefix that
     # ends first (an element behind it may still stand in the other prefix)
     rest = F.expr("CASE WHEN x.last < y.last THEN x.rest WHEN y.last < x.last THEN y.rest ELSE greatest(x.rest, y.rest) END")
-    pairs = x.join(y, "key").where(may).groupBy(F.col("x.id").alias("leader"), F.col("y.id").alias("id")).agg(
+    pairs = _may_meet(groups, opts).groupBy(F.col("x.id").alias("leader"), F.col("y.id").alias("id")).agg(
         F.count(F.lit(1)).alias("met"),
         F.max(rest).alias("rest"),
         F.min(F.col("x.e") + F.col("y.e")).alias("e"),
     )
-    return pairs.where((F.col("met") + F.col("rest")) * (2 * q) >= F.col("e")).select("leader", "id")
+    return pairs.where((F.col("met") + F.col("rest")) * (2 * (opts.den + opts.num)) >= F.col("e")).select("leader", "id")
 
 
 def _links(checked: DataFrame) -> DataFrame:
@@ -447,8 +435,6 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
     wanted = written(reps.join(involved, "id").select("id", "fp"), "involved")
     sets = written(full_sets(docs, wanted, opts), "sets")
 
-    rare = rarity(sets, opts)
-
     checked = written(compare(pairs.select("leader", "id"), sets, opts), "compared")
     links = written(_links(checked), "found")
     comps = written(components(links), "components")
@@ -462,7 +448,8 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
         plain = plain.select(F.col("x.id").alias("leader"), F.col("y.id").alias("id"))
         many = groups.where((F.col("members") > opts.direct) | F.col("leader").isNotNull())
         beside = written(_beside_leaders(many, _hubs(links, comps), comps), "beside_leaders")
-        keys = difference_keys(beside.select("leader", "id"), sets, rare, opts)
+        diffs = written(differences(beside.select("leader", "id"), sets, opts), "differences")
+        keys = difference_keys(diffs, opts)
         inner = written(_difference_groups(keys, comps, opts), "difference_groups")
         todo = plain.unionAll(_small_pairs(inner, opts)).unionAll(
             beside.where("apart").select("leader", "id")
@@ -486,11 +473,21 @@ def link_components(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> D
 
 def keep_one(docs: DataFrame, opts: SketchOptions = SketchOptions()) -> DataFrame:
     """One document of each component, with all columns of ``docs``: the rows whose doc_id
-    is their component's. Rows that repeat a kept doc_id are one; rows without doc_id stay."""
-    kept = link_components(docs, opts).where("kept and doc_id is not null").select("doc_id").distinct()
+    is their component's. Rows that repeat a kept doc_id and its text are one; rows without
+    doc_id stay. Where a doc_id has several texts, the one with the smallest hash is compared,
+    and the others stay, one row each."""
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    named = docs.where("doc_id is not null")
+    several = named.groupBy(F.col("doc_id").alias("__id")).agg(F.min(text).alias("__own"), F.max(text).alias("__last"))
+    several = written(several.where("__own < __last").select("__id", "__own"), "several_texts")
+    marked = named.join(several, named["doc_id"] == several["__id"], "left")
+    compared = marked.where(F.col("__own").isNull() | (F.col("__own") == text)).select(named["*"])
+    others = marked.where(F.col("__own") != text).select(named["*"], text.alias("__text"))
+    kept = link_components(compared, opts).where("kept").select("doc_id").distinct()
     ids = kept.select(F.col("doc_id").alias("__kept"))
-    rows = docs.join(ids, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id is null"))
+    rows = compared.join(ids, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    others = others.dropDuplicates(["doc_id", "__text"]).drop("__text")
+    return rows.unionAll(others).unionAll(docs.where("doc_id is null"))
 
 
 def op5_bin_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
