@@ -1,15 +1,62 @@
 import numpy as np
+import pytest
 
-from txengine.llm.soft_mixing import MixOptions, _rates, fit_domains, fit_steps, mix, posteriors
+from txengine.llm.soft_mixing import MixOptions, _rates, calibration, fit_domains, fit_pull, mix, posteriors
+
+
+def _frame(spark, n, p):
+    return spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>").repartition(5)
+
+
+def _plain_fit(n, p, target, rounds=60_000):
+    """Nonnegative least squares by plain projected gradient: the least weighted loss."""
+    have, w = n @ p, np.ones(len(n))
+    for _ in range(rounds):
+        w = np.maximum(0, w - p @ (((w * n) @ p - target) / have))
+    return (((w * n) @ p - target) ** 2 / have).sum()
+
+
+@pytest.mark.parametrize("weights", [(0.9, 0.06, 0.04), (0.6, 0.3, 0.1), (0.99, 0.006, 0.004), (0.02, 0.08, 0.9), (0.0, 0.0, 1.0)])
+def test_as_close_as_a_plain_solver(spark, weights):
+    """Also where no nonnegative rates reach the targets."""
+    rng = np.random.default_rng(6)
+    p = rng.dirichlet([3.0, 0.8, 0.5], 300)
+    p[:, 2] = np.minimum(p[:, 2], 0.6)
+    p /= p.sum(1, keepdims=True)
+    n = rng.integers(0, 900, 300)
+    opts = MixOptions(weights=dict(zip("abc", weights)), rounds=30)
+    pull, gap, rounds = fit_pull(_frame(spark, n, p), opts)
+    w = _rates(p, pull)
+    total, target = (w * n) @ p, np.array(weights) * n.sum()
+    loss = ((total - target) ** 2 / (n @ p)).sum()
+    assert (w >= 0).all() and rounds <= 30
+    if gap <= opts.tolerance:
+        assert np.allclose(total, target, rtol=2e-3)
+    else:
+        assert loss <= 1.02 * _plain_fit(n, p, target) + 1e-6 * n.sum()
+
+
+def test_calibration_is_most_likely():
+    rng = np.random.default_rng(2)
+    odds = rng.normal(0, 3, (3000, 3))
+    z = 0.4 * odds + np.array([0.0, -1.0, 0.5])
+    p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+    y = np.array([rng.choice(3, p=row) for row in p])
+    slope, shift = calibration(odds, y, 1e-2)
+    assert abs(slope - 0.4) < 0.05 and abs((shift[1] - shift[0]) + 1) < 0.2 and abs((shift[2] - shift[0]) - 0.5) < 0.2
+    assert calibration(np.zeros((0, 2)), np.zeros(0, np.int64), 1e-2)[0] == 1
+    one = calibration(odds, np.zeros(3000, np.int64), 1e-2)
+    assert np.isfinite(one[0]) and np.isfinite(one[1]).all()
 
 
 def test_totals_meet_targets(spark):
     rng = np.random.default_rng(3)
     p = rng.dirichlet([2.0, 0.7, 0.4], 400)
     n = rng.integers(0, 900, 400)
-    rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_tokens long, p array<double>")
     opts = MixOptions(weights={"a": 0.5, "b": 0.3, "c": 0.2})
-    w = _rates(p, fit_steps(rows.repartition(5), opts))
+    pull, gap, rounds = fit_pull(_frame(spark, n, p), opts)
+    w = _rates(p, pull)
+    assert gap <= opts.tolerance and rounds <= 15
     assert (w >= 0).all()
     assert np.allclose((w * n) @ p / n.sum(), [0.5, 0.3, 0.2], rtol=2e-3)
 
@@ -31,3 +78,7 @@ def test_defined_results(spark):
     assert by[3].p_clean > 0.5 > by[105].p_clean
     assert mix(df.limit(0), model, opts).count() == 0
     assert posteriors(df, fit_domains(df, lab.limit(0), opts)).count() == len(docs)
+    assert set(model.off) == {"clean", "low"} and model.judged > 0
+    both = lab.unionAll(lab.selectExpr("doc_id", "if(domain = 'low', 'clean', 'low')"))
+    untaught = fit_domains(df, both, opts)  # every label is contradicted
+    assert all(len(at) == 0 for at in untaught.linear.at) and untaught.judged == 0
