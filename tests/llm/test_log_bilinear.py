@@ -5,7 +5,10 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from txengine.llm.log_bilinear import BilinearOptions, Lexicon, Model, group_of, lexicon, score_texts, train, windows, word_counts
+from txengine.llm import log_bilinear
+from txengine.llm.log_bilinear import (
+    BilinearOptions, Lexicon, Model, Scorer, Trainer, group_of, lexicon, score_texts, train, windows, word_counts,
+)
 from txengine.llm.common import words, written
 
 SMALL = BilinearOptions(side=4, groups=4, dim=4, noise=3, batch=64, dictionary=8, first=2)
@@ -32,9 +35,9 @@ def test_counts_and_base_by_definition(spark):
 
 
 def test_probabilities_sum_to_one(spark):
-    docs = spark.createDataFrame([(t,) for t in TEXTS * 5], "text string")
+    docs = spark.createDataFrame(list(enumerate(TEXTS * 5)), "doc_id long, text string")
     lex = lexicon(written(word_counts(docs, SMALL), "t"), replace(SMALL, dictionary=1000))
-    model = Model(lex).load(train(docs, lex))
+    model = Scorer(Model(lex).load(train(docs, lex)))
     symbols = np.arange(SMALL.symbols)
     for context in ([0, 0, 0], [1, 2, 0], [5, 3, 1]):
         p = np.exp(model.log_probabilities(np.array([context] * SMALL.symbols), symbols))
@@ -55,6 +58,89 @@ def test_learns_what_follows_what(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def _tiny():
+    o = BilinearOptions(side=4, groups=4, dim=3, noise=3, context=2)
+    n = np.arange(16, 0, -1.0) * 5
+    lex = Lexicon({b"": 0}, np.arange(16), n, np.zeros(16), np.zeros(4), n, 1, 1, o)
+    rng, m = np.random.default_rng(3), Model(lex)
+    m.load(m.flat() + rng.normal(0, 0.5, m.flat().size))
+    return m, rng.integers(0, 16, (40, 2)), rng.integers(0, 16, 40)
+
+
+def _plain(m, context, symbol, normalised):
+    """Class and symbol scores of one token, written out."""
+    q = sum(m.turn[i].T.astype(float) @ m.vec[c].astype(float) for i, c in enumerate(context))
+    c, k = symbol % 4, symbol // 4
+    s, t = m.cls.astype(float) @ q + m.cls_b, m.out[c].astype(float) @ q + m.out_b[c]
+    return math.log(math.exp(s[c]) / np.exp(s).sum() * math.exp(t[k]) / np.exp(t).sum()) if normalised else (q, s, t, c, k)
+
+
+def test_probabilities_by_definition():
+    m, context, symbol = _tiny()
+    got = Scorer(m).log_probabilities(context, symbol)
+    assert np.allclose(got, [_plain(m, c, s, True) for c, s in zip(context, symbol)], atol=1e-5)
+    m.cls_b[1] += 200  # out of float32's range
+    got = Scorer(m).log_probabilities(context, symbol)
+    assert np.allclose(got, [_plain(m, c, s, True) for c, s in zip(context, symbol)], rtol=1e-5, atol=1e-4)
+
+
+def test_gradients_are_those_of_the_contrastive_loss(monkeypatch):
+    m, context, symbol = _tiny()
+    noise_cls, noise_out = np.array([[0, 2, 2]]), np.random.default_rng(1).integers(0, 4, (4, 3))
+    monkeypatch.setattr(log_bilinear, "_draw", lambda probs, rng, k: (noise_cls if len(probs) == 1 else noise_out).copy())
+    found = {}
+
+    def step(self, name, at, grad):
+        found.setdefault(name, np.zeros_like(getattr(m, name), dtype=float))
+        found[name][at] += grad
+
+    monkeypatch.setattr(Trainer, "_step", step)
+    Trainer(m).learn(context, symbol)
+
+    def loss():
+        total, sig = 0.0, lambda x: 1 / (1 + math.exp(-x))
+        for x, y in zip(context, symbol):
+            _, s, t, c, k = _plain(m, x, y, False)
+            total -= math.log(sig(s[c] - math.log(3 * m.p_cls[c]))) + math.log(sig(t[k] - math.log(3 * m.p_out[c, k])))
+            total -= sum(math.log(1 - sig(s[j] - math.log(3 * m.p_cls[j]))) for j in noise_cls[0])
+            total -= sum(math.log(1 - sig(t[j] - math.log(3 * m.p_out[c, j]))) for j in noise_out[c])
+        return total / len(symbol)
+
+    rng = np.random.default_rng(5)
+    for name in Model.NAMES:
+        kept = getattr(m, name).astype(np.float64)
+        for _ in range(6):
+            at, ends = tuple(rng.integers(0, d) for d in kept.shape), []
+            for eps in (1e-4, -1e-4):
+                moved = kept.copy()
+                moved[at] += eps
+                setattr(m, name, moved)
+                ends.append(loss())
+            setattr(m, name, kept)
+            assert found[name][at] == pytest.approx((ends[0] - ends[1]) / 2e-4, rel=2e-3, abs=2e-5), (name, at)
+
+
+def test_what_is_learnt_does_not_depend_on_the_input_parts(spark):
+    """The same rows from one part and from eight, in another order."""
+    rng = np.random.default_rng(8)
+    follow = {i: rng.choice(40, 3) for i in range(40)}
+    texts = []
+    for _ in range(160):
+        w = [int(rng.integers(40))]
+        for _ in range(60):
+            w.append(int(rng.choice(follow[w[-1]])))
+        texts.append(" ".join(f"w{i}" for i in w))
+    rows = [(i, t, i % 7 == 2) for i, t in enumerate(texts)]
+    opts = BilinearOptions(side=8, groups=8, dim=8, noise=6, batch=128, first=4, part_tokens=3000)
+    scores = []
+    for rows_, parts in ((rows, 1), (rows[::-1], 8)):
+        df = spark.createDataFrame(rows_, "doc_id long, text string, held_out boolean").repartition(parts)
+        got = sorted(score_texts(df, opts).collect(), key=lambda r: r.doc_id)
+        assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out) + 20
+        scores.append([r.score for r in got])
+    assert np.allclose(*scores, rtol=1e-4)
+
+
 def test_edges(spark):
     assert _score(spark, []) == {}
     got = _score(spark, ["x y", None], held=lambda i: True)  # nothing to learn from

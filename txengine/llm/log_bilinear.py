@@ -9,10 +9,13 @@ normalised probability is p(class | context) p(symbol | class, context) and cost
 matrix products instead of one over the whole vocabulary.
 
 Training never normalises: at either level the model learns to tell the true symbol from noise
-drawn from the unigram counts. Tasks run mini-batches over all their training tokens from the
-same start and Spark averages the models, weighted by tokens; a first round over one part of
-the documents gives the second round, over all others, its start. Every training document is
-used once, and what is added up grows with the corpus.
+drawn from the unigram counts. Training documents are dealt by hash into parts of about
+``part_tokens`` tokens, in order of their hash, whatever files they come from; a task runs
+mini-batches over the whole of its part, all from the same start, and Spark averages the models,
+weighted by tokens. So what is learnt depends on the documents only, and each model that is
+averaged has seen enough tokens to be one. A first round over one part of the documents gives the
+second round, over all others, its start. Every training document is used once, and what is
+added up grows with the corpus.
 
 Counts cover every training document. Only ``dictionary`` words (the most frequent ones) are
 held by tasks; rarer words leave the scoring pass as (row, word, n) and meet their counts in
@@ -49,6 +52,7 @@ class BilinearOptions:
     """``side``: classes, and symbols in a class; ``groups`` of rare words; ``context`` words;
     ``dim`` of the vectors; ``noise`` samples for each token; ``batch`` tokens a step;
     ``rate`` of AdaGrad; ``first``: share of the documents in the first round (1/first);
+    ``part_tokens``: training tokens of a part, one task's work;
     ``dictionary``: most words that a task holds; ``held``: distinct words that a task counts
     before it passes its counts on; ``chunk`` tokens scored together."""
 
@@ -60,6 +64,7 @@ class BilinearOptions:
     batch: int = 8192
     rate: float = 0.15
     first: int = 8
+    part_tokens: int = 8_000_000
     dictionary: int = 300_000
     held: int = 300_000
     chunk: int = 16_384
@@ -202,21 +207,43 @@ class Model:
 
     def predicted(self, context: np.ndarray) -> np.ndarray:
         """The vectors expected after each row of ``context`` (nearest word first)."""
-        return sum(self.vec[context[:, i]] @ self.turn[i] for i in range(self.o.context))
+        return sum(self.vec.take(context[:, i], axis=0) @ self.turn[i] for i in range(self.o.context))
+
+
+class Scorer:
+    """A trained model for scoring: the vectors of all words turned for each distance, and the
+    weights as they are multiplied."""
+
+    def __init__(self, model: Model):
+        self.side = model.o.side
+        self.turned = [model.vec @ t for t in model.turn]
+        self.cls, self.cls_b = np.ascontiguousarray(model.cls.T), model.cls_b
+        self.out, self.out_b = np.ascontiguousarray(model.out.transpose(0, 2, 1)), model.out_b
+        self.ones = np.ones(self.side, dtype=np.float32)
+
+    def _log_sum(self, s: np.ndarray) -> np.ndarray:
+        """log sum exp of each row."""
+        if np.abs(s).max() < 60:  # neither end leaves float32
+            return np.log(np.exp(s) @ self.ones)
+        top = s.max(axis=1)
+        return top + np.log(np.exp(s - top[:, None]).sum(axis=1))
 
     def log_probabilities(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Normalised natural-log probabilities."""
-        side = self.o.side
-        q = self.predicted(context)
-        cls, num = symbol % side, symbol // side
-        s = q @ self.cls.T + self.cls_b
-        out = s[np.arange(len(s)), cls] - _log_sum(s)
-        order, ends = _by_class(cls, side)
+        """Normalised natural-log probabilities (nearest word of a context first)."""
+        side = self.side
+        order, ends = _by_class(symbol % side, side)
+        cls, num = symbol[order] % side, symbol[order] // side
+        at = np.arange(len(order))
+        q = sum(t.take(context[order, i], axis=0) for i, t in enumerate(self.turned))
+        s = q @ self.cls + self.cls_b
+        logp = s[at, cls] - self._log_sum(s)
         for c in range(side):
-            rows = order[ends[c] : ends[c + 1]]
-            if len(rows):
-                t = q[rows] @ self.out[c].T + self.out_b[c]
-                out[rows] += t[np.arange(len(rows)), num[rows]] - _log_sum(t)
+            a, b = ends[c], ends[c + 1]
+            if a < b:
+                t = q[a:b] @ self.out[c] + self.out_b[c]
+                logp[a:b] += t[at[: b - a], num[a:b]] - self._log_sum(t)
+        out = np.empty_like(logp)
+        out[order] = logp
         return out
 
 
@@ -226,11 +253,6 @@ def _by_class(cls: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate(([0], np.cumsum(np.bincount(cls, minlength=side))))
 
 
-def _log_sum(s: np.ndarray) -> np.ndarray:
-    top = s.max(axis=1)
-    return top + np.log(np.exp(s - top[:, None]).sum(axis=1))
-
-
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.float32(0.5) * (np.tanh(np.float32(0.5) * x) + np.float32(1))
 
@@ -342,8 +364,16 @@ def windows(symbols: list[np.ndarray], context: int) -> tuple[np.ndarray, np.nda
     return np.stack([row[at - 1 - i] for i in range(context)], axis=1), row[at]
 
 
+def in_parts(texts: DataFrame, tokens: float, opts: BilinearOptions) -> DataFrame:
+    """(text) of (doc_id, text) with about ``tokens`` tokens, dealt by hash into parts of about
+    ``part_tokens``, in order of the hash."""
+    parts = max(1, round(tokens / opts.part_tokens))
+    dealt = texts.withColumn("at", F.xxhash64("doc_id", "text")).repartition(parts, "at")
+    return dealt.sortWithinPartitions("at", "doc_id").select("text")
+
+
 def _trained(texts: DataFrame, lex: Lexicon, start: np.ndarray, blocks: int = 16) -> np.ndarray:
-    """The token-weighted mean of the models that tasks train from ``start``."""
+    """The token-weighted mean of the models that tasks train from ``start``, one for each part."""
     o = lex.opts
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,10 +419,11 @@ def _model_rows(blocks: list[int], n: list[int], parts: list[np.ndarray]) -> pa.
 
 
 def train(texts: DataFrame, lex: Lexicon) -> np.ndarray:
-    """Parameters after both rounds over (text); a text's round depends on its hash."""
-    first = F.pmod(F.xxhash64("text"), F.lit(lex.opts.first)) == 0
-    warm = _trained(texts.where(first), lex, Model(lex).flat())
-    return _trained(texts.where(~first), lex, warm)
+    """Parameters after both rounds over (doc_id, text); a document's round depends on its hash."""
+    o = lex.opts
+    first = F.pmod(F.xxhash64("text", "doc_id"), F.lit(o.first)) == 0
+    warm = _trained(in_parts(texts.where(first), lex.total / o.first, o), lex, Model(lex).flat())
+    return _trained(in_parts(texts.where(~first), lex.total * (o.first - 1) / o.first, o), lex, warm)
 
 
 # --------------------------------------------------------------------------- scoring
@@ -402,7 +433,7 @@ def _scored(docs: DataFrame, lex: Lexicon, flat: np.ndarray) -> DataFrame:
     o = lex.opts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, number = Model(lex).load(flat), TaskContext.get().partitionId() << 40
+        model, number = Scorer(Model(lex).load(flat)), TaskContext.get().partitionId() << 40
         log_count = np.log10(lex.count + 1.0)
         for b in batches:
             texts, n = b.column("text").to_pylist(), b.num_rows
@@ -454,7 +485,7 @@ def _scored(docs: DataFrame, lex: Lexicon, flat: np.ndarray) -> DataFrame:
 def score_texts(docs: DataFrame, opts: BilinearOptions = BilinearOptions()) -> DataFrame:
     """One row per row of (doc_id, text, held_out), learning from those not held out:
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
-    training = docs.where(~F.col("held_out")).select("text")
+    training = docs.where(~F.col("held_out")).select("doc_id", "text")
     counts = written(word_counts(training, opts), "word_counts")
     lex = lexicon(counts, opts)
     rows = written(_scored(docs, lex, train(training, lex)), "scored")
