@@ -1,4 +1,7 @@
-from txengine.llm.url_reputation import ReputationOptions, Rule, judge_urls, reputations
+import random
+
+from oracle_compare import digest, duck
+from txengine.llm.url_reputation import OP1_SQL, ReputationOptions, Rule, judge_urls, op1_url_reputation, reputations
 
 
 def _pages(spark, urls):
@@ -54,3 +57,29 @@ def test_hosts_without_outcomes(spark):
     overall = sum(b for _, b in rows) / len(rows)
     assert all(abs(r.bad_rate - overall) < 1e-9 and r.bad_low < overall for r in got[3:])
     assert all(r.bad_low > 0.5 for r in got[:2])
+
+
+def test_sql_knows_unseen_hosts_and_two_label_suffixes(spark, tmp_path):
+    """Every level of the name tree with and without labelled pages."""
+    rng, pages, labels = random.Random(3), [], []
+    worst = {"spam": 0.95, "meh": 0.4, "fine": 0.03}
+    for d, rate in worst.items():
+        for suffix in ("com", "co.uk", "zip", "org"):
+            for h in range(6):
+                for _ in range(25):
+                    n = len(labels)
+                    labels.append((n, 0 if rng.random() < (0.9 if suffix == "zip" else rate) else 1, 0))
+                    pages.append((f"http://H{h}.{d}.{suffix}/en/{n}.html", "x"))
+    hosts = ["new.spam.com", "new.spam.co.uk", "other.co.uk", "other.zip", "a.b.meh.com", "x.fine.org", "org", "co.uk", "nowhere.test", "spam.com.au", ""]
+    pages += [(f"http://{h}/{p}", "x") for h in hosts for p in ("", "fr/1", "a?b")] + [(None, "x"), ("nothing", None)]
+    rows = [(i, u, h) for i, (u, h) in enumerate(pages)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/p")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/l")
+    for short, name in (("p", "pages"), ("l", "labels")):
+        next((tmp_path / short).glob("*.parquet")).rename(tmp_path / f"{name}.parquet")
+    got, rel = op1_url_reputation(spark, str(tmp_path)), duck(str(tmp_path)).sql(OP1_SQL)
+    rows = [tuple(r) for r in got.collect()]
+    assert digest(got.columns, rows) == digest(rel.columns, rel.fetchall())
+    verdict = {r[1]: r[4] for r in rows if r[3] is None}
+    assert verdict["new.spam.com"] == verdict["other.zip"] == verdict["new.spam.co.uk"] == "block"
+    assert verdict["x.fine.org"] == verdict["nowhere.test"] == verdict["spam.com.au"] == "allow"

@@ -9,8 +9,9 @@ domain, else of its suffix, else the overall rate, with the weight fitted for th
 that level. A host is blocked when even the lower bound of its posterior bad rate lies above the
 tolerated rate. Hand-written rules (host plus path prefix) are consulted first.
 
-Only counts per host meet; the pages themselves are never shuffled unless the host table is
-too large for Spark to broadcast, and then the join is an ordinary, skew-splittable one.
+Only counts per host meet. The posteriors are written before the pages are joined with them, so
+the pages are not shuffled unless the host table is too large for Spark to broadcast, and then
+both sides are plain shuffles, of which Spark splits a hot host's pages.
 
 Defined results: a NULL url, or one without ``://``, has empty host and path, matches no rule
 and takes the overall rate. Repeated pages count as often as they occur. Without any labelled
@@ -206,6 +207,9 @@ def judge_urls(
     known = reputations(outcomes, opts, parts.select("host").distinct()).select(
         "host", "bad_rate", "bad_low", (F.col("bad_low") > tolerated).alias("worse")
     )
+    # one row per host, written: Spark knows its size, and either broadcasts it or splits the
+    # pages of a hot host
+    known = written(known, "host_posteriors")
     rule, verdict = match_rule(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("worse"), F.lit("block")).otherwise(F.lit("allow"))
     return parts.join(known, "host", "left").select(
@@ -244,11 +248,20 @@ outcomes AS (
   SELECT p.host, CASE WHEN l.quality = 0 OR l.toxic = 1 THEN 1.0 ELSE 0.0 END AS bad
   FROM parts p JOIN labels l
     ON l.doc_id = TRY_CAST(regexp_extract(p.path, '([0-9]{1,18})(?:\.html|/)?$', 1) AS BIGINT)),
+suffixes AS (
+  SELECT host, string_split(host, '.') AS labels,
+         CASE WHEN host = 'co.uk' OR ends_with(host, '.co.uk') THEN 'co.uk'
+              WHEN host = 'com.au' OR ends_with(host, '.com.au') THEN 'com.au'
+              WHEN host = 'co.jp' OR ends_with(host, '.co.jp') THEN 'co.jp'
+              ELSE string_split(host, '.')[-1] END AS suffix
+  FROM (SELECT DISTINCT host FROM parts)),
+names AS (
+  SELECT host, suffix, array_to_string(
+    list_slice(labels, greatest(len(labels) - len(string_split(suffix, '.')), 1), len(labels)), '.') AS domain
+  FROM suffixes),
 per_host AS (
-  SELECT host, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS k,
-         array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') AS domain,
-         string_split(host, '.')[-1] AS suffix
-  FROM outcomes GROUP BY host),
+  SELECT host, domain, suffix, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS k
+  FROM outcomes JOIN names USING (host) GROUP BY ALL),
 per_domain AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM per_host GROUP BY ALL),
 per_suffix AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM per_domain GROUP BY ALL),
 total AS (SELECT sum(k) / sum(n) AS overall FROM per_suffix),
@@ -266,7 +279,12 @@ h0 AS (SELECT h.*, d2.rate AS prior FROM per_host h JOIN d2 USING (domain)),
 h1 AS (SELECT 1 / greatest(1 / 1001.0, least(0.5, CASE WHEN sum(n * (n - 1) * prior * (1 - prior)) > 0
          THEN sum(pow(k - n * prior, 2) - n * prior * (1 - prior))
               / sum(n * (n - 1) * prior * (1 - prior)) ELSE 0 END)) - 1 AS m FROM h0),
-h2 AS (SELECT host, n + m AS w, (k + m * prior) / (n + m) AS rate FROM h0, h1),
+level AS (
+  SELECT host, coalesce(n, 0) AS n, coalesce(k, 0) AS k, coalesce(d2.rate, s2.rate, total.overall) AS prior,
+         CASE WHEN d2.rate IS NOT NULL THEN h1.m WHEN s2.rate IS NOT NULL THEN d1.m ELSE s1.m END AS m
+  FROM names LEFT JOIN (SELECT host, n, k FROM per_host) USING (host) LEFT JOIN d2 USING (domain)
+       LEFT JOIN s2 USING (suffix), total, h1, d1, s1),
+h2 AS (SELECT host, n + m AS w, (k + m * prior) / (n + m) AS rate FROM level),
 known AS (SELECT host, greatest(0, rate - 1.645 * sqrt(rate * (1 - rate) / (w + 1))) > overall AS worse
           FROM h2, total),
 ruled AS (
