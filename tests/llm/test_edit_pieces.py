@@ -71,3 +71,15 @@ def test_place_and_empty_tables(spark):
     assert (r.doc_id, r.item_id, r.distance, r.first_word, r.last_word) == (1, 7, 0, 1, 10)
     assert matches(df, bench.limit(0)).count() == 0 and matches(df.limit(0), bench).count() == 0
     assert keep_unseen(df, bench.limit(0)).count() == 1
+
+
+def test_items_without_an_id_and_blocks(spark):
+    """They are searched too; blocks are searched one after another."""
+    texts = ["the quick brown fox jumps over the lazy dog today", "pack my box with five dozen liquor jugs by noon", "sphinx of black quartz judge my solemn vow at once"]
+    bench = spark.createDataFrame([(None, texts[0]), (2, texts[1]), (None, texts[2]), (4, None)], "item_id long, text string")
+    docs = [(i, f"before {t} after") for i, t in enumerate(texts)] + [(9, "nothing of the kind")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for opts in (EditOptions(), EditOptions(block_chars=60)):
+        got = sorted((r.doc_id, r.item_id) for r in matches(df, bench, opts).collect())
+        assert got == [(0, None), (1, 2), (2, None)]
+        assert [r.doc_id for r in keep_unseen(df, bench, opts).collect()] == [9]

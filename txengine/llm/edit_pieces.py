@@ -15,7 +15,8 @@ Documents are never shuffled. The items are sent to the tasks in blocks of at mo
 ``block_chars`` normalised characters, one pass over the documents per block, so a larger
 benchmark means more passes and not larger tasks.
 
-Defined results: NULL and empty items match nothing, NULL and empty texts hold nothing. Equal
+Defined results: an item without item_id is searched like any other (its matches have a NULL
+item_id). NULL and empty items match nothing, NULL and empty texts hold nothing. Equal
 items are all reported. Of several places in one document that with the smallest distance,
 then the first, is given. Repeated rows are searched each; extra columns do not matter.
 """
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txengine.llm.common import table
+from txengine.llm.common import table, written
 
 NOT_WORD = re.compile(r"[\W_]+")
 #: The same for ASCII texts, byte by byte.
@@ -149,8 +150,9 @@ class Matcher:
 
 
 def item_blocks(benchmark: DataFrame, opts: EditOptions) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size; which block an item is in depends on its hash."""
-    rows = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    """The items in blocks of bounded size, one at a time; which block an item is in depends on its
+    hash. Items without an id are searched like all others."""
+    rows = benchmark.where("text is not null").select("item_id", "text")
     chars = rows.agg(F.sum(F.length("text") + 2)).first()[0] or 0
     n = int(-(-chars // opts.block_chars))
     for b in range(n):
@@ -164,9 +166,12 @@ def matches(
     """(doc_id, item_id, distance, first_word, last_word), one row per document row and item
     found in it."""
     rows = docs.select("doc_id", "text")
-    kind = "item_id long, distance int, first_word int, last_word int"
-    out = None
+    of = rows.schema["doc_id"].dataType.simpleString()
+    kind = f"doc_id {of}, item_id long, distance int, first_word int, last_word int"
+    out, before = rows.limit(0).selectExpr("doc_id", "0L as item_id", "0 as distance", "0 as first_word", "0 as last_word"), None
     for block in item_blocks(benchmark, opts):
+        if before is not None:  # its matches are written before the next block comes to the driver
+            out = out.unionAll(written(before, "matches"))
 
         def search(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(block, opts)
@@ -184,19 +189,18 @@ def matches(
                     ["doc_id", "item_id", "distance", "first_word", "last_word"],
                 )
 
-        of = rows.schema["doc_id"].dataType.simpleString()
-        part = rows.mapInArrow(search, f"doc_id {of}, {kind}")
-        out = part if out is None else out.unionAll(part)
-    return out if out is not None else rows.limit(0).selectExpr(
-        "doc_id", "0L as item_id", "0 as distance", "0 as first_word", "0 as last_word"
-    )
+        before = rows.mapInArrow(search, kind)
+    return out if before is None else out.unionAll(before)
 
 
 def keep_unseen(
     docs: DataFrame, benchmark: DataFrame, opts: EditOptions = EditOptions()
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
+    before, kind = None, docs.schema
     for block in item_blocks(benchmark, opts):
+        if before is not None:  # as in matches()
+            docs = written(before, "unseen")
 
         def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(block, opts)
@@ -204,8 +208,8 @@ def keep_unseen(
                 free = [not matcher.find(t) for t in b.column("text").to_pylist()]
                 yield b.filter(pa.array(free, pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+        before = docs.mapInArrow(clean, kind)
+    return docs if before is None else before
 
 
 def op8_edit_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
