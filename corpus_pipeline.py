@@ -33,8 +33,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return edit_pieces.keep_unseen(docs, table(spark, sf_dir, "benchmark"))
 
 
-#: What is left of low-quality and toxic text after the stages before is a trace.
-MIX = soft_mixing.MixOptions(weights={"clean": 0.99, "low": 0.006, "toxic": 0.004})
+#: Shares of all tokens, far from what the stages before leave.
+MIX = soft_mixing.MixOptions(weights={"clean": 0.9, "low": 0.06, "toxic": 0.04})
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
