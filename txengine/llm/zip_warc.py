@@ -1,25 +1,33 @@
 """WARC records kept in ZIP packages of stored members (web-archive collections).
 
 A package holds ``archive/data.warc.gz`` (one gzip member per record) and
-``indexes/index.cdxj`` (one JSON line per record with its place), both *stored*, so a
-record is one byte range of the package: package offset of the member plus the record's
-offset. Reading parses the end record, the ZIP64 end record and the central directory by
-hand, finds the members through their local headers, and then range-reads records; nothing
-is unpacked. Files are reached through Arrow file systems, so packages can lie in any store
-that those open.
+``indexes/index.cdxj`` (one line per record: sort key of the URL, time, JSON with its place),
+both *stored*, so a record is one byte range of the package: package offset of the member plus
+the record's offset. Reading parses the end record, the ZIP64 end record and the central
+directory by hand, finds the members through their local headers, and then range-reads records;
+nothing is unpacked.
+
+Packages of others are read too: several archives (an index line names its own), plain or
+gzipped records and indexes, index lines with or without key and time, ``!meta`` lines, and
+packages without an index, whose archives are read from front to back. Files are reached through
+Arrow file systems: local paths, ``hdfs``, ``s3`` (also as ``s3a`` or ``s3n``), ``gs``, ``abfs``.
 
 Writing is one ``mapInPandas`` over the records: each task streams packages of bounded size
 into the shared folder and returns their paths. A repeated or lost task leaves packages that
 no returned path names; nobody reads them.
 
 Defined results: a NULL payload is an empty one; a NULL URL leaves its header out; control
-characters and blanks in a URL are percent-encoded. A package that is cut short, compresses
-a member that has to be read by range, or holds a record whose payload does not match its
-digest raises ``ValueError`` with the package's path: records are never dropped silently.
+characters and blanks in a URL are percent-encoded. Records that are neither response nor revisit
+(``warcinfo``, ``request``, ...) pass through with their block as payload. A SHA-256 digest is
+given as bare lower-case hex, any other as it stands; a payload without a digest gets its
+SHA-256. SHA-1, SHA-256 and MD5 digests, in hex or base32, are checked. A package that is cut
+short, compresses a member that has to be read by range, or holds a record whose payload does not
+match its digest raises ``ValueError`` with the package's path: records are never dropped silently.
 """
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import json
@@ -61,8 +69,8 @@ class PackageOptions:
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a URI; Hadoop writes ``file:/x`` where Arrow wants three
-    slashes."""
-    return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+    slashes, and ``s3a`` for what Arrow calls ``s3``."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", uri)))
 
 
 # ------------------------------------------------------------------------------ ZIP
@@ -177,27 +185,68 @@ def _headers(raw: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in pairs}
 
 
+def _hex_digest(text: str, size: int) -> str:
+    """A digest of ``size`` bytes in hex or base32 as lower-case hex."""
+    if len(text) == 2 * size:
+        return text.lower()
+    return base64.b32decode(text.upper() + "=" * (-len(text) % 8)).hex()
+
+
+def _checked(stated: str | None, payload: bytes | None, record: str) -> str | None:
+    """The digest to give, after comparing it with the payload."""
+    kind, _, text = (stated or "").partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind in ("sha1", "sha256", "md5"):
+        if not text:
+            raise ValueError(f"digest of {record} is empty")
+        own = hashlib.new(kind)
+        text = _hex_digest(text, own.digest_size)
+        if payload is not None:
+            own.update(payload)
+            if own.hexdigest() != text:
+                raise ValueError(f"payload of {record} does not match its digest")
+        return text if kind == "sha256" else stated
+    if stated or payload is None:
+        return stated
+    return hashlib.sha256(payload).hexdigest()
+
+
 def decode_record(raw: bytes) -> dict:
-    """Fields of one record; a response's payload is checked against its digest."""
-    head, _, rest = raw.partition(b"\r\n\r\n")
+    """Fields of one record; a payload is checked against its digest."""
+    head, gap, rest = raw.partition(b"\r\n\r\n")
+    if not head.startswith(b"WARC/") or not gap:
+        raise ValueError("no WARC record")
     warc = _headers(head)
-    block = rest[: int(warc["content-length"])]
-    http_head, _, payload = block.partition(b"\r\n\r\n")
-    kind, digest = warc["warc-type"], warc["warc-payload-digest"].removeprefix("sha256:")
-    n = int(_headers(http_head)["content-length"])
-    if kind == "response" and (len(payload) != n or hashlib.sha256(payload).hexdigest() != digest):
-        raise ValueError(f"payload of {warc['warc-record-id']} does not match its digest")
+    kind, record, size = warc["warc-type"], warc.get("warc-record-id", "a record"), int(warc["content-length"])
+    if len(rest) < size:
+        raise ValueError(f"{record} is cut short")
+    block, payload, n = rest[:size], rest[:size], size
+    if kind in ("response", "revisit") and warc.get("content-type", "").lower().startswith("application/http"):
+        http_head, _, payload = block.partition(b"\r\n\r\n")
+        n = len(payload)
+    if kind == "revisit":
+        # the payload is elsewhere; its length is what the reply said
+        payload, n = None, int(_headers(http_head).get("content-length", 0)) if block else 0
     return {
-        "page_id": _from_urn(warc["warc-record-id"]),
-        "url": warc.get("warc-target-uri"),
-        "payload": payload if kind == "response" else None,
+        "page_id": _from_urn(record),
+        "url": warc["warc-target-uri"].strip("<>") if "warc-target-uri" in warc else None,
+        "payload": payload,
         "payload_bytes": n,
-        "payload_digest": digest,
+        "payload_digest": _checked(warc.get("warc-payload-digest"), payload, record),
         "record_type": kind,
         "refers_to": _from_urn(warc.get("warc-refers-to")),
     }
 
 
+def sort_key(uri: str | None) -> str:
+    """The URL with its host turned around, as index lines are sorted: ``org,example)/path``."""
+    m = re.match(r"(?s)[^:/?#]+://(?:[^/?#@]*@)?([^/?#]*)(.*)", _safe_uri(uri or ""))
+    if not m:
+        return "-"
+    host, _, port = m[1].lower().partition(":")
+    return ",".join(reversed(host.removeprefix("www.").split("."))) + (f":{port}" if port else "") + ")" + (m[2].lower() or "/")
+
+
 # -------------------------------------------------------------------------- packages
 class _PackageWriter:
     """Streams records into one package."""
@@ -217,7 +266,8 @@ class _PackageWriter:
         raw = encode_record(page_id, uri, payload, digest, n, refers_to, self.opts.date)
         packed = gzip.compress(raw, self.opts.level, mtime=0)
         self.member.write(packed)
-        self.index.append(json.dumps({"id": page_id, "offset": self.at, "length": len(packed)}))
+        place = {"url": uri, "digest": f"sha256:{digest}", "filename": WARC_MEMBER.rpartition("/")[2], "offset": str(self.at), "length": str(len(packed))}
+        self.index.append(f"{sort_key(uri)} {re.sub('[^0-9]', '', self.opts.date)[:14]} {json.dumps(place)}")
         self.at += len(packed)
         self.plain += len(raw)
 
@@ -226,28 +276,80 @@ class _PackageWriter:
 
     def close(self) -> dict:
         self.member.close()
-        self.zip.writestr(INDEX_MEMBER, "\n".join(self.index))
+        self.zip.writestr(INDEX_MEMBER, "".join(f"{x}\n" for x in sorted(self.index)))
         self.zip.close()
         self.out.close()
         return {"path": self.uri, "records": len(self.index)}
 
 
+def _index_places(raw: bytes) -> Iterator[dict]:
+    """The JSON part of every index line."""
+    text = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+    for line in text.decode("utf-8").splitlines():
+        key, brace, rest = line.partition("{")
+        if brace and not key.startswith("!"):
+            yield json.loads(brace + rest)
+
+
+def _front_to_back(f, begin: int, size: int, step: int = 1 << 20) -> Iterator[bytes]:
+    """The records of an archive without an index, read in pieces."""
+    at, held = 0, b""
+
+    def more() -> bytes:
+        nonlocal at
+        got = _read(f, begin + at, min(step, size - at))
+        at += len(got)
+        return got
+
+    while at < size or held:
+        if len(held) < 2 and at < size:
+            held += more()
+        if held[:2] == b"\x1f\x8b":
+            member, out = zlib.decompressobj(31), []
+            while not member.eof:
+                if not held and at == size:
+                    raise ValueError("cut short")
+                out.append(member.decompress(held or more()))
+                held = member.unused_data
+            yield b"".join(out)
+            continue
+        while b"\r\n\r\n" not in held and at < size:
+            held += more()
+        head = held.partition(b"\r\n\r\n")[0]
+        if not head.strip():
+            return
+        whole = len(head) + 4 + int(_headers(head)["content-length"]) + 4
+        while len(held) < whole and at < size:
+            held += more()
+        yield held[:whole]
+        held = held[whole:]
+
+
 def read_package(uri: str) -> Iterator[dict]:
-    """The records of one package, each by one range read."""
+    """The records of one package, each by one range read where there is an index."""
     try:
         store, path = open_store(uri)
         size = store.get_file_info(path).size
         with store.open_input_file(path) as f:
             members = {m.name: m for m in directory(f, size)}
-            index, warc = members[INDEX_MEMBER], members[WARC_MEMBER]
-            begin = stored_at(f, warc)
-            for line in _read(f, stored_at(f, index), index.size).decode().splitlines():
-                place = json.loads(line)
-                if place["offset"] + place["length"] > warc.size:
-                    raise ValueError("index points past the archive")
-                raw = zlib.decompress(_read(f, begin + place["offset"], place["length"]), 31)
-                yield decode_record(raw)
-    except (ValueError, KeyError, struct.error, zlib.error) as ex:
+            archives = {n: m for n, m in members.items() if re.fullmatch(r"archive/.*\.warc(\.gz)?", n)}
+            indexes = [m for n, m in members.items() if re.fullmatch(r"indexes/.*\.cdxj?(\.gz)?", n)]
+            if not archives:
+                raise ValueError("no archive in the package")
+            begin = {n: stored_at(f, m) for n, m in archives.items()}
+            for index in indexes:
+                for place in _index_places(_read(f, stored_at(f, index), index.size)):
+                    name = f"archive/{place['filename']}" if "filename" in place else next(iter(archives))
+                    at, length = int(place["offset"]), int(place["length"])
+                    if at + length > archives[name].size:
+                        raise ValueError("index points past the archive")
+                    raw = _read(f, begin[name] + at, length)
+                    yield decode_record(zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw)
+            if not indexes:
+                for name, m in archives.items():
+                    for raw in _front_to_back(f, begin[name], m.size):
+                        yield decode_record(raw)
+    except (ValueError, KeyError, struct.error, zlib.error, EOFError) as ex:
         raise ValueError(f"{uri}: {ex}") from ex
 
 
