@@ -296,6 +296,7 @@ FROM cal JOIN term_feat USING (rid)""",
     "feature_table_all_days": with_tx("SELECT * FROM features", *feature_ctes(all_days=True)),
 }
 FEATURES["feature_table_saved"] = FEATURES["feature_table"]
+FEATURES["feature_table_updated"] = FEATURES["feature_table"]
 FEATURES["lineitem_feature_table"] = on_lineitem(FEATURES["feature_table"])
 
 

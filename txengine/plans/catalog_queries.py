@@ -111,6 +111,15 @@ def _features_registry() -> dict[str, Query]:
         features.save_feature_table(features.feature_table(events_transactions(spark, sf_dir)), table)
         return spark.table(table).select(*FEATURE_TABLE_COLUMNS)
 
+    def feature_table_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The feature table saved without the last five days, then brought up to date (S10)."""
+        table, tx = _scratch_table(spark, "features"), events_transactions(spark, sf_dir)
+        last = tx.select(F.max("tx_time_days")).scalar()
+        features.save_feature_table(features.feature_table(tx.where(F.col("tx_time_days") <= last - 5)), table)
+        features.update_feature_table(tx, table)
+        return spark.table(table).select(*FEATURE_TABLE_COLUMNS)
+
+    q["feature_table_updated"] = feature_table_updated
     q["lineitem_feature_table"] = lineitem_feature_table
     q["feature_table_literal"] = feature_table_literal
     q["feature_table_all_days"] = feature_table_all_days

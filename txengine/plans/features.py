@@ -70,6 +70,11 @@ class FeatureOptions:
 DEFAULT = FeatureOptions()
 
 
+def reach(opts: FeatureOptions) -> int:
+    """How many days before a day its features look at."""
+    return max(opts.windows) + opts.delay
+
+
 def date_time_features(tx: DataFrame) -> DataFrame:
     """The 9 input columns + TX_DURING_WEEKEND, TX_DURING_NIGHT."""
     return tx.withColumns(
@@ -133,10 +138,27 @@ class _Inputs:
     first: Column
 
 
-def _inputs(tx: DataFrame, opts: FeatureOptions) -> _Inputs:
-    totals = transaction_totals(tx)
-    first, last = calendar_bounds(totals)
-    rows = date_time_features(tx.select(*TX_COLUMNS)).withColumn(DAY, day_number("tx_datetime"))
+def _since(first: Column, offset: int) -> Column:
+    """Midnight ``offset`` days after a day number, to compare timestamps with (pushed down)."""
+    return F.date_from_unix_date((first + F.lit(offset)).cast("int")).cast("timestamp_ntz")
+
+
+def _inputs(tx: DataFrame, opts: FeatureOptions, days: tuple[int, int | None] | None = None) -> _Inputs:
+    """``days``: first and last day, counted from the calendar's first, whose rows are wanted; only
+    the transactions that these days' windows reach are read for the totals."""
+    if days is None:
+        totals = transaction_totals(tx)
+        first, last = calendar_bounds(totals)
+        wanted = tx
+    else:
+        d = day_number("tx_datetime")
+        bounds = tx.select(F.struct(F.min(d).alias("lo"), F.max(d).alias("hi"))).scalar()
+        first, last = bounds.getField("lo"), bounds.getField("hi")
+        ts = F.col("tx_datetime")
+        until = tx if days[1] is None else tx.where(ts < _since(first, days[1] + 1))
+        totals = transaction_totals(until.where(ts >= _since(first, days[0] - reach(opts))))
+        wanted = until.where(ts >= _since(first, days[0]))
+    rows = date_time_features(wanted.select(*TX_COLUMNS)).withColumn(DAY, day_number("tx_datetime"))
     totals = totals.withColumn(DAY, day_number("ts"))
     inside = F.col(DAY) <= last if opts.keep_last_day else F.col(DAY) < last
     keyed = totals.where(inside & F.col("key").isNotNull())
@@ -238,9 +260,12 @@ def terminal_features(tx: DataFrame, opts: FeatureOptions = DEFAULT) -> DataFram
 
 
 # ----------------------------------------------------------------------------- table
-def feature_table(tx: DataFrame, opts: FeatureOptions = DEFAULT) -> DataFrame:
-    """The 23-column feature table (9 input columns, 2 flags, 6 customer, 6 terminal)."""
-    x = _inputs(tx, opts)
+def feature_table(
+    tx: DataFrame, opts: FeatureOptions = DEFAULT, days: tuple[int, int | None] | None = None
+) -> DataFrame:
+    """The 23-column feature table (9 input columns, 2 flags, 6 customer, 6 terminal), of the days
+    from ``days[0]`` to ``days[1]`` (None: the last) if given, counted as TX_TIME_DAYS are."""
+    x = _inputs(tx, opts, days)
     out = _attach_terminal(_customer_side(x, opts), x, opts)
     return out.select(*_names(FEATURE_TABLE_COLUMNS, opts))
 
@@ -267,7 +292,38 @@ def clustered_by_day(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "tx_time_days")
 
 
-def save_feature_table(df: DataFrame, table: str) -> None:
+def save_feature_table(df: DataFrame, table: str, buckets: int | None = None) -> None:
     """Overwrite the saved feature table, partitioned by day so that the split's per-day
-    filters prune files."""
-    clustered_by_day(df).write.mode("overwrite").partitionBy("tx_time_days").saveAsTable(table)
+    filters prune files. With ``buckets`` the rows of a customer are in one bucket of every day:
+    what the split joins and adds up by customer then needs no shuffle of the features. A task
+    writes one bucket, so there are as many files a day as buckets."""
+    if buckets:
+        writer = df.repartition(buckets, "customer_id").write.bucketBy(buckets, "customer_id").sortBy("customer_id")
+    else:
+        writer = clustered_by_day(df).write
+    writer.mode("overwrite").partitionBy("tx_time_days").saveAsTable(table)
+
+
+def update_feature_table(
+    tx: DataFrame, table: str, opts: FeatureOptions = DEFAULT, changed: int | None = None
+) -> None:
+    """Bring the saved table up to date with ``tx`` without rebuilding it: days behind its last
+    are added, and if transactions of the earlier day ``changed`` (counted as TX_TIME_DAYS) have
+    been added or corrected, the days whose windows hold that day are written anew. Other days'
+    files stay as they are. With D3 the last day has no features yet; the update that brings a
+    later one adds it."""
+    spark = tx.sparkSession
+    saved = spark.table(table).agg(F.max("tx_time_days")).first()[0]  # from the partitions' names
+    behind = -1 if saved is None else saved
+    parts = [(behind + 1, None)]
+    if changed is not None and changed <= behind:
+        parts.insert(0, (changed, min(behind, changed + reach(opts))))
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    kept = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # only the days that the rows belong to
+    try:
+        for days in parts:
+            rows = feature_table(tx, opts, days).select(*spark.table(table).columns)
+            clustered_by_day(rows).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, kept)

@@ -38,12 +38,14 @@ def _ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def train_split(features: DataFrame, opts: SplitOptions = SplitOptions()) -> DataFrame:
+def _train_bounds(opts: SplitOptions) -> tuple[Column, Column]:
     start = dt.datetime.strptime(opts.start, "%Y-%m-%d")
     end = start + dt.timedelta(days=opts.train_days)
-    out = features.filter(
-        F.col("tx_datetime").between(_ntz(f"{start:%Y-%m-%d %H:%M:%S}"), _ntz(f"{end:%Y-%m-%d %H:%M:%S}"))
-    )
+    return _ntz(f"{start:%Y-%m-%d %H:%M:%S}"), _ntz(f"{end:%Y-%m-%d %H:%M:%S}")
+
+
+def train_split(features: DataFrame, opts: SplitOptions = SplitOptions()) -> DataFrame:
+    out = features.filter(F.col("tx_datetime").between(*_train_bounds(opts)))
     return out.orderBy("transaction_id") if opts.sort else out
 
 
@@ -54,23 +56,21 @@ def first_train_day(features: DataFrame, opts: SplitOptions) -> Column:
 
 
 def known_fraud_asof(features: DataFrame, opts: SplitOptions = SplitOptions()) -> DataFrame:
-    """customer_id -> first test day (TX_TIME_DAYS) from which it is known as fraudulent."""
+    """customer_id -> first test day (TX_TIME_DAYS) from which it is known as fraudulent: the first
+    test day for frauds of the training set, else the day its label has come. One scan, pruned to
+    the days of both; one aggregate by customer."""
     s0 = first_train_day(features, opts)
-    first_test = s0 + opts.train_days + opts.delay_days
-    train = train_split(features, SplitOptions(**{**opts.__dict__, "sort": False}))
-    from_train = train.filter(F.col("tx_fraud") == 1).select(
-        "customer_id", first_test.cast("bigint").alias("known_from")
-    )
-    lo = s0 + opts.train_days - 1
+    day = F.col("tx_time_days")
     hi = s0 + opts.train_days + opts.test_days - 2
-    from_delay = features.filter(
-        (F.col("tx_fraud") == 1) & F.col("tx_time_days").between(lo, hi)
-    ).select(
-        "customer_id",
-        (F.col("tx_time_days") + opts.delay_days + 1).cast("bigint").alias("known_from"),
-    )
+    first_test = (s0 + opts.train_days + opts.delay_days).cast("bigint")
+    start, end = _train_bounds(opts)
+    in_train = F.col("tx_datetime").between(start, end)
+    in_delay = day.between(s0 + opts.train_days - 1, hi)
+    frauds = features.filter((F.col("tx_fraud") == 1) & day.between(s0, F.greatest(hi, s0 + opts.train_days)))
+    known = F.least(F.when(in_train, first_test), F.when(in_delay, (day + opts.delay_days + 1).cast("bigint")))
     return (
-        from_train.unionByName(from_delay)
+        frauds.select("customer_id", known.alias("known_from"))
+        .where("known_from is not null")
         .groupBy("customer_id")
         .agg(F.min("known_from").alias("known_from"))
     )
