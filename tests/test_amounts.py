@@ -57,3 +57,30 @@ def test_small_amounts_are_not_lost(spark):
     assert {r["total_spend"] for r in analysis.top_spenders(tx).collect()} == {2.0}
     mean = {r["column_name"]: r["mean"] for r in analysis.numeric_describe(_tx(spark, [1e-8, 3e-8])).collect()}
     assert mean["tx_amount"] == pytest.approx(2e-8, rel=1e-12)
+
+
+def test_no_digit_of_the_deviation_depends_on_the_partitions(spark):
+    """Amounts of very different size, dealt in many ways; and what exact rationals give."""
+    import math
+    import random
+    from fractions import Fraction
+
+    rng = random.Random(7)
+    amounts = [round(rng.uniform(0, 1) * 10 ** rng.randrange(0, 11), 6) for _ in range(3000)] + [None, 0.0, -12.5]
+    tx = _tx(spark, amounts)
+    seen = set()
+    for parts in (1, 2, 7, 40):
+        rows = analysis.numeric_describe(tx.repartition(parts)).collect()
+        seen.add(tuple(sorted((r["column_name"], r["count"], r["mean"], r["stddev"]) for r in rows)))
+    assert len(seen) == 1
+    known = [Fraction(f"{a:.6f}") for a in amounts if a is not None]
+    mean = sum(known) / len(known)
+    want = math.sqrt(sum((x - mean) ** 2 for x in known) / (len(known) - 1))
+    got = {c: (n, m, sd) for c, n, m, sd in seen.pop()}["tx_amount"]
+    assert got[0] == len(known) and math.isclose(got[2], want, rel_tol=1e-12)
+    fine = {r["column_name"]: r for r in analysis.numeric_describe(_tx(spark, [1e-8, 3e-8])).collect()}
+    assert math.isclose(fine["tx_amount"]["stddev"], math.sqrt(2) * 1e-8, rel_tol=1e-9)
+    none = {r["column_name"]: r for r in analysis.numeric_describe(tx.limit(0)).collect()}
+    assert len(none) == 8 and all(r["count"] == 0 and r["stddev"] is None for r in none.values())
+    one = {r["column_name"]: r for r in analysis.numeric_describe(_tx(spark, [5.0])).collect()}
+    assert one["tx_amount"]["stddev"] is None and one["tx_amount"]["mean"] == 5.0

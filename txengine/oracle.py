@@ -59,6 +59,15 @@ def dec(x: str = "tx_amount") -> str:
     return f"CAST({x} AS DECIMAL(28,6))"
 
 
+def short(x: str) -> str:
+    return f"CAST({x} AS DECIMAL(38,6))"
+
+
+def whole(x: str) -> str:
+    """A decimal as the nearest DOUBLE (a direct cast of wide decimals rounds twice)."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+
+
 def money_sum(x: str = "tx_amount") -> str:
     return f"CAST(sum({dec(x)}) AS DOUBLE)"
 
@@ -107,7 +116,8 @@ LIMIT 10"""
         "\nUNION ALL\n".join(
             f"""SELECT '{c}' AS column_name, count({c}) AS "count",
        CAST(sum({dec(c)}) AS DOUBLE) / nullif(count({c}), 0) AS mean,
-       CAST(printf('%.9e', stddev_samp({c})) AS DOUBLE) AS stddev,
+       CASE WHEN count({c}) > 1 THEN sqrt(greatest({whole(f"sum({short(c)} * {short(c)})")}
+         - {whole(f"sum({dec(c)})")} * {whole(f"sum({dec(c)})")} / count({c}), 0.0) / (count({c}) - 1)) END AS stddev,
        CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max" FROM tx"""
             for c in NUMERIC
         )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txengine.functions.columns import amount_total, round_half_away
+from txengine.functions.columns import EXACT_TYPE, amount_total, exact_part, round_half_away, total
 from txengine.sources.catalog import dimension
 from txengine.sources.schema import TX_COLUMNS
 
@@ -85,37 +85,42 @@ NUMERIC_COLUMNS = [c for c in TX_COLUMNS if c != "tx_datetime"]
 
 def numeric_describe(tx: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Typed ``describe()``: one row per numeric column with count, mean, sample standard
-    deviation, min and max as numbers (Spark's ``describe`` returns strings). One pass,
-    one aggregate. The mean comes from the exact total; the deviation, whose last digits
-    depend on the merge order, is given to ten significant digits."""
+    deviation, min and max as numbers (Spark's ``describe`` returns strings). One pass; every
+    value becomes a row of its column before tasks add up, so one set of sums serves all columns.
+
+    Sums and sums of squares are exact decimals, so no digit depends on how partitions are
+    merged. Only columns with values that no decimal of 18 digits holds (beyond 10^12 or finer than
+    10^-6) take Spark's own deviation, whose last digits do depend on it."""
     cols = columns or NUMERIC_COLUMNS
-    aggs = []
-    for c in cols:
-        whole = amount_total(F.col(c).cast("double"))
-        if dict(tx.dtypes)[c] != "double":
-            whole = F.sum(F.col(c).cast("decimal(28,0)")).cast("double")
-        aggs += [
-            F.count(c).alias(f"{c}__n"),
-            F.try_divide(whole, F.count(c)).alias(f"{c}__mean"),
-            F.format_string("%.9e", F.stddev_samp(c)).try_cast("double").alias(f"{c}__sd"),
-            F.min(c).cast("double").alias(f"{c}__min"),
-            F.max(c).cast("double").alias(f"{c}__max"),
-        ]
-    wide = tx.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"{c}__n").alias("count"),
-                F.col(f"{c}__mean").alias("mean"),
-                F.col(f"{c}__sd").alias("stddev"),
-                F.col(f"{c}__min").alias("min"),
-                F.col(f"{c}__max").alias("max"),
-            )
-            for c in cols
-        ]
+    kinds = dict(tx.dtypes)
+    exact = {c: exact_part(c) if kinds[c] in ("double", "float") else F.col(c).cast(EXACT_TYPE) for c in cols}
+    parts = F.array(
+        *(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"), exact[c].alias("exact")) for c in cols)
+    )
+    # a column without rows has a row of its own
+    names = tx.sparkSession.range(1).select(F.inline(F.array(*(F.struct(F.lit(c).alias("column_name")) for c in cols))))
+    none = names.select("column_name", F.lit(None).cast("double").alias("x"), F.lit(None).cast(EXACT_TYPE).alias("exact"))
+    short = F.col("exact").try_cast("decimal(18,6)")
+    sums = tx.select(F.inline(parts)).unionAll(none).groupBy("column_name").agg(
+        F.count("x").alias("n"),
+        F.sum("exact").alias("exact"),
+        F.sum(F.when(F.col("exact").isNull(), F.col("x"))).alias("rest"),
+        F.count(F.when(short == F.col("exact"), 1)).alias("n_short"),
+        F.try_sum(short * short).alias("squares"),
+        F.stddev_samp("x").alias("merged"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
     )
-    return wide.select(F.inline(rows))
+    n, s = F.col("n"), F.col("exact").cast("double")
+    spread = F.col("squares").cast("double") - F.try_divide(s * s, n)
+    own = F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), n - 1))
+    stddev = F.when(n < 2, F.lit(None)).when((F.col("n_short") == n) & F.col("squares").isNotNull(), own)
+    return sums.select(
+        "column_name", n.alias("count"),
+        F.try_divide(total("exact", "rest"), n).alias("mean"),
+        stddev.otherwise(F.col("merged")).alias("stddev"),
+        "min", "max",
+    )
 
 
 def tx_by_day(tx: DataFrame) -> DataFrame:
