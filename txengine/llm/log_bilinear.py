@@ -205,10 +205,6 @@ class Model:
             at += old.size
         return self
 
-    def predicted(self, context: np.ndarray) -> np.ndarray:
-        """The vectors expected after each row of ``context`` (nearest word first)."""
-        return sum(self.vec.take(context[:, i], axis=0) @ self.turn[i] for i in range(self.o.context))
-
 
 class Scorer:
     """A trained model for scoring: the vectors of all words turned for each distance, and the
@@ -272,19 +268,20 @@ class Trainer:
 
     def learn(self, context: np.ndarray, symbol: np.ndarray) -> None:
         m, o = self.m, self.m.o
-        q = m.predicted(context)
+        before = [m.vec.take(context[:, i], axis=0) for i in range(o.context)]
+        q = sum(x @ m.turn[i] for i, x in enumerate(before))
         n, k = np.float32(len(q)), o.noise
         # rows in the order of (class, number), so that sums by either are runs of rows
         code = (symbol % o.side * o.side + symbol // o.side).astype(np.uint16)
         order = np.argsort(code, kind="stable")
-        q, code = q[order], code[order].astype(np.int64)
+        q, code = q.take(order, axis=0), code[order].astype(np.int64)
         cls = code // o.side
         starts = _runs(code)
 
         # which class: true rows against one draw of noise classes for all rows
         noise = _draw(m.p_cls[None], self.rng, k)[0]
         shift = m.cls_b - np.log(k * m.p_cls).astype(np.float32)
-        v = m.cls[cls]
+        v = m.cls.take(cls, axis=0)
         true = _sigmoid(_dots(q, v) + shift[cls]) - np.float32(1)
         false = _sigmoid(q @ m.cls[noise].T + shift[noise])
         dq = true[:, None] * v + false @ m.cls[noise]
@@ -298,7 +295,7 @@ class Trainer:
         # which symbol of the class: true rows against a draw for each class
         flat, flat_b = m.out.reshape(-1, o.dim), m.out_b.reshape(-1)
         shift = flat_b - np.log(k * m.p_out).astype(np.float32).reshape(-1)
-        v = flat[code]
+        v = flat.take(code, axis=0)
         true = _sigmoid(_dots(q, v) + shift[code]) - np.float32(1)
         dq += true[:, None] * v
         dw, dwb = np.zeros_like(flat), np.zeros_like(flat_b)
@@ -310,14 +307,15 @@ class Trainer:
         place = np.arange(len(q)) - np.repeat(np.cumsum(counts) - counts, counts)
         tile = np.repeat(np.cumsum(tiles) - tiles, counts) + place // TILE
         of_tile = np.repeat(np.arange(o.side), tiles)
+        at = tile * TILE + place % TILE
         qt = np.zeros((len(of_tile), TILE, o.dim), dtype=np.float32)
         full = np.zeros((len(of_tile), TILE, 1), dtype=np.float32)
-        qt[tile, place % TILE], full[tile, place % TILE] = q, 1
+        qt.reshape(-1, o.dim)[at], full.reshape(-1)[at] = q, 1
         noise = _draw(m.p_out, self.rng, k) + np.arange(o.side)[:, None] * o.side
         drawn = noise[of_tile]
         vt = flat[drawn]
         false = _sigmoid(qt @ vt.transpose(0, 2, 1) + shift[drawn][:, None, :]) * full
-        dq += (false @ vt)[tile, place % TILE]
+        dq += (false @ vt).reshape(-1, o.dim).take(at, axis=0)
         by_tile = _runs(of_tile)
         drawn = noise[of_tile[by_tile]]
         np.add.at(dw, drawn, np.add.reduceat(false.transpose(0, 2, 1) @ qt, by_tile))
@@ -331,12 +329,12 @@ class Trainer:
         self._step("cls_b", ..., db / n)
         grads = np.concatenate([back @ m.turn[i].T for i in range(o.context)])
         for i in range(o.context):
-            self._step("turn", i, m.vec[context[:, i]].T @ back / n)
+            self._step("turn", i, before[i].T @ back / n)
         word = context.T.ravel().astype(np.uint16)
         order = np.argsort(word, kind="stable")
         word = word[order]
         starts = _runs(word)
-        self._step("vec", word[starts], np.add.reduceat(grads[order], starts) / n)
+        self._step("vec", word[starts], np.add.reduceat(grads.take(order, axis=0), starts) / n)
         self.tokens += len(q)
 
 
@@ -438,7 +436,8 @@ def _scored(docs: DataFrame, lex: Lexicon, flat: np.ndarray) -> DataFrame:
         for b in batches:
             texts, n = b.column("text").to_pylist(), b.num_rows
             tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            base, score, rares = np.zeros(n), np.zeros(n), [None] * n
+            base, score, n_rare = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
+            rare_words, rare_times = [], []
             held: list[tuple[int, np.ndarray]] = []
             size = 0
 
@@ -458,7 +457,10 @@ def _scored(docs: DataFrame, lex: Lexicon, flat: np.ndarray) -> DataFrame:
                 known[i] = int((lex.count[inside] > 0).sum())
                 base[i] = log_count[inside].sum()
                 score[i] += lex.share[inside].sum() - lex.group_total[groups].sum()
-                rares[i] = list(Counter(rare).items())
+                of_text = Counter(rare)
+                rare_words += of_text
+                rare_times += of_text.values()
+                n_rare[i] = len(of_text)
                 held.append((i, lex.symbols(places)))
                 size += len(places)
                 if size >= o.chunk:
@@ -466,8 +468,9 @@ def _scored(docs: DataFrame, lex: Lexicon, flat: np.ndarray) -> DataFrame:
                     size = 0
             if held:
                 flush()
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-            rare_rows = pa.array([[{"word": w, "n": k} for w, k in r] for r in rares], kind)
+            pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_times, pa.int64())], ["word", "n"])
+            offsets = np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)
+            rare_rows = pa.ListArray.from_arrays(pa.array(offsets), pairs)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(number, number + n)), b.column("doc_id"), b.column("held_out"), pa.array(tokens),
