@@ -171,6 +171,7 @@ def _split_registry() -> dict[str, Query]:
 
 # ----------------------------------------------------------------------------- models
 _FITTED: dict[tuple, tuple] = {}
+_LOGISTIC: dict[tuple, tuple] = {}
 _REGISTERED: dict[tuple, tuple] = {}
 
 
@@ -189,16 +190,29 @@ def fixture_models(spark: SparkSession, sf_dir: str):
     key = _state(spark, sf_dir)
     if key not in _FITTED:
         train, _ = fixture_split(spark, sf_dir)
-        _FITTED[key] = models.fit_all(train)
+        m = _FITTED[key] = models.fit_all(train, lm=_LOGISTIC.get(key, (None,))[0])
+        _LOGISTIC[key] = (m.lm, m.rows)
     return _FITTED[key]
 
 
+def fixture_logistic(spark: SparkSession, sf_dir: str):
+    """The logistic model and its training rows, for queries that use no forest: the same model
+    as in ``fixture_models``, whichever is asked for first."""
+    from txengine.plans import models
+
+    key = _state(spark, sf_dir)
+    if key not in _LOGISTIC:
+        train, _ = fixture_split(spark, sf_dir)
+        _LOGISTIC[key] = models.fit_logistic_counted(train)
+    return _LOGISTIC[key]
+
+
 def _models_registry() -> dict[str, Query]:
     from txengine.plans import assessment, model_checks, models
     from txengine.plans.registry import ModelRegistry
 
     def logistic_scores(spark, sf_dir):
-        lm = fixture_models(spark, sf_dir).lm
+        lm, _ = fixture_logistic(spark, sf_dir)
         return models.score_logistic(lm, fixture_split(spark, sf_dir)[1])
 
     def forest_scores(spark, sf_dir):
@@ -232,9 +246,9 @@ def _models_registry() -> dict[str, Query]:
         """The logistic model logged and deployed once for each state of the fixture."""
         key = _state(spark, sf_dir)
         if key not in _REGISTERED:
-            m = fixture_models(spark, sf_dir)
+            lm, rows = fixture_logistic(spark, sf_dir)
             reg = ModelRegistry.create(spark, scratch_path(spark, "registry"))
-            ref = reg.log_model("logistic_fraud_detection", "v1", m.lm, {"maxIter": 1000}, m.rows)
+            ref = reg.log_model("logistic_fraud_detection", "v1", lm, {"maxIter": 1000}, rows)
             reg.deploy("fraud_scoring", "logistic_fraud_detection", "v1")
             _REGISTERED[key] = (reg, ref)
         return _REGISTERED[key]
@@ -261,7 +275,7 @@ def _models_registry() -> dict[str, Query]:
 
     def logistic_optimum(spark, sf_dir):
         """Per coefficient, whether the fit stands where the penalised gradient vanishes (M2)."""
-        lm = fixture_models(spark, sf_dir).lm
+        lm, _ = fixture_logistic(spark, sf_dir)
         checked = model_checks.logistic_gradient(lm, fixture_split(spark, sf_dir)[0])
         return checked.select("coefficient", "at_optimum")
 

@@ -74,11 +74,24 @@ class Fitted(NamedTuple):
     rows: int  # training rows
 
 
-def fit_all(train: DataFrame, opts: ModelOptions = ModelOptions()) -> Fitted:
+def fit_logistic_counted(train: DataFrame, opts: ModelOptions = ModelOptions()) -> tuple[PipelineModel, int]:
+    """The logistic model alone, and its training rows: the driver holds its coefficients only,
+    whatever the size of the training set."""
+    from pyspark import StorageLevel
+
+    data, n = _training_frame(train, opts)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fit_logistic_on(data, n, opts), n
+    finally:
+        data.unpersist()
+
+
+def fit_all(train: DataFrame, opts: ModelOptions = ModelOptions(), lm: PipelineModel | None = None) -> Fitted:
     """Write the training set once, keep it in executor memory (spilling to disk) for the
     iterations of both fits, release it after. The two fits are independent Spark jobs
     and are submitted from two driver threads, so that one fit's many small iteration
-    jobs fill the slots the other leaves idle."""
+    jobs fill the slots the other leaves idle. ``lm``: the logistic model, if it is fitted already."""
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import StorageLevel
@@ -87,9 +100,9 @@ def fit_all(train: DataFrame, opts: ModelOptions = ModelOptions()) -> Fitted:
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(max_workers=2) as pool:
-            lm = pool.submit(fit_logistic_on, data, n, opts)
+            logistic = None if lm else pool.submit(fit_logistic_on, data, n, opts)
             rf = pool.submit(fit_forest_on, data, opts)
-            return Fitted(lm.result(), rf.result(), n)
+            return Fitted(lm or logistic.result(), rf.result(), n)
     finally:
         data.unpersist()
 
