@@ -1,0 +1,106 @@
+"""The forest that Spark jobs grow, for training sets whose forest the driver cannot hold."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from txengine.plans import forest, model_checks, models
+from txengine.plans.registry import ModelRegistry
+from txengine.session import scratch_path
+
+OPTS = models.ModelOptions(features=("a", "b", "c"), label="y", rf_trees=12)
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = np.random.default_rng(5)
+    a, b, c = rng.integers(0, 100, 3000), rng.random(3000), rng.integers(0, 2, 3000)
+    y = ((a > 60) & (b < 0.5)) ^ (rng.random(3000) < 0.05)
+    data = [(i, *map(float, r[:3]), int(r[3])) for i, r in enumerate(zip(a, b, c, y))]
+    return spark.createDataFrame(data, "transaction_id long, a double, b double, c double, y int")
+
+
+@pytest.fixture(scope="module")
+def grown(rows):
+    """Above the rows that Spark ML may hold the forest of, with nodes above and below the task's share."""
+
+    def no_forest(**_):
+        raise AssertionError("a forest was grown on the driver")
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(models, "RandomForestClassifier", no_forest)
+        patched.setattr(models, "DRIVER_FOREST", 3000 * 12 - 1)
+        patched.setattr(forest, "LOCAL_ROWS", 400)
+        patched.setattr(forest, "CHUNK_ROWS", 700)
+        return models.fit_forest(rows, OPTS)
+
+
+def test_the_driver_grows_no_large_forest(spark, rows, grown):
+    stage = grown.stages[-1]
+    assert stage.getNumTrees == len(stage.trees) == 12 and max(t.depth for t in stage.trees) < 30
+    twice = rows.unionByName(rows.limit(1)).withColumn("note", F.lit("kept"))
+    scored = models.score_forest(grown, twice)
+    assert scored.columns == [*twice.columns, "prediction_rf", "fraud_probability_rf"]
+    assert scored.select(*twice.columns).exceptAll(twice).count() == 0 and scored.count() == 3001
+    right = scored.where("prediction_rf = y").count()
+    assert right > 2800  # 5 % of the labels are noise
+    assert model_checks.forest_differences(grown, models.score_forest(grown, rows), "transaction_id", OPTS).first() == (3000, 0)
+    wrong = models.score_forest(grown, rows).withColumn("fraud_probability_rf", F.col("fraud_probability_rf") + 1e-6)
+    assert model_checks.forest_differences(grown, wrong, "transaction_id", OPTS).first().different == 3000
+
+
+def test_a_grown_forest_is_registered(spark, rows, grown):
+    reg = ModelRegistry.create(spark, scratch_path(spark, "reg_forest"))
+    reg.log_model("rf", "v1", grown)
+    direct = models.score_forest(grown, rows)
+    assert reg.get("rf", "v1").predict(rows).exceptAll(direct).count() == 0
+
+
+def test_as_good_as_spark_mls(rows, grown):
+    other = models.fit_forest(rows, OPTS)
+    nodes = [sum(t.numNodes for t in m.stages[-1].trees) for m in (grown, other)]
+    assert abs(nodes[0] - nodes[1]) < 0.15 * nodes[1]
+    both = [models.score_forest(m, rows).select("transaction_id", "fraud_probability_rf") for m in (grown, other)]
+    p, q = (np.array([r[1] for r in sorted(s.collect())]) for s in both)
+    assert abs(p.mean() - q.mean()) < 0.02 and np.corrcoef(p, q)[0, 1] > 0.9
+
+
+def test_nulls_and_other_labels_are_refused(rows, grown, monkeypatch):
+    monkeypatch.setattr(models, "DRIVER_FOREST", 0)
+    with pytest.raises(Exception, match="(?i)null"):
+        models.score_forest(grown, rows.withColumn("a", F.when(F.col("transaction_id") > 9, F.col("a")))).count()
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        models.fit_forest(rows.withColumn("y", F.col("y") * 2), OPTS)
+
+
+def test_the_best_split():
+    rng = np.random.default_rng(0)
+    x, y, w = rng.integers(0, 6, (200, 3)).astype("i1"), rng.integers(0, 2, 200), rng.integers(1, 4, 200)
+    subset = np.array([[2, 0]])
+    f, b, left, right = forest.best_splits(forest.histogram(x, y, w, np.zeros(200, "i8"), subset), subset)
+
+    def gini(rows):
+        n, one = w[rows].sum(), w[rows & (y == 1)].sum()
+        return n - (one**2 + (n - one) ** 2) / n
+
+    cuts = {(c, v): gini(x[:, c] <= v) + gini(x[:, c] > v) for c in (0, 2) for v in range(5)}
+    assert cuts[f[0], b[0]] == pytest.approx(min(cuts.values()))
+    assert left[0].sum() == w[x[:, f[0]] <= b[0]].sum() and right[0].sum() == w.sum() - left[0].sum()
+
+
+def test_a_subtree_is_grown_to_the_end():
+    """All features at every node: where splits gain, rows end in leaves of one label."""
+    x = np.array([(i // 8, i % 8, 0) for i in range(64)], "i1")
+    y = (((x[:, 0] >= 3) & (x[:, 1] >= 5)) | (x[:, 0] == 1)).astype("i8")
+    t = forest.subtree(x, y, np.ones(64, "i8"), 0, 30, 3, np.random.default_rng(2))
+    at = forest.nodes_of(forest.Top(t["feature"], t["bin"], t["left"], t["right"], None, None), x)
+    assert (t["counts"][at].min(axis=1) == 0).all() and (t["counts"][at, y] > 0).all()
+    inner = t["feature"] >= 0
+    vote = t["counts"][:, 1] > t["counts"][:, 0]
+    l, r = t["left"][inner], t["right"][inner]
+    assert not (~inner[l] & ~inner[r] & (vote[l] == vote[r])).any()
+
+
+def test_few_values_all_get_a_threshold():
+    assert forest.split_points(np.repeat([0.0, 1.0, 5.0], [1, 1, 999])).tolist() == [0.5, 3.0]
+    assert len(forest.split_points(np.arange(1001.0))) == forest.BINS - 1

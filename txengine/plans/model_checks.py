@@ -1,10 +1,10 @@
 """Fitted models checked by plain DataFrame jobs: the logistic fit by its gradient, both models'
 predictions by scoring them again from their stored numbers.
 
-A forest is exported as a node table, one row per (tree, node), and scored by an iterated join:
-every round moves each (row, tree) from its node to the child that the row's feature chooses,
-until it stands on a leaf. There is one round per level of the deepest tree; the node table is
-broadcast while Spark finds it small and joined by (tree, node) otherwise.
+A forest is exported as a node table, one row per (tree, node). To score by it, chunks of rows are
+crossed with the trees, each an array of its nodes, and every row walks down each tree in SQL: from
+its node to the child that the row's feature chooses, one step per level of the deepest tree. Rows
+and trees meet once, whatever the depth; neither is held whole by a task or the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txengine.operators.joins import materialize
+from txengine.plans.forest import GrownForest
 from txengine.plans.models import ModelOptions
 from txengine.session import scratch_path
 
@@ -58,6 +60,8 @@ def forest_nodes(model: PipelineModel, spark) -> DataFrame:
     """(tree, node, feature, threshold, left_child, right_child, fraud): a row goes to
     ``left_child`` if its feature is at most the threshold; a leaf has no children. ``fraud``:
     the leaf's share of label 1."""
+    if isinstance(model.stages[-1], GrownForest):
+        return model.stages[-1].nodes()
     path = scratch_path(spark, "forest")
     model.stages[-1].write().save(path)
     data = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
@@ -79,19 +83,27 @@ def table_scores(
     nodes: DataFrame, trees: int, depth: int, rows: DataFrame, id_col: str, opts: ModelOptions = ModelOptions()
 ) -> DataFrame:
     """(id_col, table_probability, table_prediction) from the node table: the mean over all
-    ``trees`` of the leaf's share. ``depth`` of the deepest tree; ``id_col`` tells the rows apart."""
+    ``trees`` of the leaf's share. ``depth`` of the deepest tree; ``id_col`` tells the rows apart;
+    a tree's nodes are numbered from 0 without gaps."""
+    spark = rows.sparkSession
     features = F.array(*(F.col(c).cast("double") for c in opts.features))
-    every = F.explode(F.array(*(F.lit(t) for t in range(trees)))).alias("tree")
-    at = rows.select(id_col, features.alias("x"), every).withColumn("node", F.lit(0))
-    steps = nodes.where("left_child is not null").drop("fraud")
-    for _ in range(depth):
-        goes_left = F.col("x")[F.col("feature")] <= F.col("threshold")
-        child = F.when(goes_left, F.col("left_child")).otherwise(F.col("right_child"))
-        at = at.join(steps, ["tree", "node"], "left").select(
-            id_col, "x", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(child).alias("node")
-        )
-    leaves = nodes.where("fraud is not null").select("tree", "node", "fraud")
-    mean = at.select(id_col, "tree", "node").join(leaves, ["tree", "node"]).groupBy(id_col).agg(F.avg("fraud").alias("table_probability"))
+    one = rows.select(F.shiftright(F.monotonically_increasing_id(), 12).alias("chunk"), F.struct(F.col(id_col).alias("id"), features.alias("x")).alias("row"))
+    chunks = materialize(spark, one.groupBy("chunk").agg(F.collect_list("row").alias("rows")), "forest_check_rows")
+    node = F.struct("node", "feature", "threshold", "left_child", "right_child", "fraud")
+    walked = nodes.where(F.col("tree") < trees).groupBy("tree").agg(F.array_sort(F.collect_list(node)).alias("at"))
+    tables = materialize(spark, walked, "forest_check_trees")
+
+    def leaf(x: Column) -> Column:
+        def step(node: Column, _: Column) -> Column:
+            n = F.col("at")[node]
+            child = F.when(x[n["feature"]] <= n["threshold"], n["left_child"]).otherwise(n["right_child"])
+            return F.when(n["feature"].isNull(), node).otherwise(child)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), step)
+
+    stands = F.transform("rows", lambda r: F.struct(r["id"].alias(id_col), F.col("at")[leaf(r["x"])]["fraud"].alias("fraud")))
+    each = chunks.crossJoin(tables.select("at")).select(F.inline(stands))
+    mean = each.groupBy(id_col).agg(F.avg("fraud").alias("table_probability"))
     return mean.withColumn("table_prediction", F.when(F.col("table_probability") > 0.5, 1).otherwise(0))
 
 

@@ -8,6 +8,8 @@ Parameter mapping from the reference's estimators (library defaults documented p
   random forest: 100 trees, Gini, sqrt(features) per split, bootstrap
       -> ``numTrees = 100``, ``impurity = "gini"``, ``featureSubsetStrategy = "sqrt"``;
          the reference grows unbounded trees; ``maxDepth = 30`` is the deepest Spark allows.
+         Spark ML holds the whole forest on the driver, so where rows x trees exceed
+         ``DRIVER_FOREST`` the same kind of forest is grown by ``forest.grow`` instead.
 
 Both fits read a training set that is written once to the shared folder first, so the
 feature plan runs once and the iterations read Parquet, not the lineage.
@@ -26,8 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txengine.operators.joins import materialize
+from txengine.plans import forest
 from txengine.sources.schema import LABEL, MODEL_FEATURES
 
+#: Rows x trees whose forest Spark ML may hold on the driver.
+DRIVER_FOREST = 4_000_000
+
 
 @dataclass(frozen=True)
 class ModelOptions:
@@ -64,8 +70,8 @@ def fit_logistic(train: DataFrame, opts: ModelOptions = ModelOptions()) -> Pipel
 
 
 def fit_forest(train: DataFrame, opts: ModelOptions = ModelOptions()) -> PipelineModel:
-    data, _ = _training_frame(train, opts)
-    return fit_forest_on(data, opts)
+    data, n = _training_frame(train, opts)
+    return fit_forest_on(data, n, opts)
 
 
 class Fitted(NamedTuple):
@@ -101,7 +107,7 @@ def fit_all(train: DataFrame, opts: ModelOptions = ModelOptions(), lm: PipelineM
     try:
         with ThreadPoolExecutor(max_workers=2) as pool:
             logistic = None if lm else pool.submit(fit_logistic_on, data, n, opts)
-            rf = pool.submit(fit_forest_on, data, opts)
+            rf = pool.submit(fit_forest_on, data, n, opts)
             return Fitted(lm or logistic.result(), rf.result(), n)
     finally:
         data.unpersist()
@@ -122,7 +128,9 @@ def fit_logistic_on(data: DataFrame, n: int, opts: ModelOptions) -> PipelineMode
     return Pipeline(stages=[_assembler(opts, "lm"), lr]).fit(data)
 
 
-def fit_forest_on(data: DataFrame, opts: ModelOptions) -> PipelineModel:
+def fit_forest_on(data: DataFrame, n: int, opts: ModelOptions) -> PipelineModel:
+    if n * opts.rf_trees > DRIVER_FOREST:
+        return grow_forest_on(data, n, opts)
     rf = RandomForestClassifier(
         featuresCol="features_rf", labelCol=opts.label, predictionCol="prediction_rf",
         rawPredictionCol="raw_rf", probabilityCol="probability_rf",
@@ -132,6 +140,16 @@ def fit_forest_on(data: DataFrame, opts: ModelOptions) -> PipelineModel:
     return Pipeline(stages=[_assembler(opts, "rf"), rf]).fit(data)
 
 
+def grow_forest_on(data: DataFrame, n: int, opts: ModelOptions) -> PipelineModel:
+    """The forest by Spark jobs that keep its trees in the shared folder."""
+    assembler, label = _assembler(opts, "rf"), F.col(opts.label)
+    known = F.when(label.isin(0.0, 1.0), label).otherwise(F.raise_error(F.lit("labels must be 0 or 1")))
+    rows = assembler.transform(data).select(vector_to_array("features_rf").alias("x"), known.cast("int").alias("y"))
+    path, points = forest.grow(rows, len(opts.features), n, opts.rf_trees, opts.rf_max_depth, opts.seed)
+    columns = {"features": "features_rf", "prediction": "prediction_rf", "raw": "raw_rf", "probability": "probability_rf"}
+    return PipelineModel([assembler, forest.GrownForest(path, points, opts.rf_trees, opts.rf_max_depth, columns)])
+
+
 def _finish(df: DataFrame, suffix: str) -> DataFrame:
     """Prediction as INT label (what the reference stores, D13) plus the fraud probability
     as an extra column; vector columns dropped."""
@@ -153,7 +171,8 @@ def score_forest(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def score_both(lm: PipelineModel, rf: PipelineModel, df: DataFrame) -> DataFrame:
     """rf.predict(lm.predict(df)): both models applied row by row in one narrow pass (no
-    shuffle); the models are broadcast with the task closures."""
+    shuffle); the models are broadcast with the task closures. A grown forest's trees are joined
+    to the rows instead (``forest.GrownForest``)."""
     return score_forest(rf, score_logistic(lm, df))
 
 
