@@ -89,15 +89,16 @@ def table_scores(
     features = F.array(*(F.col(c).cast("double") for c in opts.features))
     one = rows.select(F.shiftright(F.monotonically_increasing_id(), 12).alias("chunk"), F.struct(F.col(id_col).alias("id"), features.alias("x")).alias("row"))
     chunks = materialize(spark, one.groupBy("chunk").agg(F.collect_list("row").alias("rows")), "forest_check_rows")
-    node = F.struct("node", "feature", "threshold", "left_child", "right_child", "fraud")
+    # a leaf is its own child: rows that have come to one stay
+    own = {"feature": F.lit(0), "threshold": F.lit(0.0), "left_child": F.col("node"), "right_child": F.col("node")}
+    node = F.struct("node", *(F.coalesce(F.col(c), other).alias(c) for c, other in own.items()), "fraud")
     walked = nodes.where(F.col("tree") < trees).groupBy("tree").agg(F.array_sort(F.collect_list(node)).alias("at"))
     tables = materialize(spark, walked, "forest_check_trees")
 
     def leaf(x: Column) -> Column:
         def step(node: Column, _: Column) -> Column:
             n = F.col("at")[node]
-            child = F.when(x[n["feature"]] <= n["threshold"], n["left_child"]).otherwise(n["right_child"])
-            return F.when(n["feature"].isNull(), node).otherwise(child)
+            return F.when(x[n["feature"]] <= n["threshold"], n["left_child"]).otherwise(n["right_child"])
 
         return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), step)
 
