@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txengine.operators.joins import materialize
 from txengine.plans import analysis
 from txengine.session import scratch_path
 from txengine.sources.catalog import create_namespace, create_transaction_table
@@ -17,7 +18,8 @@ from txengine.sources.schema import FEATURE_TABLE_COLUMNS
 from txengine.sources.transactions import (
     copy_into,
     events_transactions,
-    lineitem_transactions,
+    lineitem_derived,
+    lineitem_joined,
     load_transactions,
     write_transactions_csv,
 )
@@ -92,8 +94,10 @@ def _features_registry() -> dict[str, Query]:
 
     def lineitem_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         """The feature table on the wide-calendar fixture (lineitem + orders): 2,498 days,
-        every timestamp at midnight, so all of a day's rows are RANGE peers."""
-        return features.feature_table(lineitem_transactions(spark, sf_dir))
+        every timestamp at midnight, so all of a day's rows are RANGE peers. The two tables are
+        joined once and written, with the columns from which the others follow."""
+        tx = materialize(spark, lineitem_joined(spark, sf_dir), "lineitem_joined")
+        return features.feature_table(tx, stored=True, derive=lambda rows: lineitem_derived(rows, sf_dir))
 
     def feature_table_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
         """The feature table with the reference's own terminal columns (D4, D18)."""

@@ -52,32 +52,51 @@ def events_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` + ``orders`` as transactions: the wide-calendar fixture (FIXTURES.md §3).
+def lineitem_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` + ``orders`` as transactions, without the columns that follow from the others
+    (FIXTURES.md §3).
 
     ``transaction_id`` = l_orderkey * 8 + l_linenumber is *not* unique in this data; use it
     for timing and grouped results only. The join to ``orders`` is a plain equi-join on
-    the order key (both sides large: sort-merge, AQE may re-plan it).
+    the order key (both sides large: sort-merge, AQE may re-plan it); a line meets it with
+    the columns that are kept.
     """
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
-    first_day = li.select(F.min(F.to_date("l_shipdate"))).scalar()
-    ts = F.col("l_shipdate")
-    terminal = F.col("l_suppkey")
     is_fraud = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.095)
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_extendedprice",
+        _fraud_columns(is_fraud, F.col("l_suppkey"))["tx_fraud"].alias("tx_fraud"),
+    )
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "left")
     return joined.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("transaction_id"),
-        ts.alias("tx_datetime"),
+        F.col("l_shipdate").alias("tx_datetime"),
         F.col("o_custkey").alias("customer_id"),
-        terminal.alias("terminal_id"),
+        F.col("l_suppkey").alias("terminal_id"),
         F.col("l_extendedprice").alias("tx_amount"),
-        _seconds_since(ts, first_day).alias("tx_time_seconds"),
-        F.datediff(F.to_date(ts), first_day).cast("bigint").alias("tx_time_days"),
-        *[c.alias(n) for n, c in _fraud_columns(is_fraud, terminal).items()],
+        "tx_fraud",
+    )
+
+
+def lineitem_derived(tx: DataFrame, sf_dir: str) -> DataFrame:
+    """``tx`` with the columns that ``lineitem_joined`` leaves out."""
+    li = tx.sparkSession.read.parquet(f"{sf_dir}/lineitem.parquet")
+    first_day = li.select(F.min(F.to_date("l_shipdate"))).scalar()
+    ts = F.col("tx_datetime")
+    return tx.withColumns(
+        {
+            "tx_time_seconds": _seconds_since(ts, first_day),
+            "tx_time_days": F.datediff(F.to_date(ts), first_day).cast("bigint"),
+            "tx_fraud_scenario": _fraud_columns(F.col("tx_fraud") == 1, F.col("terminal_id"))["tx_fraud_scenario"],
+        }
     )
 
 
+def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` + ``orders`` as transactions: the wide-calendar fixture (FIXTURES.md §3)."""
+    return lineitem_derived(lineitem_joined(spark, sf_dir), sf_dir).select(*TX_COLUMNS)
+
+
 def load_transactions(spark: SparkSession, source: str) -> DataFrame:
     """Read the typed table by name (catalog) or from a Parquet path; the schema is asserted,
     never inferred."""
